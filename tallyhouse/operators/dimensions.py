@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -65,6 +65,20 @@ def upsert_dimension(table: str, current: DataFrame, batch: DataFrame, seq: str
     return _conform(updated, table).unionByName(_conform(added, table))
 
 
+def load_dimension_set_based(table: str, current: DataFrame, sources: list[DataFrame]) -> DataFrame:
+    """All staging sources of a dimension at once, equal rows taken once.
+
+    Where sources disagree about a member, the later source wins, and within
+    it the later row.
+    """
+    numbered = [
+        df.selectExpr(*[c for c in df.columns if c != "ingest_seq"], f"struct({i} AS source, ingest_seq) AS ingest_seq")
+        for i, df in enumerate(sources)
+    ]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), numbered)
+    return upsert_dimension(table, current, stacked)
+
+
 def _add_members(table: str, current: DataFrame, members: DataFrame) -> DataFrame:
     """Insert members whose key is not there yet; the others stay untouched."""
     sk, key = schemas.DIM_KEYS[table]
