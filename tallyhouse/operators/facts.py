@@ -30,6 +30,7 @@ class Load:
     table: DataFrame
     rejects: DataFrame
     offered: DataFrame  # rows that passed every rule, before key conflicts
+    added: DataFrame | None = None  # new rows alone, where known rows never change
 
 
 def _shown(c: Column) -> Column:
@@ -376,7 +377,7 @@ def load_line_items(
         "ingest_seq",
     )
     fresh = insert_or_ignore(current, offered, ["order_id", "product_sk"])
-    return Load(current.unionByName(fresh), rejects, offered)
+    return Load(current.unionByName(fresh), rejects, offered, fresh)
 
 
 def load_line_items_set_based(
@@ -461,7 +462,7 @@ def load_campaign_transactions(
     )
     offered = judged.filter(F.col("reason").isNull()).select(*current.columns, "ingest_seq")
     fresh = insert_or_ignore(current, offered, CAMPAIGN_FACT_KEY)
-    return Load(current.unionByName(fresh), rejects, offered)
+    return Load(current.unionByName(fresh), rejects, offered, fresh)
 
 
 def load_campaign_transactions_set_based(

@@ -6,15 +6,16 @@ Nothing here puts one key's rows, or a whole table, through a single task:
 * positions are counted inside blocks and shifted by the sizes of the blocks
   before.  A block is the set of rows one ingest task wrote.
 
-``ingest_seq`` is the order of arrival: the number of the ingest task in the
-upper bits, the row's place within that task in the lower 33 bits.
+``ingest_seq`` is the order of arrival: the number of the block (a file split,
+or the task that wrote the rows) in the upper bits, the row's place within the
+block in the lower ``BLOCK_BITS``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BLOCK_BITS = 33
+BLOCK_BITS = 28  # a split of 128 MiB holds fewer rows than that
 SURROGATE_BUCKETS = 256
 
 
@@ -23,7 +24,12 @@ def with_ingest_seq(df: DataFrame, name: str = "ingest_seq") -> DataFrame:
 
     Must be written out before use: the numbers belong to this very pass.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    return df.withColumn(name, F.shiftleft(F.spark_partition_id().cast("bigint"), BLOCK_BITS) + row_in_task())
+
+
+def row_in_task() -> Column:
+    """0, 1, 2, ... within the task that reads the row."""
+    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
 
 
 def ingest_block(seq: str | Column) -> Column:

@@ -312,10 +312,15 @@ def with_row_placeholder(df: DataFrame, name: str = "line_item_id") -> DataFrame
     return placed.withColumn(name, (F.col("__place") - 1).cast("string")).drop("__place")
 
 
-def project_to_schema(df: DataFrame, dataset: str) -> DataFrame | None:
+def project_to_schema(df: DataFrame, dataset: str, extra: str | None = None) -> DataFrame | None:
     """Declared columns only, each in its declared type; what does not parse is
-    NULL.  A frame that shares no column with the table gives nothing."""
+    NULL.  A frame that shares no column with the table gives nothing.
+
+    ``extra`` declares further columns to keep, as DDL.
+    """
     target = schemas.staging_schema(dataset)
+    if extra:
+        target = schemas.struct(extra + ", " + target.toDDL())
     have = set(df.columns)
     if not [f for f in target.fields if f.name in have and f.name not in schemas.LINEAGE]:
         log.warning("no column of %s among %s", dataset, df.columns)
@@ -341,7 +346,7 @@ def apply_formats(df: DataFrame, formats: dict[str, Fmt]) -> DataFrame:
     return df.withColumns(present) if present else df
 
 
-def format_for_staging(df: DataFrame, dataset: str) -> DataFrame | None:
+def format_for_staging(df: DataFrame, dataset: str, extra: str | None = None) -> DataFrame | None:
     """Cleaned file -> rows of its staging table, or ``None`` if it is skipped."""
     out = resolve_aliases(df, dataset)
     if dataset == "line_item_data_products":
@@ -349,7 +354,14 @@ def format_for_staging(df: DataFrame, dataset: str) -> DataFrame | None:
     out = require_columns(out, dataset)
     if out is None:
         return None
-    return project_to_schema(apply_formats(out, STAGE_FORMATS[dataset]), dataset)
+    return project_to_schema(apply_formats(out, STAGE_FORMATS[dataset]), dataset, extra)
+
+
+# Places are put into title case only by the direct load.
+DIRECT_FORMATS: dict[str, dict[str, Fmt]] = {
+    d: {c: _cleaned(fx.place) for c in ("city", "state", "country")}
+    for d in ("user_data", "merchant_data", "staff_data")
+}
 
 
 def transform(df: DataFrame, dataset: str) -> DataFrame:
