@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BLOCK_BITS = 28  # a split of 128 MiB holds fewer rows than that
+FILE_BITS = 43  # place within a file or batch; above it the number of the file or batch
 SURROGATE_BUCKETS = 256
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyhouse import schemas
 from tallyhouse.operators import dimensions as dims
 from tallyhouse.operators import facts
+from tallyhouse.operators.keys import FILE_BITS
 from tallyhouse.operators.relational import union_all
 from tallyhouse.operators.staging import DIRECT_FORMATS, apply_formats, format_for_staging, transform
 from tallyhouse.plans.store import Store
@@ -62,7 +63,7 @@ def ingest(
     staged = before if store.exists(table) else None
     decisions = materialize(incremental.decide_files(dataset_files(spark, root, dataset), staged, force), "decisions")
     chosen = decisions.filter(F.col("decision") == "process")
-    start = before.agg(F.max(F.shiftright("ingest_seq", 43))).first()[0]
+    start = before.agg(F.max(F.shiftright("ingest_seq", FILE_BITS))).first()[0]
     files = source_files(chosen, 0 if start is None else start + 1)
     loaded = stage_files(spark, files, dataset) if files else None
     if loaded is not None:

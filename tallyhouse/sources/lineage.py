@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhouse.operators.keys import BLOCK_BITS, row_in_task
+from tallyhouse.operators.keys import BLOCK_BITS, FILE_BITS, row_in_task
 from tallyhouse.sources.discovery import SourceFile
 
-FILE_BITS = 43  # place within a file
 _SPLIT_BITS = 22  # splits of a file start at least 4 MiB apart
 MAX_FILES = 1 << 20
 

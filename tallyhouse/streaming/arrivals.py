@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse import schemas
-from tallyhouse.operators.keys import with_ingest_seq
+from tallyhouse.operators.keys import FILE_BITS, with_ingest_seq
 from tallyhouse.operators.staging import clean_strings, drop_empty_rows, format_for_staging, normalize_name
+from tallyhouse.session import materialize
 
 
 def arriving_files(
@@ -33,11 +34,14 @@ def arriving_files(
     )
 
 
-def staged_batch(batch: DataFrame, dataset: str) -> DataFrame | None:
-    """A micro-batch as staging rows."""
+def staged_batch(batch: DataFrame, dataset: str, number: int) -> DataFrame | None:
+    """A micro-batch as staging rows, numbered after those of earlier batches."""
     data = batch.drop(*[c for c in batch.columns if c.startswith("_c")])
-    data = drop_empty_rows(clean_strings(data))
-    return format_for_staging(with_ingest_seq(data).withColumn("loaded_at", F.current_timestamp()), dataset)
+    data = with_ingest_seq(data.withColumn("loaded_at", F.current_timestamp()))
+    data = data.withColumn("ingest_seq", F.col("ingest_seq") + F.lit(number << FILE_BITS))
+    # written first: the numbers belong to one pass over the batch
+    data = materialize(data, "arrivals")
+    return format_for_staging(drop_empty_rows(clean_strings(data)), dataset)
 
 
 def load_arrivals(stream: DataFrame, checkpoint: str, load: Callable[[DataFrame, int], None]) -> None:
@@ -59,7 +63,7 @@ def stage_arrivals(stream: DataFrame, checkpoint: str, dataset: str, target: str
     """Stage arriving files; each batch owns the folder of its number."""
 
     def load(batch: DataFrame, number: int) -> None:
-        rows = staged_batch(batch, dataset)
+        rows = staged_batch(batch, dataset, number)
         if rows is not None:
             rows.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
