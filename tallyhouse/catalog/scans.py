@@ -1 +1,561 @@
-QUERIES = []
+"""Sources, incremental ingestion, sinks and table upkeep.
+
+Where an operator reads files, Spark first writes one of the given tables in
+that format to the scratch folder; what is read back must equal the table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tallyhouse import schemas
+from tallyhouse.catalog.base import Query
+from tallyhouse.catalog.star_sql import with_star
+from tallyhouse.catalog.workbooks import workbook_bytes
+from tallyhouse.operators import relational as rel
+from tallyhouse.operators.keys import with_ingest_seq
+from tallyhouse.plans import sample_star, views
+from tallyhouse.plans.sample_star import table
+from tallyhouse.plans.store import Store, with_missing_column
+from tallyhouse.session import scratch_path
+from tallyhouse.sources import discovery, incremental, readers
+from tallyhouse.sources.documents import sheet_cells, table_cells
+from tallyhouse.streaming import arrivals
+
+star = sample_star.star
+
+
+# --- files made from the tables ----------------------------------------------------------
+
+
+def customers(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("c_custkey"),
+        # quotes and separators inside a cell
+        F.concat(F.lit('say "'), F.col("c_name"), F.lit('", all')).alias("c_name"),
+        "c_mktsegment",
+    )
+
+
+_CUSTOMERS = "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, concat('say \"', c_name, '\", all') AS c_name, c_mktsegment FROM customer"
+
+
+def _write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> None:
+    df.write.csv(path, sep=sep, header=header, quote='"', escape='"', mode="errorifexists")
+
+
+def _files(spark: SparkSession, root: str, pattern: str = "*") -> list[discovery.SourceFile]:
+    return discovery.source_files(discovery.find_files(spark, root, pattern))
+
+
+def src_discover(spark, sf_dir):
+    """The files of the data set itself."""
+    found = discovery.find_files(spark, sf_dir, "*.parquet")
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("name"), (F.col("length") > 0).alias("filled"))
+
+
+def src_exclude_name(spark, sf_dir):
+    found = discovery.find_files(spark, sf_dir, "*.parquet", exclude_name="ORDERS")
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("name"))
+
+
+_NAMES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
+]
+
+
+def _name_rows(skip: str = "") -> str:
+    return " UNION ALL ".join(f"SELECT '{n}.parquet' AS name, TRUE AS filled" for n in _NAMES if n != skip)
+
+
+def src_csv_auto(spark, sf_dir):
+    """Half of the markets as comma files, the others as tab files."""
+    root = scratch_path(spark, "csv")
+    df = customers(spark, sf_dir)
+    early = F.col("c_mktsegment") < "G"
+    _write_csv(df.filter(early), f"{root}/comma")
+    _write_csv(df.filter(~early), f"{root}/tab", "\t")
+    return readers.read(spark, _files(spark, root, "*.csv"), readers.delimited_frames)
+
+
+def src_csv_multi(spark, sf_dir):
+    """Four separators; a row with a cell too many is dropped."""
+    root = scratch_path(spark, "csv")
+    df = customers(spark, sf_dir)
+    markets = {"AUTOMOBILE": ",", "BUILDING": "\t", "FURNITURE": ";", "HOUSEHOLD": "|", "MACHINERY": "|"}
+    for sep in dict.fromkeys(markets.values()):
+        mine = df.filter(F.col("c_mktsegment").isin([m for m, s in markets.items() if s == sep]))
+        cells = F.concat_ws(
+            sep,
+            *[F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"')) for c in df.columns],
+            # some rows get one cell more than the header
+            F.when(F.col("c_mktsegment") == "MACHINERY", F.lit("surplus")),
+        )
+        header = spark.range(1).select(F.lit(sep.join(df.columns)).alias("value"))
+        folder = f"{root}/{ord(sep)}"
+        # every part file needs the header as its first line
+        lines = mine.select(cells.alias("value"))
+        _write_lines(header, lines, folder)
+    return readers.read(
+        spark, _files(spark, root), readers.delimited_frames, separator=discovery.dominant_separator, skip_long_rows=True
+    )
+
+
+def _write_lines(header: DataFrame, lines: DataFrame, folder: str) -> None:
+    """Text files that each start with the header line: the header is sent to
+    every file, then sorted to its top."""
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heads = header.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(0).alias("rank"), "value")
+    body = lines.select(F.pmod(F.hash("value"), F.lit(parts)).alias("part"), F.lit(1).alias("rank"), "value")
+    stacked = heads.unionByName(body).repartition(parts, "part").sortWithinPartitions("part", "rank")
+    stacked.select("part", "value").write.partitionBy("part").text(folder)
+
+
+def src_csv_ragged(spark, sf_dir):
+    """Lines split by hand: row number dropped, short rows filled, long ones cut."""
+    c = table(spark, sf_dir, "customer")
+    line = F.concat_ws(
+        "\t",
+        F.col("c_custkey").cast("string"),
+        F.concat(F.lit('"'), F.col("c_name"), F.lit('"')),
+        F.when(F.col("c_acctbal") > 1000, F.col("c_mktsegment")),
+        F.when(F.col("c_acctbal") > 5000, F.lit("surplus")),
+    )
+    lines = with_ingest_seq(c.select(line.alias("value")))
+    return readers.resplit_lines(lines, ["name", "segment"], "\t", "header")
+
+
+def src_parquet(spark, sf_dir):
+    return readers.read(spark, _files(spark, sf_dir, "customer.parquet"), readers.parquet_frames).select(
+        "c_custkey", "c_name", "c_mktsegment", F.element_at(F.split("file_source", "/"), -1).alias("file")
+    )
+
+
+# A document holds the customers of one block of keys, so its size is bounded.
+BLOCK = 1000
+
+
+def _blocks(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(
+        F.floor(F.col("c_custkey") / BLOCK).cast("string").alias("__path"),
+        F.col("c_custkey").cast("string").alias("c_custkey"),
+        "c_name",
+        "c_mktsegment",
+        "c_nationkey",
+    )
+
+
+def src_json(spark, sf_dir):
+    """Documents that list records, and documents of columns."""
+    fields = ("c_custkey", "c_name", "c_mktsegment")
+    docs = _blocks(spark, sf_dir)
+    as_records = docs.filter(F.col("c_nationkey") < 12).groupBy("__path").agg(
+        F.to_json(F.collect_list(F.struct(*fields))).alias("value")
+    )
+    column = lambda name: F.map_from_entries(F.collect_list(F.struct(F.col("c_custkey"), F.col(name))))
+    as_columns = docs.filter(F.col("c_nationkey") >= 12).groupBy("__path").agg(
+        F.to_json(F.create_map(*[x for f in fields for x in (F.lit(f), column(f))])).alias("value")
+    )
+    return readers.json_rows(as_records.unionByName(as_columns)).select(*[F.col("cells")[f].alias(f) for f in fields])
+
+
+def src_json_flatten(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    nested = e.select("event_id", F.struct(F.struct(F.from_json("props", "k BIGINT").alias("props"), "value").alias("body")).alias("doc"))
+    return readers.flatten(nested).withColumnsRenamed(
+        {"doc.body.props.k": "doc_body_props_k", "doc.body.value": "doc_body_value"}
+    )
+
+
+
+_CELLS = "__path string, table_no int, row_no int, cells array<string>"
+
+
+def _page_cells(spark, sf_dir) -> DataFrame:
+    """Pages with a table of customers and a table with their number."""
+    tr = F.concat(F.lit("<tr><td>"), F.concat_ws(" </td><td> ", "c_custkey", "c_name", "c_mktsegment"), F.lit("</td></tr>"))
+    page = F.concat(
+        F.lit("<html><script>'<table>'</script><table><tr><th> c_custkey</th><th>c_name </th><th>c_mktsegment</th></tr>"),
+        F.array_join(F.collect_list(tr), ""),
+        F.lit("</table><table><tr><th>page</th><th>n</th></tr><tr><td>p"),
+        F.col("__path"),
+        F.lit("</td><td>"),
+        F.count("*").cast("string"),
+        F.lit("</td></tr></table></html>"),
+    )
+    pages = _blocks(spark, sf_dir).groupBy("__path").agg(F.encode(page, "UTF-8").alias("content"))
+    return pages.mapInPandas(table_cells, _CELLS)
+
+
+def src_html_table(spark, sf_dir):
+    cells = _page_cells(spark, sf_dir).filter((F.col("table_no") == 0) & (F.col("row_no") > 0))
+    names = ("c_custkey", "c_name", "c_mktsegment")
+    return cells.select(*[F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(names)])
+
+
+def src_html_tables(spark, sf_dir):
+    cells = _page_cells(spark, sf_dir)
+    return cells.select(
+        "table_no",
+        (F.col("row_no") == 0).alias("header"),
+        F.get("cells", F.lit(0)).alias("first_cell"),
+        F.get("cells", F.lit(1)).alias("second_cell"),
+        F.size("cells").alias("width"),
+    ).filter(~F.col("header"))
+
+
+def src_excel(spark, sf_dir):
+    """Workbooks, written and read by small helpers inside the tasks."""
+    books = _blocks(spark, sf_dir).groupBy("__path").applyInPandas(workbook_bytes, "__path string, content binary")
+    return books.mapInPandas(sheet_cells, _CELLS).filter("row_no > 0").select(
+        F.get("cells", F.lit(0)).alias("c_custkey"), F.get("cells", F.lit(1)).alias("c_name")
+    )
+
+
+def src_dispatch(spark, sf_dir):
+    """Parquet and CSV are read, an unknown extension is left out and logged."""
+    root = scratch_path(spark, "mixed")
+    df = customers(spark, sf_dir)
+    _write_csv(df.filter(F.col("c_mktsegment") < "G"), f"{root}/a")
+    df.filter(F.col("c_mktsegment") >= "G").write.parquet(f"{root}/b")
+    df.select(F.col("c_name").alias("value")).write.text(f"{root}/c")
+    files = [f for f in _files(spark, root) if not f.path.endswith("_SUCCESS")]
+    read = readers.read_files(spark, files, clean=False)
+    return read.withColumn("skipped_files", F.lit(len(readers.unsupported(files)) > 0))
+
+
+def src_concat_files(spark, sf_dir):
+    """Tables that differ in columns, one after the other."""
+    a = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))
+    b = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_acctbal").alias("balance"))
+    return rel.union_all([a, b])
+
+
+def scan_staging(spark, sf_dir):
+    """Rows of each of the thirteen staging tables."""
+    tables = sample_star.staging(spark, sf_dir)
+    return rel.union_all([tables[d].agg(F.lit(d).alias("dataset"), F.count("*").alias("rows")) for d in schemas.STAGING])
+
+
+_SCAN_SQL = {
+    "campaign_data": "(SELECT COUNT(DISTINCT o_orderpriority) - 1 FROM orders)",
+    "transactional_campaign_data": "(SELECT COUNT(*) FROM orders)",
+    "order_data": "(SELECT COUNT(*) FROM orders)",
+    "line_item_data_prices": "(SELECT COUNT(*) FROM lineitem)",
+    "line_item_data_products": "(SELECT COUNT(*) FROM lineitem)",
+    "order_delays": "(SELECT COUNT(*) FROM orders WHERE o_orderstatus = 'F')",
+    "product_list": "(SELECT COUNT(*) FROM part)",
+    "user_data": "(SELECT COUNT(*) FROM customer)",
+    "user_job": "(SELECT COUNT(*) FROM customer)",
+    "user_credit_card": "(SELECT COUNT(*) FROM customer)",
+    "merchant_data": "(SELECT COUNT(*) FROM supplier)",
+    "staff_data": "(SELECT COUNT(*) FROM nation)",
+    "order_with_merchant_data": "(SELECT COUNT(DISTINCT l_orderkey) FROM lineitem)",
+}
+
+
+def scan_staging_pattern(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    for name in ("stg_pattern_customer_a", "stg_pattern_customer_b", "stg_pattern_customer_tbl1"):
+        c.createOrReplaceTempView(name)
+    found = incremental.staging_tables(spark, "stg_pattern_customer")
+    with_sub = incremental.staging_tables(spark, "stg_pattern_customer", sub_tables=True)
+    return rel.side_by_side(found.agg(F.count("*").alias("rows")), with_sub.agg(F.count("*").alias("with_sub_tables")))
+
+
+# --- incremental -------------------------------------------------------------------------
+
+
+def _listing(spark, sf_dir) -> DataFrame:
+    """Order days as file names, with a time of change."""
+    return (
+        table(spark, sf_dir, "orders")
+        .groupBy(F.date_format("o_orderdate", "yyyy-MM-dd").alias("path"))
+        .agg(F.max("o_orderdate").cast("timestamp").alias("modified"))
+    )
+
+
+def _staged(spark, sf_dir) -> DataFrame:
+    """Rows loaded from those files: urgent orders only, low ones a day early."""
+    o = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority").isin("1-URGENT", "5-LOW", "2-HIGH"))
+    day = F.col("o_orderdate").cast("timestamp")
+    loaded = (
+        F.when(F.col("o_orderpriority") == "1-URGENT", day + F.expr("INTERVAL 1 DAY"))
+        .when(F.col("o_orderpriority") == "5-LOW", day - F.expr("INTERVAL 1 DAY"))
+    )
+    return o.select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("file_source"), loaded.alias("loaded_at"))
+
+
+_STAGED = """(SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS path, MAX(CASE o_orderpriority WHEN '1-URGENT'
+    THEN o_orderdate + INTERVAL 1 DAY WHEN '5-LOW' THEN o_orderdate - INTERVAL 1 DAY END) AS last_loaded
+    FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW', '2-HIGH') GROUP BY 1)"""
+_LISTING = "(SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS path, MAX(o_orderdate) AS modified FROM orders GROUP BY 1)"
+_DECIDED = f"""SELECT l.path, CASE WHEN s.path IS NULL THEN '{incremental.NEW}' WHEN last_loaded IS NULL THEN '{incremental.UNDATED}'
+    WHEN modified > last_loaded THEN '{incremental.MODIFIED}' ELSE '{incremental.UNCHANGED}' END AS reason
+    FROM {_LISTING} l LEFT JOIN {_STAGED} s ON s.path = l.path"""
+_DECISION = f"CASE WHEN reason IN ('{incremental.NEW}', '{incremental.MODIFIED}') THEN 'process' ELSE 'skip' END"
+
+
+def inc_new_files(spark, sf_dir):
+    """Sources of the documents that have no toxic document loaded yet."""
+    docs = table(spark, sf_dir, "documents")
+    listing = docs.select(F.concat_ws("/", "source", "lang").alias("path")).distinct()
+    toxic = table(spark, sf_dir, "labels").filter(F.col("toxic") == 1).select("doc_id")
+    staged = docs.join(toxic, "doc_id", "left_semi").select(F.concat_ws("/", "source", "lang").alias("file_source"))
+    return incremental.new_files(listing, staged)
+
+
+def inc_modified(spark, sf_dir):
+    return incremental.decide_files(_listing(spark, sf_dir), _staged(spark, sf_dir))
+
+
+def inc_force(spark, sf_dir):
+    return incremental.decide_files(_listing(spark, sf_dir), _staged(spark, sf_dir), force=True)
+
+
+def _log(spark, sf_dir) -> DataFrame:
+    status = F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "O", "failed").otherwise("interrupted")
+    return table(spark, sf_dir, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("file_path"), F.lit("t").alias("table_name"), status.alias("status")
+    )
+
+
+def inc_log_skip(spark, sf_dir):
+    return incremental.not_logged(_listing(spark, sf_dir), _log(spark, sf_dir), "t")
+
+
+def inc_stats(spark, sf_dir):
+    return incremental.decision_counts(inc_modified(spark, sf_dir).withColumn("dataset", F.lit("order_data")))
+
+
+def inc_stream(spark, sf_dir):
+    """Order files arrive in two parts; each run of the stream takes what is new."""
+    root, target = scratch_path(spark, "landing"), scratch_path(spark, "staged")
+    checkpoint = scratch_path(spark, "checkpoint")
+    orders = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("order_id"),
+        F.concat(F.lit("USER"), F.col("o_custkey").cast("string")).alias("user_id"),
+        F.concat((F.col("o_orderkey") % 15 + 1).cast("string"), F.lit("days")).alias("estimated arrival"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("transaction_date"),
+    )
+    for part, rows in enumerate((F.col("transaction_date") < "1998-01-01", F.col("transaction_date") >= "1998-01-01")):
+        _write_csv(orders.filter(rows), f"{root}/{part}")
+        stream = arrivals.arriving_files(spark, root, orders.columns)
+        arrivals.stage_arrivals(stream, checkpoint, "order_data", target)
+    return arrivals.read_staged(spark, "order_data", target)
+
+
+# --- sinks and upkeep ----------------------------------------------------------------------
+
+
+def sink_staging(spark, sf_dir):
+    """Appended twice: rows keep the file they came from."""
+    store = Store(spark, scratch_path(spark, "store"))
+    delays = sample_star.staging(spark, sf_dir)["order_delays"].withColumns(
+        {"file_source": F.lit("delays.csv"), "loaded_at": F.current_timestamp()}
+    )
+    name = schemas.staging_table("order_delays")
+    store.append(name, delays)
+    both = store.append(name, delays.withColumn("file_source", F.lit("again.csv")))
+    return both.groupBy("file_source").agg(
+        F.count("*").alias("rows"), F.sum("delay_days").alias("days"), F.count_if(F.col("loaded_at").isNull()).alias("undated")
+    )
+
+
+def sink_snapshot(spark, sf_dir):
+    """A table is replaced while its old state is the input."""
+    store = Store(spark, scratch_path(spark, "store"))
+    fact = star(spark, sf_dir)["fact_orders"]
+    store.replace("fact_orders", fact)
+    doubled = store.read("fact_orders").withColumn("delay_days", F.col("delay_days") * 2)
+    return store.replace("fact_orders", doubled, ["transaction_date_sk", "order_id"]).select(
+        "order_id", "transaction_date_sk", "delay_days"
+    )
+
+
+def sink_view(spark, sf_dir):
+    views.register_views(spark, star(spark, sf_dir))
+    views.register_views(spark, star(spark, sf_dir))
+    return spark.sql("SELECT staff_id, total_orders_processed FROM vw_staff_performance")
+
+
+def sink_materialize(spark, sf_dir):
+    """A stored view, laid out by year and month; one year is read back."""
+    path = scratch_path(spark, "materialized")
+    views.materialize_view(star(spark, sf_dir), "vw_sales_by_time", path)
+    return spark.read.parquet(path).filter("year = 1998").select("date", "year", "month", "total_orders", "total_revenue")
+
+
+def sink_ingest_log(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("file_source"))
+    listing = docs.select(F.col("file_source").alias("path")).distinct()
+    skipped = table(spark, sf_dir, "documents").select(F.concat("source", F.lit(".zip")).alias("path")).distinct()
+    return incremental.ingestion_log(docs, "documents", listing, skipped)
+
+
+def sink_reset(spark, sf_dir):
+    store = Store(spark, scratch_path(spark, "store"))
+    fact = star(spark, sf_dir)["fact_line_items"]
+    before = store.append("fact_line_items", fact).agg(F.count("*").alias("before"))
+    before_rows = before.first()["before"]
+    store.reset("fact_line_items")
+    return store.read("fact_line_items").agg(F.count("*").alias("after")).withColumn("before", F.lit(before_rows))
+
+
+def schema_add_column(spark, sf_dir):
+    old = table(spark, sf_dir, "orders").select("o_orderkey")
+    new = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("staff_id"))
+    widened = with_missing_column(with_missing_column(old, "staff_id", "string"), "staff_id", "string")
+    return rel.union_all([widened, new]).groupBy("o_orderkey").agg(
+        F.count("*").alias("rows"), F.max("staff_id").alias("staff_id"), F.count_if(F.col("staff_id").isNull()).alias("missing")
+    )
+
+
+QUERIES = [
+    Query("src_discover", src_discover, "name:s filled:b", _name_rows()),
+    Query("src_exclude_name", src_exclude_name, "name:s", _name_rows("orders")),
+    Query("src_csv_auto", src_csv_auto, "c_custkey:s c_name:s c_mktsegment:s", _CUSTOMERS),
+    Query(
+        "src_csv_multi",
+        src_csv_multi,
+        "c_custkey:s c_name:s c_mktsegment:s",
+        f"{_CUSTOMERS} WHERE c_mktsegment <> 'MACHINERY'",
+    ),
+    Query(
+        "src_csv_ragged",
+        src_csv_ragged,
+        "name:s segment:s",
+        "SELECT c_name AS name, CASE WHEN c_acctbal > 1000 THEN c_mktsegment ELSE '' END AS segment FROM customer",
+    ),
+    Query(
+        "src_parquet",
+        src_parquet,
+        "c_custkey:i c_name:s c_mktsegment:s file:s",
+        "SELECT c_custkey, c_name, c_mktsegment, 'customer.parquet' AS file FROM customer",
+    ),
+    Query(
+        "src_json", src_json, "c_custkey:s c_name:s c_mktsegment:s", "SELECT c_custkey, c_name, c_mktsegment FROM customer"
+    ),
+    Query(
+        "src_json_flatten",
+        src_json_flatten,
+        "event_id:i doc_body_props_k:i doc_body_value:d",
+        "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS doc_body_props_k, value AS doc_body_value FROM events",
+    ),
+    Query("src_excel", src_excel, "c_custkey:s c_name:s", "SELECT c_custkey, c_name FROM customer"),
+    Query(
+        "src_html_table",
+        src_html_table,
+        "c_custkey:s c_name:s c_mktsegment:s",
+        "SELECT c_custkey, c_name, c_mktsegment FROM customer",
+    ),
+    Query(
+        "src_html_tables",
+        src_html_tables,
+        "table_no:i first_cell:s second_cell:s width:i",
+        f"""SELECT 0 AS table_no, CAST(c_custkey AS VARCHAR) AS first_cell, c_name AS second_cell, 3 AS width FROM customer
+        UNION ALL SELECT 1, concat('p', c_custkey // {BLOCK}), CAST(COUNT(*) AS VARCHAR), 2 FROM customer
+        GROUP BY c_custkey // {BLOCK}""",
+    ),
+    Query(
+        "src_dispatch",
+        src_dispatch,
+        "c_custkey:s c_name:s c_mktsegment:s skipped_files:b",
+        f"SELECT *, TRUE AS skipped_files FROM ({_CUSTOMERS})",
+    ),
+    Query(
+        "src_concat_files",
+        src_concat_files,
+        "key:i name:s balance:d",
+        """SELECT c_custkey AS key, c_name AS name, NULL AS balance FROM customer
+        UNION ALL SELECT s_suppkey, NULL, s_acctbal FROM supplier""",
+    ),
+    Query(
+        "scan_staging",
+        scan_staging,
+        "dataset:s rows:i",
+        " UNION ALL ".join(f"SELECT '{d}' AS dataset, {sql} AS rows" for d, sql in _SCAN_SQL.items()),
+    ),
+    Query(
+        "scan_staging_pattern",
+        scan_staging_pattern,
+        "rows:i with_sub_tables:i",
+        "SELECT 2 * COUNT(*) AS rows, 3 * COUNT(*) AS with_sub_tables FROM customer",
+    ),
+    Query(
+        "inc_new_files",
+        inc_new_files,
+        "path:s",
+        """SELECT DISTINCT source || '/' || lang AS path FROM documents WHERE source || '/' || lang NOT IN
+        (SELECT source || '/' || lang FROM documents d JOIN labels l ON l.doc_id = d.doc_id WHERE toxic = 1)""",
+    ),
+    Query("inc_modified", inc_modified, "path:s decision:s reason:s", f"SELECT *, {_DECISION} AS decision FROM ({_DECIDED})"),
+    Query(
+        "inc_force",
+        inc_force,
+        "path:s decision:s reason:s",
+        f"SELECT path, 'process' AS decision, '{incremental.FORCED}' AS reason FROM {_LISTING}",
+    ),
+    Query(
+        "inc_log_skip",
+        inc_log_skip,
+        "path:s",
+        """SELECT path FROM (SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS path,
+        COUNT(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS done FROM orders GROUP BY 1) WHERE done = 0""",
+    ),
+    Query(
+        "inc_stats",
+        inc_stats,
+        "dataset:s decision:s reason:s files:i",
+        f"""SELECT 'order_data' AS dataset, {_DECISION} AS decision, reason, COUNT(*) AS files FROM ({_DECIDED}) GROUP BY ALL""",
+    ),
+    Query(
+        "inc_stream",
+        inc_stream,
+        "order_id:s user_id:s transaction_date:s estimated_arrival_days:i",
+        with_star("SELECT order_id, user_id, transaction_date, estimated_arrival_days FROM stg_orders"),
+    ),
+    Query(
+        "sink_staging",
+        sink_staging,
+        "file_source:s rows:i days:i undated:i",
+        with_star(
+            """SELECT f AS file_source, COUNT(*) AS rows, SUM(delay_days) AS days, 0 AS undated FROM stg_delays
+            CROSS JOIN (VALUES ('delays.csv'), ('again.csv')) t(f) GROUP BY 1"""
+        ),
+    ),
+    Query(
+        "sink_snapshot",
+        sink_snapshot,
+        "order_id:s transaction_date_sk:i delay_days:i",
+        with_star("SELECT order_id, transaction_date_sk, delay_days * 2 AS delay_days FROM fact_orders"),
+    ),
+    Query(
+        "sink_view",
+        sink_view,
+        "staff_id:s total_orders_processed:i",
+        with_star("SELECT staff_id, total_orders_processed FROM vw_staff_performance"),
+    ),
+    Query(
+        "sink_materialize",
+        sink_materialize,
+        "date:s year:i month:i total_orders:i total_revenue:d",
+        with_star("SELECT date, year, month, total_orders, total_revenue FROM vw_sales_by_time WHERE year = 1998"),
+    ),
+    Query(
+        "sink_ingest_log",
+        sink_ingest_log,
+        "file_path:s table_name:s rows_ingested:i status:s message:s",
+        """SELECT source AS file_path, 'documents' AS table_name, COUNT(*) AS rows_ingested, 'success' AS status,
+        NULL AS message FROM documents GROUP BY source
+        UNION ALL SELECT DISTINCT source || '.zip', 'documents', 0, 'skipped', 'Unsupported ext .zip' FROM documents""",
+    ),
+    Query("sink_reset", sink_reset, "before:i after:i", with_star("SELECT COUNT(*) AS before, 0 AS after FROM fact_line_items")),
+    Query(
+        "schema_add_column",
+        schema_add_column,
+        "o_orderkey:i rows:i staff_id:s missing:i",
+        "SELECT o_orderkey, 2 AS rows, CAST(o_custkey AS VARCHAR) AS staff_id, 1 AS missing FROM orders",
+    ),
+]

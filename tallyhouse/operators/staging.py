@@ -340,6 +340,23 @@ def _formatted(column: str, fmt: Fmt) -> Column:
     return fmt(F.col(column))
 
 
+def light_clean(df: DataFrame) -> DataFrame:
+    """Older cleaning, driven by column names alone."""
+    out = drop_unnamed(df)
+    formats: dict[str, Fmt] = {}
+    for c in data_columns(out):
+        low = c.lower()
+        if "discount" in low:
+            formats[c] = fx.legacy_discount
+        if "quantity" in low:
+            formats[c] = fx.first_quantity
+        if "estimated" in low and "arrival" in low:
+            formats[c] = fx.arrival_days_before_word
+        if "date" in low:
+            formats[c] = fx.lenient_timestamp
+    return out.withColumns({c: fmt(F.col(f"`{c}`")) for c, fmt in formats.items()})
+
+
 def apply_formats(df: DataFrame, formats: dict[str, Fmt]) -> DataFrame:
     have = set(df.columns)
     present = {c: _formatted(c, fmt) for c, fmt in formats.items() if c in have}

@@ -208,6 +208,9 @@ DIM_FEEDS = {
     "dim_user": "user_data",
     "dim_staff": "staff_data",
     "dim_merchant": "merchant_data",
+    "dim_user_job": "user_job",
+    "dim_credit_card": "user_credit_card",
+    "dim_date": None,
 }
 
 _built: dict[tuple[str, str], dict[str, DataFrame]] = {}
@@ -235,18 +238,14 @@ def transformed(spark: SparkSession, sf_dir: str) -> Lazy:
     return staging(spark, sf_dir).map(transform)
 
 
-def build_dimensions(spark: SparkSession, feeds: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    out = {
-        name: dims.upsert_dimension(name, dims.empty_table(spark, name), feeds[feed])
-        for name, feed in DIM_FEEDS.items()
-    }
-    out["dim_campaign"] = dims.ensure_unknown_campaign(out["dim_campaign"])
-    out["dim_user_job"] = dims.append_outrigger("dim_user_job", dims.empty_table(spark, "dim_user_job"), feeds["user_job"])
-    out["dim_credit_card"] = dims.append_outrigger(
-        "dim_credit_card", dims.empty_table(spark, "dim_credit_card"), feeds["user_credit_card"]
-    )
-    out["dim_date"] = dims.build_calendar(spark, *CALENDAR)
-    return out
+def _dimension(spark: SparkSession, name: str, feeds: Mapping[str, DataFrame]) -> DataFrame:
+    if name == "dim_date":
+        return dims.build_calendar(spark, *CALENDAR)
+    empty = dims.empty_table(spark, name)
+    if name in dims.OUTRIGGERS:
+        return dims.append_outrigger(name, empty, feeds[DIM_FEEDS[name]])
+    loaded = dims.upsert_dimension(name, empty, feeds[DIM_FEEDS[name]])
+    return dims.ensure_unknown_campaign(loaded) if name == "dim_campaign" else loaded
 
 
 def _store_fact(df: DataFrame, label: str) -> DataFrame:
@@ -262,9 +261,11 @@ def _store_fact(df: DataFrame, label: str) -> DataFrame:
 def build_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     feed = transformed(configure(spark), sf_dir)
     # the dimensions do not depend on each other: their jobs may overlap
-    plans = build_dimensions(spark, feed)
     with ThreadPoolExecutor(max_workers=4) as pool:
-        star = dict(zip(plans, pool.map(materialize, plans.values(), plans)))
+        lines = pool.submit(staged_lines, spark, sf_dir)
+        made = pool.map(lambda name: materialize(_dimension(spark, name, feed), name), DIM_FEEDS)
+        star = dict(zip(DIM_FEEDS, made))
+        lines.result()
     # the three fact tables and their rejects
     load = facts.load_orders(
         dims.empty_table(spark, "fact_orders"),

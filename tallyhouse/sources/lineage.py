@@ -8,7 +8,8 @@ from tallyhouse.operators.keys import BLOCK_BITS, FILE_BITS, row_in_task
 from tallyhouse.sources.discovery import SourceFile
 
 _SPLIT_BITS = 22  # splits of a file start at least 4 MiB apart
-MAX_FILES = 1 << 20
+MAX_FILES = 1 << 20  # over all loads
+MAX_FILES_PER_LOAD = 1 << 18
 
 
 def place_in_split() -> Column:
@@ -25,11 +26,15 @@ def with_lineage(df: DataFrame, files: list[SourceFile], file_path: Column, plac
     """
     if files and files[-1].ordinal >= MAX_FILES:
         raise ValueError("more files than the order of arrival can number")
+    if len(files) > MAX_FILES_PER_LOAD:
+        raise ValueError("too many files for one load; load them in several runs")
     data = df.select("*", file_path.alias("__file"), place.alias("__place"))
     ordinals = df.sparkSession.createDataFrame(
         [(f.file_path, f.path, f.ordinal) for f in files], "__file string, file_source string, __ordinal bigint"
     )
-    joined = data.join(ordinals, "__file")
+    # the limit above bounds the list, so it can be sent along; a shuffle by
+    # file would put a large file into one task
+    joined = data.join(F.broadcast(ordinals), "__file")
     seq = F.shiftleft(F.col("__ordinal"), FILE_BITS) + F.col("__place")
     return joined.select(
         *df.columns, "file_source", F.current_timestamp().alias("loaded_at"), seq.cast("bigint").alias("ingest_seq")

@@ -141,30 +141,36 @@ def parquet_frames(spark: SparkSession, files: list[SourceFile]) -> list[DataFra
 
 
 def json_frames(spark: SparkSession, files: list[SourceFile]) -> list[DataFrame]:
-    """A document per file: a list of records, or columns of {row: value}."""
-    by_shape = _groups([(f, (head(spark, f.path, 256).lstrip()[:1],)) for f in files])
-    frames = []
-    for (opening,), group in by_shape.items():
-        if opening == "[":
-            df = spark.read.json([f.path for f in group], multiLine=True, primitivesAsString=True)
-            frames.append(with_lineage(df, group, F.col("_metadata.file_path"), row_in_task()))
-        else:
-            frames.append(_columnar_json(spark, group))
-    return frames
-
+    """A document per file: a list of records, or columns of {row: value}.
 
-def _columnar_json(spark: SparkSession, group: list[SourceFile]) -> DataFrame:
-    text = spark.read.text([f.path for f in group], wholetext=True).select(
-        F.col("_metadata.file_path").alias("__path"), F.from_json("value", "map<string,map<string,string>>").alias("m")
+    A document cannot be split, so a file is read by one task.
+    """
+    text = spark.read.text([f.path for f in files], wholetext=True).select(
+        F.col("_metadata.file_path").alias("__path"), "value"
+    )
+    rows = json_rows(text)
+    # one entry per column name
+    names = [r.name for r in rows.select(F.explode(F.map_keys("cells")).alias("name")).distinct().orderBy("name").collect()]
+    named = rows.select("__path", "row", *[F.col("cells")[n].alias(n) for n in names])
+    return [with_lineage(named, files, F.col("__path"), F.col("row")).drop("__path", "row")]
+
+
+def json_rows(text: DataFrame) -> DataFrame:
+    """(__path, value) documents -> (__path, row, cells) with cells by name."""
+    listed = F.ltrim("value").startswith("[")
+    records = text.filter(listed).select(
+        "__path", F.posexplode(F.from_json("value", "array<map<string,string>>")).alias("row", "cells")
+    )
+    columns = text.filter(~listed).select(
+        "__path", F.explode(F.from_json("value", "map<string,map<string,string>>")).alias("name", "column")
     )
-    cells = text.select("__path", F.explode("m").alias("name", "cells")).select(
-        "__path", "name", F.explode("cells").alias("row", "value")
+    # rows are keyed 0, 1, 2, ... as text; a group holds one cell per column
+    by_row = (
+        columns.select("__path", "name", F.explode("column").alias("row", "value"))
+        .groupBy("__path", F.col("row").try_cast("bigint").alias("row"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("cells"))
     )
-    # one entry per column of the file
-    names = [r.name for r in cells.select("name").distinct().orderBy("name").collect()]
-    rows = cells.groupBy("__path", "row").pivot("name", names).agg(F.first("value"))
-    # rows are keyed 0, 1, 2, ... as text
-    return with_lineage(rows, group, F.col("__path"), F.col("row").cast("bigint")).drop("__path", "row")
+    return records.select("__path", F.col("row").cast("bigint").alias("row"), "cells").unionByName(by_row)
 
 
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
@@ -199,7 +205,8 @@ def _promote_header(rows: DataFrame, files: list[SourceFile], kind: str) -> list
     frames = []
     for names, tables in layouts.items():
         mine = rows.sparkSession.createDataFrame(tables, "__path string, table_no int")
-        body = rows.filter(F.col("row_no") > 0).join(mine, ["__path", "table_no"], "left_semi")
+        # one entry per table of the files in hand
+        body = rows.filter(F.col("row_no") > 0).join(F.broadcast(mine), ["__path", "table_no"], "left_semi")
         named = body.select(
             *[F.get(F.col("cells"), F.lit(i)).alias(n) for i, n in enumerate(names)], "__path", "table_no", "row_no"
         )
