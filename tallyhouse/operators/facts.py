@@ -398,12 +398,16 @@ def load_line_items_set_based(
 CAMPAIGN_FACT_KEY = ["campaign_sk", "user_sk", "merchant_sk", "transaction_date_sk"]
 
 
+def _unknown_key(dim_campaign: DataFrame) -> DataFrame:
+    """Surrogate key of the UNKNOWN member: always one row, NULL if it is missing."""
+    return dim_campaign.filter(F.col("campaign_id") == UNKNOWN_CAMPAIGN).agg(
+        F.max("campaign_sk").alias("__unknown_sk")
+    )
+
+
 def judge_campaign_transactions(
     transactions: DataFrame, dim_campaign: DataFrame, fact_orders: DataFrame
 ) -> DataFrame:
-    unknown = dim_campaign.filter(F.col("campaign_id") == UNKNOWN_CAMPAIGN).agg(
-        F.max("campaign_sk").alias("__unknown_sk")
-    )
     keyed = (
         transactions.withColumns(
             {
@@ -414,7 +418,7 @@ def judge_campaign_transactions(
         .join(
             dim_campaign.select("campaign_id", F.col("campaign_sk").alias("__known_sk")), "campaign_id", "left"
         )
-        .crossJoin(unknown)  # one row
+        .crossJoin(_unknown_key(dim_campaign))  # one row
         .join(order_keys(fact_orders).drop("staff_sk"), "order_id", "left")
     )
     campaign_sk = F.coalesce(F.col("__known_sk"), F.col("__unknown_sk"))
@@ -496,9 +500,6 @@ def rekey_late_campaigns(
     rows that would move onto one free key, the smallest order id moves.
     Returns the new table and a one-row count of moved and held-back rows.
     """
-    unknown = dim_campaign.filter(F.col("campaign_id") == UNKNOWN_CAMPAIGN).select(
-        F.col("campaign_sk").alias("campaign_sk")
-    )
     campaign_of_order = (
         staged.withColumns(
             {
@@ -513,7 +514,8 @@ def rekey_late_campaigns(
     arrived = dim_campaign.filter(F.col("campaign_id") != UNKNOWN_CAMPAIGN).select(
         "campaign_id", F.col("campaign_sk").alias("__new_sk")
     )
-    open_rows = fact.join(unknown, "campaign_sk", "left_semi")
+    # one row, so the hot UNKNOWN key is compared where it lies, not shuffled
+    open_rows = fact.crossJoin(_unknown_key(dim_campaign)).filter(F.col("campaign_sk") == F.col("__unknown_sk"))
     moves = open_rows.join(campaign_of_order.join(arrived, "campaign_id"), "order_id").select(
         *fact.columns, "__new_sk"
     )

@@ -30,48 +30,53 @@ def _frames(path: str, table_no: int, rows: Iterator[list]) -> Iterator[pd.DataF
 
 
 class _Tables(HTMLParser):
-    """Rows of every table of a page, in order of the opening tags."""
+    """Rows of every table of a page, in order of the opening tags.
+
+    A table inside a cell is a table of its own; its text is not part of the
+    cell around it.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.tables: list[list[list[str]]] = []
-        self._open: list[int] = []
-        self._cell: list[str] | None = None
+        self._open: list[dict] = []  # innermost table last: its rows and its open cell
         self._muted = 0
 
     def handle_starttag(self, tag, attrs):
         if tag in ("script", "style"):
             self._muted += 1
         elif tag == "table":
-            self.tables.append([])
-            self._open.append(len(self.tables) - 1)
-        elif tag == "tr" and self._open:
+            rows: list[list[str]] = []
+            self.tables.append(rows)
+            self._open.append({"rows": rows, "cell": None})
+        elif not self._open:
+            return
+        elif tag == "tr":
             self._close_cell()
-            self.tables[self._open[-1]].append([])
-        elif tag in ("td", "th") and self._open and self.tables[self._open[-1]]:
+            self._open[-1]["rows"].append([])
+        elif tag in ("td", "th") and self._open[-1]["rows"]:
             self._close_cell()
-            self._cell = []
-        elif tag == "br" and self._cell is not None:
-            self._cell.append(" ")
+            self._open[-1]["cell"] = []
+        elif tag == "br":
+            self.handle_data(" ")
 
     def handle_endtag(self, tag):
         if tag in ("script", "style"):
             self._muted = max(0, self._muted - 1)
-        elif tag in ("td", "th", "tr"):
-            self._close_cell()
-        elif tag == "table" and self._open:
+        elif self._open and tag in ("td", "th", "tr", "table"):
             self._close_cell()
-            self._open.pop()
+            if tag == "table":
+                self._open.pop()
 
     def handle_data(self, data):
-        if self._cell is not None and not self._muted:
-            self._cell.append(data)
+        if self._open and self._open[-1]["cell"] is not None and not self._muted:
+            self._open[-1]["cell"].append(data)
 
     def _close_cell(self):
-        if self._cell is not None and self._open:
-            text = re.sub(r"\s+", " ", "".join(self._cell)).strip()
-            self.tables[self._open[-1]][-1].append(text)
-        self._cell = None
+        here = self._open[-1]
+        if here["cell"] is not None:
+            here["rows"][-1].append(re.sub(r"\s+", " ", "".join(here["cell"])).strip())
+        here["cell"] = None
 
 
 def html_tables(page: str) -> list[list[list[str]]]:

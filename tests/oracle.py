@@ -23,7 +23,7 @@ def session() -> SparkSession:
     return (
         SparkSession.builder.master("local[8]")
         .appName("tallyhouse-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
