@@ -15,6 +15,12 @@ from functools import lru_cache
 from pyspark.sql import Column, functions as F
 
 # --- fixed values -----------------------------------------------------------
+# White space of every kind, as code points.
+WHITE_SPACE = "".join(
+    chr(c)
+    for c in [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)]
+    + [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+)
 # Spellings that mean "no value".
 NULL_WORDS = ["", "nan", "none", "null", "n/a", "na", "<null>"]
 # The same, inside angle brackets.
@@ -78,6 +84,7 @@ def _apply(c: Column, body: str) -> Column:
 # --- SQL text ---------------------------------------------------------------
 # Each helper returns SQL over the SQL it is given.  R'...' is a raw literal;
 # (?U) makes \s cover white space of every kind.
+_WS = "".join(f"\\u{ord(c):04X}" for c in WHITE_SPACE)
 
 
 def _quote(text: str) -> str:
@@ -94,7 +101,7 @@ def _let(value: str, name: str, body: str) -> str:
 
 
 def _strip(x: str) -> str:
-    return rf"regexp_replace({x}, R'(?U)^\s+|\s+$', '')"
+    return f"btrim({x}, '{_WS}')"
 
 
 def _squeeze(x: str) -> str:
@@ -154,7 +161,7 @@ def _digits(x: str) -> str:
 
 def strip(c: Column) -> Column:
     """Drop white space of every kind from both ends (``trim`` drops blanks only)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def squeeze(c: Column) -> Column:

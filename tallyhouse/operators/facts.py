@@ -91,14 +91,20 @@ def insert_or_ignore(
 # --- orders -------------------------------------------------------------------
 
 
+def _keyed_delays(delays: DataFrame) -> DataFrame:
+    return delays.select(normalize_key(F.col("order_id")).alias("order_id"), "delay_days", "ingest_seq")
+
+
 def combine_orders(
     orders: DataFrame, order_merchants: DataFrame, delays: DataFrame | None
 ) -> DataFrame:
-    """Orders with their merchant and staff, and their delays.
+    """Orders with their merchant and staff, and their delay.
 
     The staff named by the merchant feed counts, not the one on the order.  An
-    order without a merchant row is left out.  Of several matches the first
-    one stays; several delay rows all stay, in order of arrival.
+    order without a merchant row is left out.  Of several orders or merchant
+    rows the first stays, of several delays the last; ``__delays`` says how
+    many there were.  Each side comes down to one row per order before the
+    joins, so an order that is repeated very often is no hot key in them.
     """
     left = orders.drop("staff_id").withColumn("order_id", normalize_key(F.col("order_id")))
     right = order_merchants.select(
@@ -107,20 +113,26 @@ def combine_orders(
         "staff_id",
         F.col("ingest_seq").alias("__merchant_seq"),
     )
-    # reducing each side first keeps the join at one row per order
     first_order = first_per_key(left, ["order_id"])
     first_merchant = first_per_key(right, ["order_id"], "__merchant_seq").drop("__merchant_seq")
     combined = first_order.join(first_merchant, "order_id", "inner")
     if delays is None:
-        return combined.withColumns(
-            {"delay_days": F.lit(None).cast("int"), "__delay_seq": F.lit(0).cast("bigint")}
-        )
-    late = delays.select(
-        normalize_key(F.col("order_id")).alias("order_id"),
-        F.col("delay_days"),
-        F.col("ingest_seq").alias("__delay_seq"),
+        return combined.withColumns({"delay_days": F.lit(None).cast("int"), "__delays": F.lit(0).cast("bigint")})
+    last = _keyed_delays(delays).groupBy("order_id").agg(
+        F.max_by("delay_days", "ingest_seq").alias("delay_days"), F.count("*").alias("__delays")
     )
-    return combined.join(late, "order_id", "left")
+    return combined.join(last, "order_id", "left")
+
+
+def _per_delay(rejected: DataFrame, delays: DataFrame | None) -> DataFrame:
+    """A rejected order comes out once per delay row it has."""
+    if delays is None:
+        return rejected
+    several = F.coalesce(F.col("__delays"), F.lit(0)) > 1
+    each = rejected.filter(several).drop("delay_days").join(
+        _keyed_delays(delays).select("order_id", "delay_days"), "order_id"
+    )
+    return rejected.filter(~several).unionByName(each)
 
 
 def judge_orders(
@@ -222,7 +234,7 @@ def load_orders(
     judged = stage(judged, "judged_orders")
     raw = [c for c in orders.columns if c not in schemas.LINEAGE and c != "staff_id"]
     rejects = _rejects(
-        judged,
+        _per_delay(judged.filter(F.col("reason").isNotNull()), delays),
         "reject_fact_orders",
         ["order_id", "user_id", "merchant_id", "staff_id", "transaction_date"],
         raw + ["merchant_id", "staff_id", "delay_days"],
@@ -235,7 +247,7 @@ def load_orders(
         "transaction_date_sk",
         "estimated_arrival_days",
         F.col("__delay").alias("delay_days"),
-        F.coalesce(F.col("__delay_seq"), F.lit(0)).alias("__seq"),
+        F.lit(0).alias("__seq"),
     )
     return Load(upsert_orders(current, offered), rejects, offered)
 

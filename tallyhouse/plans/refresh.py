@@ -9,8 +9,9 @@ finds the rows it would insert already there.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -81,9 +82,7 @@ def ingest(
 def ingest_all(spark: SparkSession, root: str, store: Store, force: bool = False, on_modified: str = "replace") -> DataFrame:
     """All datasets; their jobs do not depend on each other and may overlap."""
     with ThreadPoolExecutor(max_workers=4) as pool:
-        decisions = list(
-            pool.map(lambda d: ingest(spark, root, store, d, force, on_modified), DATASET_FILES)
-        )
+        decisions = list(pool.map(lambda d: ingest(spark, root, store, d, force, on_modified), DATASET_FILES))
     return incremental.decision_counts(union_all(decisions))
 
 
@@ -97,27 +96,52 @@ def direct_feeds(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     Keeps the product name of line items and puts places into title case.
     Each feed is written once, because its order of arrival must not change.
     """
-    out = {}
-    for dataset in schemas.STAGING:
+
+
+    def feed(dataset: str) -> DataFrame:
         files = source_files(dataset_files(spark, root, dataset))
         df = stage_files(spark, files, dataset, direct=True) if files else None
         if df is None:
             df = spark.range(1).where("false").select().to(schemas.staging_schema(dataset))
         df = apply_formats(transform(df, dataset), DIRECT_FORMATS.get(dataset, {}))
-        out[dataset] = materialize(df, f"direct_{dataset}")
-    return out
+        return materialize(df, f"direct_{dataset}")
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        return dict(zip(schemas.STAGING, pool.map(feed, schemas.STAGING)))
+
+
+def _together(jobs: list[Callable[[], object]]) -> None:
+    """Run jobs that do not depend on each other at the same time."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for job in [pool.submit(j) for j in jobs]:
+            job.result()
 
 
 def load_dimensions(spark: SparkSession, store: Store, feeds: Mapping[str, DataFrame], calendar) -> None:
-    store.replace("dim_date", dims.extend_calendar(store.read("dim_date"), dims.build_calendar(spark, *calendar)))
-    campaigns = dims.ensure_unknown_campaign(store.read("dim_campaign"))
-    store.replace("dim_campaign", dims.upsert_dimension("dim_campaign", campaigns, feeds["campaign_data"]))
-    rekey(store, feeds["transactional_campaign_data"])
-    for table, feed in DIM_FEEDS.items():
+    def days() -> None:
+        store.replace("dim_date", dims.extend_calendar(store.read("dim_date"), dims.build_calendar(spark, *calendar)))
+
+    def campaigns() -> None:
+        known = dims.ensure_unknown_campaign(store.read("dim_campaign"))
+        store.replace("dim_campaign", dims.upsert_dimension("dim_campaign", known, feeds["campaign_data"]))
+        rekey(store, feeds["transactional_campaign_data"])
+
+    def upsert(table: str, feed: str) -> None:
         store.replace(table, dims.upsert_dimension(table, store.read(table), feeds[feed]))
-    for table, feed in (("dim_user_job", "user_job"), ("dim_credit_card", "user_credit_card")):
+
+    def outrigger(table: str, feed: str) -> None:
         store.replace(table, dims.append_outrigger(table, store.read(table), feeds[feed]))
 
+    _together(
+        [
+            campaigns,
+            *[partial(upsert, table, feed) for table, feed in DIM_FEEDS.items()],
+            partial(outrigger, "dim_user_job", "user_job"),
+            partial(outrigger, "dim_credit_card", "user_credit_card"),
+            days,
+        ]
+    )
+
 
 def rekey(store: Store, staged: DataFrame) -> None:
     """Move campaign rows to campaigns that have arrived since they were loaded."""
@@ -127,44 +151,53 @@ def rekey(store: Store, staged: DataFrame) -> None:
 
 
 def load_facts(spark: SparkSession, store: Store, feeds: Mapping[str, DataFrame], pairing: str, missing_delay: int | None) -> None:
-    store.replace("dim_user", dims.stub_users(store.read("dim_user"), feeds["order_data"]))
-    store.replace("dim_product", dims.stub_products(store.read("dim_product"), feeds["line_item_data_products"]))
-
-    star = store.star()
-    load = facts.load_orders(
-        star["fact_orders"],
-        feeds["order_data"],
-        feeds["order_with_merchant_data"],
-        feeds["order_delays"],
-        star,
-        missing_delay,
-        stage=materialize,
-    )
-    store.replace("fact_orders", load.table, FACT_ORDER)
-    store.append("reject_fact_orders", load.rejects)
-
-    orders = store.read("fact_orders")
-    load = facts.load_line_items(
-        star["fact_line_items"],
-        feeds["line_item_data_prices"],
-        feeds["line_item_data_products"],
-        star["dim_product"],
-        orders,
-        pairing,
-        stage=materialize,
-    )
-    store.append("fact_line_items", load.added, FACT_ORDER)
-    store.append("reject_fact_line_items", load.rejects)
-
-    load = facts.load_campaign_transactions(
-        star["fact_campaign_transactions"],
-        feeds["transactional_campaign_data"],
-        star["dim_campaign"],
-        orders,
-        stage=materialize,
-    )
-    store.append("fact_campaign_transactions", load.added, FACT_ORDER)
-    store.append("reject_fact_campaign_transactions", load.rejects)
+    def users() -> None:
+        store.replace("dim_user", dims.stub_users(store.read("dim_user"), feeds["order_data"]))
+
+    def products() -> None:
+        store.replace("dim_product", dims.stub_products(store.read("dim_product"), feeds["line_item_data_products"]))
+
+    def orders() -> None:
+        star = store.star()
+        load = facts.load_orders(
+            star["fact_orders"],
+            feeds["order_data"],
+            feeds["order_with_merchant_data"],
+            feeds["order_delays"],
+            star,
+            missing_delay,
+            stage=materialize,
+        )
+        store.replace("fact_orders", load.table, FACT_ORDER)
+        store.append("reject_fact_orders", load.rejects)
+
+    def lines() -> None:
+        load = facts.load_line_items(
+            store.read("fact_line_items"),
+            feeds["line_item_data_prices"],
+            feeds["line_item_data_products"],
+            store.read("dim_product"),
+            store.read("fact_orders"),
+            pairing,
+            stage=materialize,
+        )
+        store.append("fact_line_items", load.added, FACT_ORDER)
+        store.append("reject_fact_line_items", load.rejects)
+
+    def campaigns() -> None:
+        load = facts.load_campaign_transactions(
+            store.read("fact_campaign_transactions"),
+            feeds["transactional_campaign_data"],
+            store.read("dim_campaign"),
+            store.read("fact_orders"),
+            stage=materialize,
+        )
+        store.append("fact_campaign_transactions", load.added, FACT_ORDER)
+        store.append("reject_fact_campaign_transactions", load.rejects)
+
+    _together([users, products])
+    orders()
+    _together([lines, campaigns])
 
 
 def refresh(

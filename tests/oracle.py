@@ -47,9 +47,7 @@ def _cell(v):
 
 def rows_of(columns: list[str], rows) -> list[tuple]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted(tuple(_cell(r[i]) for i in order) for r in rows) if False else sorted(
-        (tuple(_cell(r[i]) for i in order) for r in rows), key=repr
-    )
+    return sorted((tuple(_cell(r[i]) for i in order) for r in rows), key=repr)
 
 
 def compare(spark: SparkSession, con, query, sf_dir: str) -> tuple[bool, str]:

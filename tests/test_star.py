@@ -218,6 +218,11 @@ def test_repeated_delays_the_last_one_counts(spark):
     load = facts.load_orders(dims.empty_table(spark, "fact_orders"), orders, merchants, delays, star)
     assert [tuple(r) for r in load.table.collect()] == [("o1", 5, 6, 7, 20200101, 3, 6)]
     assert load.rejects.isEmpty()
+    # rejected, it comes out once per delay
+    lost = facts.load_orders(
+        dims.empty_table(spark, "fact_orders"), orders, merchants, delays, {**star, "dim_user": star["dim_user"].limit(0)}
+    )
+    assert sorted('"delay_days":4' in r.raw_data for r in lost.rejects.collect()) == [False, True]
     none = facts.load_orders(dims.empty_table(spark, "fact_orders"), orders, merchants, None, star, missing_delay=None)
     assert none.table.first().delay_days is None
 
