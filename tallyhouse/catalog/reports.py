@@ -37,12 +37,7 @@ def report(name: str, fn, columns: str, sql: str, *args) -> Query:
 
 
 KPI_DAY = "1998-06-15"
-_DIRECT = "fact_line_items fli LEFT JOIN dim_product dp ON fli.product_sk = dp.product_sk"
-_FULL = (
-    "fact_orders fo LEFT JOIN dim_date dd ON fo.transaction_date_sk = dd.date_sk "
-    "LEFT JOIN fact_line_items fli ON fo.order_id = fli.order_id "
-    "LEFT JOIN dim_product dp ON fli.product_sk = dp.product_sk"
-)
+_LINE_TOTAL = "(SELECT SUM(l.quantity * p.price) FROM fact_line_items l JOIN dim_product p ON p.product_sk = l.product_sk)"
 _GAP = "ABS(v.total - d.total)"
 
 QUERIES = [
@@ -51,9 +46,9 @@ QUERIES = [
         "kpi_daily_sales",
         kpis.daily_sales,
         "order_count:i total_sales:d",
-        f"""SELECT COUNT(*) AS order_count, COALESCE(SUM(li.price * li.quantity), 0) AS total_sales
-        FROM fact_orders fo JOIN dim_date dd ON fo.transaction_date_sk = dd.date_sk
-        LEFT JOIN fact_line_items li ON fo.order_id = li.order_id WHERE dd.date = DATE '{KPI_DAY}'""",
+        f"""SELECT COUNT(*) AS order_count, COALESCE(SUM(l.price * l.quantity), 0) AS total_sales
+        FROM (SELECT * FROM fact_orders WHERE transaction_date_sk = {KPI_DAY.replace('-', '')}) o
+        LEFT JOIN fact_line_items l ON l.order_id = o.order_id""",
         KPI_DAY,
     ),
     report(
@@ -61,7 +56,7 @@ QUERIES = [
         kpis.total_revenue,
         "metric:s value:d",
         f"""SELECT 'Total Revenue (View)' AS metric, SUM(total_revenue) AS value FROM vw_sales_by_time
-        UNION ALL SELECT 'Total Revenue (Direct from Facts)', SUM(fli.quantity * dp.price) FROM {_DIRECT}""",
+        UNION ALL SELECT 'Total Revenue (Direct from Facts)', {_LINE_TOTAL}""",
     ),
     report(
         "kpi_monthly_revenue",
@@ -77,8 +72,8 @@ QUERIES = [
         "kpi_monthly_revenue_direct",
         kpis.monthly_revenue_facts,
         "year:i month:i month_name:s monthly_revenue:d total_orders:i",
-        f"""SELECT dd.year, dd.month, dd.month_name, SUM(fli.quantity * dp.price) AS monthly_revenue,
-        COUNT(DISTINCT fo.order_id) AS total_orders FROM {_FULL} GROUP BY dd.year, dd.month, dd.month_name""",
+        """SELECT year, month, month_name, SUM(revenue) AS monthly_revenue, COUNT(DISTINCT order_id) AS total_orders
+        FROM order_lines LEFT JOIN dim_date ON date_sk = transaction_date_sk GROUP BY ALL""",
     ),
     report(
         "kpi_consistency",
@@ -89,7 +84,7 @@ QUERIES = [
         CASE WHEN {_GAP} < 0.01 THEN 'MATCH' WHEN {ratio(_GAP, 'v.total')} * 100 < 0.01 THEN 'MATCH (within 0.01%)'
         ELSE 'MISMATCH' END AS status
         FROM (SELECT SUM(total_revenue) AS total FROM vw_sales_by_time) v
-        CROSS JOIN (SELECT SUM(fli.quantity * dp.price) AS total FROM {_DIRECT}) d""",
+        CROSS JOIN (SELECT {_LINE_TOTAL} AS total) d""",
     ),
     report(
         "kpi_top_campaigns",
@@ -105,9 +100,9 @@ QUERIES = [
         kpis.campaign_order_totals,
         "metric:s value:i",
         """SELECT 'Total Campaign Orders (View)' AS metric, SUM(total_orders) AS value FROM vw_campaign_performance
-        UNION ALL SELECT 'Total Campaign Orders (Direct)', COUNT(DISTINCT fct.order_id)
-        FROM fact_campaign_transactions fct JOIN dim_campaign dc ON fct.campaign_sk = dc.campaign_sk
-        WHERE dc.campaign_name != 'No Campaign'""",
+        UNION ALL SELECT 'Total Campaign Orders (Direct)', COUNT(DISTINCT t.order_id)
+        FROM fact_campaign_transactions t WHERE t.campaign_sk IN
+        (SELECT campaign_sk FROM dim_campaign WHERE campaign_name <> 'No Campaign')""",
     ),
     report(
         "kpi_segment_revenue",
@@ -121,11 +116,8 @@ QUERIES = [
         "kpi_segment_revenue_direct",
         kpis.segment_revenue_facts,
         "customer_segment:s segment_revenue:d segment_orders:i",
-        """SELECT du.user_type AS customer_segment, SUM(fli.quantity * dp.price) AS segment_revenue,
-        COUNT(DISTINCT fo.order_id) AS segment_orders
-        FROM fact_orders fo LEFT JOIN dim_user du ON fo.user_sk = du.user_sk
-        LEFT JOIN fact_line_items fli ON fo.order_id = fli.order_id
-        LEFT JOIN dim_product dp ON fli.product_sk = dp.product_sk GROUP BY du.user_type""",
+        """SELECT user_type AS customer_segment, SUM(revenue) AS segment_revenue, COUNT(DISTINCT order_id) AS segment_orders
+        FROM order_lines x LEFT JOIN dim_user u ON u.user_sk = x.user_sk GROUP BY ALL""",
     ),
     report(
         "kpi_top_merchants",
@@ -141,7 +133,7 @@ QUERIES = [
         kpis.merchant_revenue_totals,
         "metric:s value:d",
         f"""SELECT 'Total Merchant Revenue (View)' AS metric, SUM(total_revenue) AS value FROM vw_merchant_performance
-        UNION ALL SELECT 'Total Merchant Revenue (Direct)', SUM(fli.quantity * dp.price) FROM {_FULL}""",
+        UNION ALL SELECT 'Total Merchant Revenue (Direct)', {_LINE_TOTAL}""",
     ),
     report(
         "bq_campaigns",
@@ -194,9 +186,9 @@ QUERIES = [
         "profile_completeness",
         kpis.order_completeness,
         "total_orders:i orders_with_line_items:i orders_without_items:i",
-        """SELECT COUNT(DISTINCT fo.order_id) AS total_orders, COUNT(DISTINCT fli.order_id) AS orders_with_line_items,
-        COUNT(DISTINCT fo.order_id) - COUNT(DISTINCT fli.order_id) AS orders_without_items
-        FROM fact_orders fo LEFT JOIN fact_line_items fli ON fo.order_id = fli.order_id""",
+        """SELECT a AS total_orders, b AS orders_with_line_items, a - b AS orders_without_items FROM (
+        SELECT COUNT(DISTINCT order_id) AS a, COUNT(DISTINCT CASE WHEN product_sk IS NOT NULL THEN order_id END) AS b
+        FROM order_lines)""",
     ),
     report(
         "perf_view_rollups",

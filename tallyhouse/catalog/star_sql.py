@@ -115,88 +115,116 @@ def ratio(a: str, b: str) -> str:
     return f"CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0)"
 
 
+# One row per line of an order (one row for an order without lines); every
+# view is a set of measures over it, grouped by names.
+_CTES["order_lines"] = """SELECT o.*, l.product_sk, l.quantity, l.quantity * p.price AS revenue
+    FROM fact_orders o LEFT JOIN fact_line_items l ON l.order_id = o.order_id
+    LEFT JOIN dim_product p ON p.product_sk = l.product_sk"""
+
+_MEASURES = {
+    "orders": "COUNT(DISTINCT x.order_id)",
+    "users": "COUNT(DISTINCT x.user_sk)",
+    "merchants": "COUNT(DISTINCT x.merchant_sk)",
+    "staff": "COUNT(DISTINCT x.staff_sk)",
+    "products": "COUNT(DISTINCT x.product_sk)",
+    "late": "COUNT(DISTINCT CASE WHEN x.delay_days > 0 THEN x.order_id END)",
+    "items": "SUM(x.quantity)",
+    "revenue": "SUM(x.revenue)",
+    "per_line": ratio("SUM(x.revenue)", "COUNT(x.revenue)"),
+}
+
+
+def _view(names: str, joins: str, **measures: str) -> str:
+    """Names, then measures (known by name, or SQL) over ``order_lines x``."""
+    columns = [names, *[f"{_MEASURES.get(m, m)} AS {alias}" for alias, m in measures.items()]]
+    return f"SELECT {', '.join(columns)} FROM order_lines x {joins} GROUP BY ALL"
+
+
+_DAY = "LEFT JOIN dim_date d ON d.date_sk = x.transaction_date_sk"
+_USER = "LEFT JOIN dim_user u ON u.user_sk = x.user_sk"
+_TAKEN = "COUNT(DISTINCT CASE WHEN t.availed = 1 THEN x.order_id END)"
+
 _VIEWS = {
-    "vw_campaign_performance": f"""SELECT dc.campaign_id, dc.campaign_name, dc.campaign_description, dc.discount,
-        COUNT(DISTINCT fo.order_id) AS total_orders, COUNT(DISTINCT fo.user_sk) AS unique_customers,
-        SUM(fli.quantity) AS total_quantity_sold, SUM(fli.quantity * dp.price) AS total_revenue,
-        {ratio('SUM(fli.quantity * dp.price)', 'COUNT(fli.quantity * dp.price)')} AS avg_order_value,
-        COUNT(DISTINCT CASE WHEN fct.availed = 1 THEN fo.order_id END) AS orders_with_campaign,
-        ROUND({ratio('COUNT(DISTINCT CASE WHEN fct.availed = 1 THEN fo.order_id END)', 'COUNT(DISTINCT fo.order_id)')} * 100, 2)
-            AS campaign_avail_rate_pct
-        FROM fact_orders fo JOIN fact_campaign_transactions fct ON fo.order_id = fct.order_id
-        JOIN dim_campaign dc ON fct.campaign_sk = dc.campaign_sk
-        LEFT JOIN fact_line_items fli ON fo.order_id = fli.order_id
-        LEFT JOIN dim_product dp ON fli.product_sk = dp.product_sk
-        GROUP BY dc.campaign_id, dc.campaign_name, dc.campaign_description, dc.discount""",
-    "vw_merchant_performance": f"""SELECT dm.merchant_id, dm.name AS merchant_name, dm.city AS merchant_city,
-        dm.state AS merchant_state, dm.country AS merchant_country,
-        COUNT(DISTINCT fo.order_id) AS total_orders, COUNT(DISTINCT fo.user_sk) AS unique_customers,
-        SUM(fli.quantity) AS total_items_sold, SUM(fli.quantity * dp.price) AS total_revenue,
-        {ratio('SUM(fli.quantity * dp.price)', 'COUNT(fli.quantity * dp.price)')} AS avg_order_value,
-        md.avg_delay_days, COALESCE(md.delayed_orders, 0) AS delayed_orders, COUNT(DISTINCT ds.staff_id) AS staff_count,
-        ROUND({ratio('COALESCE(md.delayed_orders, 0)', 'COUNT(DISTINCT fo.order_id)')} * 100, 2) AS delay_rate_pct
-        FROM fact_orders fo LEFT JOIN dim_merchant dm ON fo.merchant_sk = dm.merchant_sk
-        LEFT JOIN fact_line_items fli ON fo.order_id = fli.order_id
-        LEFT JOIN dim_product dp ON fli.product_sk = dp.product_sk
-        LEFT JOIN dim_staff ds ON fo.staff_sk = ds.staff_sk
-        LEFT JOIN (SELECT merchant_sk, {ratio('SUM(delay_days)', 'COUNT(delay_days)')} AS avg_delay_days,
-            COUNT(DISTINCT CASE WHEN delay_days > 0 THEN order_id END) AS delayed_orders
-            FROM fact_orders WHERE delay_days IS NOT NULL GROUP BY merchant_sk) md ON fo.merchant_sk = md.merchant_sk
-        GROUP BY dm.merchant_id, dm.name, dm.city, dm.state, dm.country, md.avg_delay_days, md.delayed_orders""",
-    "vw_customer_segment_revenue": f"""SELECT du.user_type AS customer_segment, du.country AS customer_country,
-        du.city AS customer_city, COUNT(DISTINCT fo.order_id) AS total_orders,
-        COUNT(DISTINCT fo.user_sk) AS unique_customers, SUM(fli.quantity) AS total_items_purchased,
-        SUM(fli.quantity * dp.price) AS total_revenue,
-        {ratio('SUM(fli.quantity * dp.price)', 'COUNT(fli.quantity * dp.price)')} AS avg_order_value,
-        MIN(dd.date) AS first_order_date, MAX(dd.date) AS last_order_date,
-        COUNT(DISTINCT dm.merchant_id) AS merchants_purchased_from,
-        COUNT(DISTINCT dp.product_id) AS unique_products_purchased
-        FROM fact_orders fo LEFT JOIN dim_user du ON fo.user_sk = du.user_sk
-        LEFT JOIN fact_line_items fli ON fo.order_id = fli.order_id
-        LEFT JOIN dim_product dp ON fli.product_sk = dp.product_sk
-        LEFT JOIN dim_date dd ON fo.transaction_date_sk = dd.date_sk
-        LEFT JOIN dim_merchant dm ON fo.merchant_sk = dm.merchant_sk
-        GROUP BY du.user_type, du.country, du.city""",
-    "vw_segment_revenue_by_time": f"""SELECT dd.date, dd.year, dd.month, dd.month_name, dd.quarter,
-        du.user_type AS customer_segment, COUNT(DISTINCT fo.order_id) AS total_orders,
-        COUNT(DISTINCT fo.user_sk) AS unique_customers, SUM(fli.quantity) AS total_items_sold,
-        SUM(fli.quantity * dp.price) AS total_revenue,
-        {ratio('SUM(fli.quantity * dp.price)', 'COUNT(fli.quantity * dp.price)')} AS avg_order_value
-        FROM fact_orders fo LEFT JOIN dim_date dd ON fo.transaction_date_sk = dd.date_sk
-        LEFT JOIN dim_user du ON fo.user_sk = du.user_sk
-        LEFT JOIN fact_line_items fli ON fo.order_id = fli.order_id
-        LEFT JOIN dim_product dp ON fli.product_sk = dp.product_sk
-        GROUP BY dd.date, dd.year, dd.month, dd.month_name, dd.quarter, du.user_type""",
-    "vw_sales_by_time": f"""SELECT dd.date, dd.year, dd.month, dd.month_name, dd.quarter, dd.day,
-        COUNT(DISTINCT fo.order_id) AS total_orders, COUNT(DISTINCT fo.user_sk) AS unique_customers,
-        SUM(fli.quantity) AS total_items_sold, SUM(fli.quantity * dp.price) AS total_revenue,
-        {ratio('SUM(fli.quantity * dp.price)', 'COUNT(fli.quantity * dp.price)')} AS avg_order_value,
-        COUNT(DISTINCT CASE WHEN fo.delay_days > 0 THEN fo.order_id END) AS delayed_orders,
-        {ratio('SUM(fo.delay_days)', 'COUNT(fo.delay_days)')} AS avg_delay_days
-        FROM fact_orders fo LEFT JOIN dim_date dd ON fo.transaction_date_sk = dd.date_sk
-        LEFT JOIN fact_line_items fli ON fo.order_id = fli.order_id
-        LEFT JOIN dim_product dp ON fli.product_sk = dp.product_sk
-        GROUP BY dd.date, dd.year, dd.month, dd.month_name, dd.quarter, dd.day""",
-    "vw_product_performance": f"""SELECT dp.product_id, dp.product_name, dp.product_type, dp.price,
-        COUNT(DISTINCT fli.order_id) AS total_orders, COUNT(DISTINCT fo.user_sk) AS unique_customers,
-        SUM(fli.quantity) AS total_quantity_sold, SUM(fli.quantity * dp.price) AS total_revenue,
-        {ratio('SUM(fli.quantity)', 'COUNT(fli.quantity)')} AS avg_quantity_per_order,
-        COUNT(DISTINCT dm.merchant_id) AS merchants_selling
-        FROM fact_line_items fli LEFT JOIN dim_product dp ON fli.product_sk = dp.product_sk
-        LEFT JOIN fact_orders fo ON fli.order_id = fo.order_id
-        LEFT JOIN dim_merchant dm ON fo.merchant_sk = dm.merchant_sk
-        GROUP BY dp.product_id, dp.product_name, dp.product_type, dp.price""",
-    "vw_staff_performance": f"""SELECT ds.staff_id, ds.name AS staff_name, ds.job_level AS staff_job_level,
-        ds.city AS staff_city, ds.state AS staff_state, COUNT(DISTINCT fo.order_id) AS total_orders_processed,
-        COUNT(DISTINCT fo.user_sk) AS unique_customers_served, SUM(fli.quantity) AS total_items_processed,
-        SUM(fli.quantity * dp.price) AS total_revenue_generated,
-        {ratio('SUM(fli.quantity * dp.price)', 'COUNT(fli.quantity * dp.price)')} AS avg_order_value,
-        COUNT(DISTINCT dm.merchant_id) AS merchants_worked_with
-        FROM fact_orders fo LEFT JOIN dim_staff ds ON fo.staff_sk = ds.staff_sk
-        LEFT JOIN fact_line_items fli ON fo.order_id = fli.order_id
-        LEFT JOIN dim_product dp ON fli.product_sk = dp.product_sk
-        LEFT JOIN dim_merchant dm ON fo.merchant_sk = dm.merchant_sk
-        GROUP BY ds.staff_id, ds.name, ds.job_level, ds.city, ds.state""",
+    "vw_campaign_performance": _view(
+        "c.campaign_id, c.campaign_name, c.campaign_description, c.discount",
+        "JOIN fact_campaign_transactions t ON t.order_id = x.order_id JOIN dim_campaign c ON c.campaign_sk = t.campaign_sk",
+        total_orders="orders",
+        unique_customers="users",
+        total_quantity_sold="items",
+        total_revenue="revenue",
+        avg_order_value="per_line",
+        orders_with_campaign=_TAKEN,
+        campaign_avail_rate_pct=f"ROUND({ratio(_TAKEN, _MEASURES['orders'])} * 100, 2)",
+    ),
+    "vw_merchant_performance": "SELECT v.* EXCLUDE (merchant_sk), h.avg_delay_days, h.delayed_orders, "
+    f"ROUND({ratio('h.delayed_orders', 'v.total_orders')} * 100, 2) AS delay_rate_pct FROM ("
+    + _view(
+        "x.merchant_sk, m.merchant_id, m.name AS merchant_name, m.city AS merchant_city, m.state AS merchant_state, "
+        "m.country AS merchant_country",
+        "LEFT JOIN dim_merchant m ON m.merchant_sk = x.merchant_sk",
+        total_orders="orders",
+        unique_customers="users",
+        total_items_sold="items",
+        total_revenue="revenue",
+        avg_order_value="per_line",
+        staff_count="staff",
+    )
+    + f""") v JOIN (SELECT merchant_sk, {ratio('SUM(delay_days)', 'COUNT(delay_days)')} AS avg_delay_days,
+        COUNT(CASE WHEN delay_days > 0 THEN 1 END) AS delayed_orders FROM fact_orders GROUP BY merchant_sk) h
+        ON h.merchant_sk = v.merchant_sk""",
+    "vw_customer_segment_revenue": _view(
+        "u.user_type AS customer_segment, u.country AS customer_country, u.city AS customer_city",
+        f"{_USER} {_DAY}",
+        total_orders="orders",
+        unique_customers="users",
+        total_items_purchased="items",
+        total_revenue="revenue",
+        avg_order_value="per_line",
+        first_order_date="MIN(d.date)",
+        last_order_date="MAX(d.date)",
+        merchants_purchased_from="merchants",
+        unique_products_purchased="products",
+    ),
+    "vw_segment_revenue_by_time": _view(
+        "d.date, d.year, d.month, d.month_name, d.quarter, u.user_type AS customer_segment",
+        f"{_USER} {_DAY}",
+        total_orders="orders",
+        unique_customers="users",
+        total_items_sold="items",
+        total_revenue="revenue",
+        avg_order_value="per_line",
+    ),
+    "vw_sales_by_time": _view(
+        "d.date, d.year, d.month, d.month_name, d.quarter, d.day",
+        _DAY,
+        total_orders="orders",
+        unique_customers="users",
+        total_items_sold="items",
+        total_revenue="revenue",
+        avg_order_value="per_line",
+        delayed_orders="late",
+        avg_delay_days=ratio("SUM(x.delay_days)", "COUNT(x.delay_days)"),
+    ),
+    "vw_product_performance": _view(
+        "p.product_id, p.product_name, p.product_type, p.price",
+        "JOIN dim_product p ON p.product_sk = x.product_sk",
+        total_orders="orders",
+        unique_customers="users",
+        total_quantity_sold="items",
+        total_revenue="revenue",
+        avg_quantity_per_order=ratio("SUM(x.quantity)", "COUNT(x.quantity)"),
+        merchants_selling="merchants",
+    ),
+    "vw_staff_performance": _view(
+        "s.staff_id, s.name AS staff_name, s.job_level AS staff_job_level, s.city AS staff_city, s.state AS staff_state",
+        "LEFT JOIN dim_staff s ON s.staff_sk = x.staff_sk",
+        total_orders_processed="orders",
+        unique_customers_served="users",
+        total_items_processed="items",
+        total_revenue_generated="revenue",
+        avg_order_value="per_line",
+        merchants_worked_with="merchants",
+    ),
 }
 _ALL = {**_CTES, **_VIEWS}
 
