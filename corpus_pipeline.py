@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.llm import decontaminate, mixing
-from tallyhouse.llm.base import LlmQuery, table
-from tallyhouse.session import configure, materialize
+from tallyhouse.llm.base import LlmQuery, prepare, table
+from tallyhouse.session import materialize
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +23,7 @@ STAGES = [("decontaminate", decontaminated), ("mix", mixed)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    prepare(spark)
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -14,6 +14,19 @@ SPACE_WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: What a Python worker is given at once: rows may hold long texts.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
+    return configure(spark)
+
+
 @dataclass(frozen=True)
 class LlmQuery:
     """A registered query: the operator at production parameters over whole tables."""
@@ -23,7 +36,7 @@ class LlmQuery:
     sql: str | None = None
 
     def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return self.run(configure(spark), sf_dir)
+        return self.run(prepare(spark), sf_dir)
 
     def oracle(self) -> str | None:
         return self.sql
