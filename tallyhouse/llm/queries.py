@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyhouse.llm import decontaminate, jaccard, mixing, substrings
+from tallyhouse.llm import decontaminate, jaccard, mixing, substrings, tokens
 from tallyhouse.llm.base import LlmQuery, table
 
 
@@ -15,5 +15,6 @@ def all_llm_queries() -> list[LlmQuery]:
         ),
         LlmQuery("op6_substring_dedup", lambda s, d: substrings.op6(s, table(s, d, "documents")), substrings.SQL),
         LlmQuery("op7_jaccard_join", lambda s, d: jaccard.op7(s, table(s, d, "documents")), jaccard.SQL),
+        LlmQuery("op8_token_ids", lambda s, d: tokens.op8(s, table(s, d, "documents"))),
         LlmQuery("op9_mixing", lambda s, d: mixing.op9(s, table(s, d, "documents")), mixing.SQL),
     ]
