@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tallyhouse.llm import decontaminate, jaccard, mixing, substrings, tokens
+from tallyhouse.llm import decontaminate, jaccard, mixing, secrets, substrings, tokens
 from tallyhouse.llm.base import LlmQuery, table
 
 
 def all_llm_queries() -> list[LlmQuery]:
     return [
+        LlmQuery("op3_secret_scan", lambda s, d: secrets.op3(s, table(s, d, "documents")), secrets.sql()),
         LlmQuery(
             "op5_decontaminate",
             lambda s, d: decontaminate.op5(s, table(s, d, "documents"), table(s, d, "benchmark")),

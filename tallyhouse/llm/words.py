@@ -59,10 +59,9 @@ def _hash_piece(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.
     return np.searchsorted(start, offsets), scramble((sums[end] - sums[start]) * down[start])
 
 
-def pieces(column: pa.Array, lower: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``(row, bounds, hashes)``: from ``row`` on, the text ``row + k`` has the words
-    ``hashes[bounds[k]:bounds[k + 1]]``.  Words are runs without ASCII white space; null has none.
-    With ``lower``, A-Z count as a-z."""
+def byte_pieces(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``(row, offsets, data)``: from ``row`` on, the text ``row + k`` is
+    ``data[offsets[k]:offsets[k + 1]]`` in UTF-8; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
@@ -76,11 +75,18 @@ def pieces(column: pa.Array, lower: bool) -> Iterator[tuple[int, np.ndarray, np.
         end = int(np.searchsorted(offsets, offsets[row] + PIECE, side="right")) - 1
         end = min(max(end, row + 1), len(column))
         lo, hi = int(offsets[row]), int(offsets[end])
-        bounds, hashes = _hash_piece(data[lo:hi], offsets[row : end + 1] - lo, lower)
-        yield row, bounds, hashes
+        yield row, offsets[row : end + 1] - lo, data[lo:hi]
         row = end
 
 
+def pieces(column: pa.Array, lower: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``(row, bounds, hashes)``: from ``row`` on, the text ``row + k`` has the words
+    ``hashes[bounds[k]:bounds[k + 1]]``.  Words are runs without ASCII white space; null has none.
+    With ``lower``, A-Z count as a-z."""
+    for row, offsets, data in byte_pieces(column):
+        yield row, *_hash_piece(data, offsets, lower)
+
+
 def runs(hashes: np.ndarray, k: int, seed: int) -> np.ndarray:
     """Hash of every ``k`` consecutive words; entry ``i`` starts at word ``i``."""
     if len(hashes) < k:
