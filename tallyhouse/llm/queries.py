@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tallyhouse.llm import decontaminate, jaccard, mixing, pii, secrets, substrings, tokens
+from tallyhouse.llm import decontaminate, jaccard, mixing, pii, quality, secrets, substrings, tokens
 from tallyhouse.llm.base import LlmQuery, table
 
 
 def all_llm_queries() -> list[LlmQuery]:
     return [
+        LlmQuery("op2_quality", lambda s, d: quality.op2(s, table(s, d, "documents"), table(s, d, "labels"))),
         LlmQuery("op3_secret_scan", lambda s, d: secrets.op3(s, table(s, d, "documents")), secrets.sql()),
         LlmQuery("op4_pii", lambda s, d: pii.op4(s, table(s, d, "documents"))),
         LlmQuery(
