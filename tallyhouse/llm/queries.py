@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tallyhouse.llm import decontaminate, jaccard, mixing, pii, quality, secrets, substrings, tokens
+from tallyhouse.llm import decontaminate, jaccard, mixing, neighbours, pages, pii, quality, secrets, substrings, tokens
 from tallyhouse.llm.base import LlmQuery, table
 
 
 def all_llm_queries() -> list[LlmQuery]:
     return [
+        LlmQuery("op1_nearest_neighbours", lambda s, d: neighbours.op1(s, table(s, d, "embeddings"))),
         LlmQuery("op2_quality", lambda s, d: quality.op2(s, table(s, d, "documents"), table(s, d, "labels"))),
         LlmQuery("op3_secret_scan", lambda s, d: secrets.op3(s, table(s, d, "documents")), secrets.sql()),
         LlmQuery("op4_pii", lambda s, d: pii.op4(s, table(s, d, "documents"))),
@@ -20,4 +21,5 @@ def all_llm_queries() -> list[LlmQuery]:
         LlmQuery("op7_jaccard_join", lambda s, d: jaccard.op7(s, table(s, d, "documents")), jaccard.SQL),
         LlmQuery("op8_token_ids", lambda s, d: tokens.op8(s, table(s, d, "documents"))),
         LlmQuery("op9_mixing", lambda s, d: mixing.op9(s, table(s, d, "documents")), mixing.SQL),
+        LlmQuery("op10_main_text", lambda s, d: pages.op10(s, table(s, d, "pages"))),
     ]
