@@ -46,9 +46,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def free_name(df: DataFrame, wanted: str) -> str:
-    """``wanted``, with underscores added until no column of ``df`` is called so."""
-    taken = {c.lower() for c in df.columns}
-    while wanted.lower() in taken:
-        wanted += "_"
-    return wanted
+def neutral(df: DataFrame, *wanted: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns ``c0, c1, ...``, so that no name clashes with an operator's own, and the
+    new names of the ``wanted`` columns."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))]), [f"c{df.columns.index(w)}" for w in wanted]
+
+
+def restored(out: DataFrame, df: DataFrame) -> DataFrame:
+    """The columns of ``df`` under their old names, out of a frame that came from ``neutral``."""
+    return out.select(*[f"c{k}" for k in range(len(df.columns))]).toDF(*df.columns)

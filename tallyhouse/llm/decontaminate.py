@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhouse.llm.base import LOWER, UPPER
+from tallyhouse.llm.base import LOWER, UPPER, neutral, restored
 from tallyhouse.session import materialize
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # after lower-casing
@@ -123,10 +123,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text="text", remove="do
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
-    rows = with_hits(docs, benchmark_windows(benchmark, n=n), text, max_set)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    inner, (text,) = neutral(docs, text)
+    rows = with_hits(inner, benchmark_windows(benchmark, n=n), text, max_set)
     if remove == "documents":
-        return rows.where(F.size("__hits") == 0).select(*columns)
+        return restored(rows.where(F.size("__hits") == 0), docs)
     rows = rows.withColumns(
         {
             "__raw": F.regexp_extract_all(F.col(text), F.lit(RAW_WORD), F.lit(0)),
@@ -140,7 +140,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text="text", remove="do
         "if(array_contains(__out, i) and array_contains(__out, i + 1), '', __gap[i]))), ''))"
     )
     cut = F.when(F.size("__hits") > 0, F.expr(piece)).otherwise(F.col(text))
-    return rows.withColumn(text, cut).select(*columns)
+    return restored(rows.withColumn(text, cut), docs)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, text="text", doc_id="doc_id", item_id="item_id", n: int = N, max_set: int = MAX_SET) -> DataFrame:

@@ -33,13 +33,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tallyhouse.llm.base import neutral, restored
 from tallyhouse.llm.components import connected_components
 from tallyhouse.llm.stream import group_bounds, sorted_groups
 from tallyhouse.llm.words import U64, pieces, runs, scramble, signed
 from tallyhouse.session import materialize
 
-SHINGLE = 3
-PERCENT = 90  # linked if 100 * intersection >= PERCENT * union
+#: Words of a shingle; linked if 100 * intersection >= PERCENT * union.
+SHINGLE, PERCENT = 5, 80
 SPARE = 2
 #: A key counts as heavy from so many documents on; at most so many heavy keys are listed.
 HEAVY, MAX_HEAVY, SALTS = 2048, 50_000, 16
@@ -362,13 +363,15 @@ def keep_one(docs: DataFrame, text="text", doc_id="doc_id", **how) -> DataFrame:
 
     Rows that repeat an id are repetitions of one document: all stay or go with it.
     """
-    found = near_duplicates(docs, text, doc_id, **how)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[doc_id] == gone["__gone"], "left_anti")
+    inner, (text, doc_id) = neutral(docs, text, doc_id)
+    found = near_duplicates(inner, text, doc_id, **how)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    return restored(inner.join(gone, inner[doc_id] == gone["gone"], "left_anti"), docs)
 
 
 def op7(spark, docs: DataFrame) -> DataFrame:
-    return near_duplicates(docs)
+    """Three words and a similarity of 0.9."""
+    return near_duplicates(docs, shingle=3, percent=90)
 
 
 SQL = r"""

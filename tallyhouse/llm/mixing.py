@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyhouse.llm.base import SPACE_WORD
+from tallyhouse.llm.base import SPACE_WORD, neutral, restored
 from tallyhouse.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -158,13 +158,14 @@ def allocate(frame: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) ->
     return outside.unionByName(cut_rows).drop(*drop)
 
 
-def mix(docs: DataFrame, text="text", source="source", doc_id="doc_id", weight=None, **how) -> DataFrame:
+def mix(docs: DataFrame, text="text", source="source", doc_id="doc_id", **how) -> DataFrame:
     """The mixed corpus: rows of ``docs``, each as often as the mix takes it.
 
     A document whose words are taken ``k`` times and a part comes out ``k`` times whole and once
     cut to the part, so the words of the result are the words of the plan.
     """
-    rows = allocate(sized(docs, text, source, doc_id, weight), **how)
+    inner, (text, source, doc_id) = neutral(docs, text, source, doc_id)
+    rows = allocate(sized(inner, text, source, doc_id), **how)
     size, taken = F.col("__size"), F.col("__taken")
     part = F.when(size > 0, taken % size).otherwise(0)
     # the first `part` words, with the white space between them as it was
@@ -189,7 +190,7 @@ def mix(docs: DataFrame, text="text", source="source", doc_id="doc_id", weight=N
         ),
     )
     out = out.withColumn(text, F.when(F.col("__cut_copy"), cut_text).otherwise(F.col(text)))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return restored(out, docs)
 
 
 def op9(spark, docs: DataFrame) -> DataFrame:

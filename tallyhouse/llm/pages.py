@@ -22,6 +22,7 @@ from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tallyhouse.llm.mincut import Cut
 
@@ -190,7 +191,7 @@ def extract(pages: DataFrame, html="html", keep=("page_id", "url")) -> DataFrame
     """``keep`` columns, ``text`` and ``n_chars`` of every page."""
     names = [f"c{k}" for k in range(len(keep))]
     base = pages.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(f"`{html}`").alias("html"))
-    schema = base.drop("html").schema.add("text", "string").add("n_chars", "long")
+    schema = StructType([*base.drop("html").schema.fields, StructField("text", StringType()), StructField("n_chars", LongType())])
 
     def run(batches):
         for batch in batches:

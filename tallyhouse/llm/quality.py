@@ -24,6 +24,9 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+from tallyhouse.llm.base import neutral, restored
 
 SPACE = 1 << 20
 SAMPLE, TERMS, DIMS, NEIGHBOURS, POWER = 4096, 8192, 64, 25, 4.0
@@ -219,17 +222,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def score(docs: DataFrame, model: Model, text="text") -> DataFrame:
-    """``docs`` plus ``__score``; the model goes along as a broadcast of bounded size."""
+    """Columns ``c0, c1, ...`` of ``docs`` plus ``score``; the model is broadcast, its size is bound."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    place = docs.columns.index(text)
-    schema = docs.schema.add("__score", "double")
+    inner, (text,) = neutral(docs, text)
+    place = inner.columns.index(text)
+    schema = StructType([*inner.schema.fields, StructField("score", DoubleType())])
 
     def run(batches):
         for batch in batches:
             found = shared.value.scores(batch.column(place).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*batch.schema.names, "__score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*batch.schema.names, "score"])
 
-    return docs.mapInArrow(run, schema)
+    return inner.mapInArrow(run, schema)
 
 
 def op2(spark, docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -247,4 +251,4 @@ def op2(spark, docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Documents whose score reaches the threshold; labelled rows are learnt from as in ``fit``."""
-    return score(docs, fit(docs, labels)).where(F.col("__score") >= threshold).drop("__score")
+    return restored(score(docs, fit(docs, labels)).where(F.col("score") >= threshold), docs)
