@@ -29,7 +29,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from tallyhouse.llm.base import neutral, restored
 
 SPACE = 1 << 20
-SAMPLE, TERMS, DIMS, NEIGHBOURS, POWER = 4096, 8192, 64, 25, 4.0
+SAMPLE, TERMS, DIMS, NEIGHBOURS, POWER = 4096, 8192, 64, 7, 12.0
 THRESHOLD, FOLDS = 0.3, 5
 #: Weight of shapes and of repetition beside words.
 SHAPES, REPEATS = 3.0, 4.0
