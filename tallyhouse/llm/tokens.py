@@ -7,9 +7,9 @@ a Parquet file: ``part`` and ``seq`` give its place, ``base`` the ids before it
 ids of its documents, their lengths, and the codes (see ``dac``).  Parquet's statistics of
 ``first_id`` and ``last_id`` find the segment of a document, the codes give any of its tokens.
 
-The tokenizer cuts at white space before anything else and its normaliser does not look across it,
-so a text is encoded word by word and the ids of a word are remembered (a bounded memory per worker).
-Texts are never cut.
+The tokenizer's split never crosses white space and its normaliser does not look across it, so a text
+is encoded word by word and the ids of a word are remembered (a bounded memory per worker).  Texts are
+never cut.
 
 Defined results: null and empty texts have the end id only; null ids come first; rows that repeat an
 id are documents of their own, ordered by a hash of the text; an empty table writes no segment and
@@ -18,7 +18,11 @@ gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import json
+import re
+import sys
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +35,8 @@ from tallyhouse.session import scratch_path
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 SEGMENT = 1 << 20
-#: Words whose ids a worker remembers.
-REMEMBERED = 500_000
+#: Words, and parts of words, whose ids a worker remembers (twice as many words at most).
+REMEMBERED = 300_000
 
 FILE_SCHEMA = "part int, seq int, base long, n_tokens long, first_id long, last_id long, doc_ids array<long>, lengths array<long>, codes binary"
 
@@ -45,14 +49,54 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+#: The split of the vocabulary's pre-tokenizer (fixed value).  It never crosses white space.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same for lower-case words of printable ASCII and the Latin letters from U+00C0 to U+00FF, none of
+#: which the normaliser changes but to lower case.
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte: itself where it is printable, else the next one from 256."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_BYTE_CHARACTERS = _byte_characters()
+
+
+def _ids(values) -> bytes:
+    return array("I", values).tobytes()
+
+
 class Encoder:
-    """Ids of texts as little-endian 32-bit words."""
+    """Ids of texts as little-endian 32-bit words.
+
+    With the split above, ids are remembered by word and, for plain words, by the parts that the split
+    makes of them.  With any other split whole texts go through the tokenizer.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            told = json.load(f)
+        steps = [x.get("type") for x in (told.get("normalizer") or {}).get("normalizers", [])]
+        cuts = (told.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        self.by_word = (
+            steps == ["NFC", "Replace", "Lowercase"]
+            and [x.get("type") for x in cuts] == ["Split", "ByteLevel"]
+            and cuts[0].get("pattern") == {"Regex": SPLIT}
+            and not cuts[1].get("add_prefix_space")
+            and sys.byteorder == "little"
+        )
+        self.special = [x["content"].encode() for x in told.get("added_tokens", [])]
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -61,17 +105,46 @@ class Encoder:
             _loaded[path] = cls(path)
         return _loaded[path]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        new = [w for w in set().union(*cut) if w not in self.words]
-        for lo in range(0, len(new), 20_000):
-            some = new[lo : lo + 20_000]
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            said = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+            ids = self.parts[part] = _ids([t.id for t in self.tokenizer.model.tokenize(said)])
+        return ids
+
+    def _learn(self, new: list[bytes]) -> None:
+        words, older, rest = self.words, self.older, []
+        for w in new:
+            known = older.get(w)
+            if known is None:
+                word = w.decode("utf-8", "replace")
+                if not _PLAIN.fullmatch(word):
+                    rest.append(w)
+                    continue
+                known = b"".join(map(self._part, _PARTS.findall(word.lower())))
+            words[w] = known
+        for lo in range(0, len(rest), 20_000):
+            some = rest[lo : lo + 20_000]
             found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            self.words.update(zip(some, [np.array(e.ids, "<u4").tobytes() for e in found], strict=True))
+            words.update(zip(some, [_ids(e.ids) for e in found], strict=True))
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        data = [(t or "").encode("utf-8", "replace") for t in texts]
+        out: list[bytes | None] = [None] * len(data)
+        # special tokens are found before the normaliser runs: such texts go whole
+        whole = [k for k, d in enumerate(data) if not self.by_word or any(x in d for x in self.special)]
+        found = self.tokenizer.encode_batch_fast([data[k].decode() for k in whole], add_special_tokens=False) if whole else []
+        for k, e in zip(whole, found, strict=True):
+            out[k] = np.array(e.ids, "<u4").tobytes()
+        cut = {k: d.lower().split() for k, d in enumerate(data) if out[k] is None}  # lower(): ASCII only
+        self._learn([w for w in set().union(*cut.values()) if w not in self.words])
         get = self.words.__getitem__
-        out = [b"".join(map(get, words)) for words in cut]
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
+        for k, words in cut.items():
+            out[k] = b"".join(map(get, words))
+        if len(self.words) > REMEMBERED:  # what is used again comes back from the older half
+            self.words, self.older = {}, self.words
+        if len(self.parts) > REMEMBERED:
+            self.parts.clear()
         return out
 
 
