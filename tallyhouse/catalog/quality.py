@@ -553,7 +553,7 @@ QUERIES = [
             WHERE email IS NULL OR email = 'nobody(at)example'
             UNION ALL SELECT 'contact_number', 'phone lengths', COUNT(DISTINCT length(regexp_replace(contact_number, '\\D', '', 'g'))),
             COUNT(DISTINCT length(regexp_replace(contact_number, '\\D', '', 'g'))) > 2
-            FROM (SELECT * FROM raw_users ORDER BY seq LIMIT 20)""",
+            FROM raw_users""",
             {"raw_users": _RAW_USERS},
         ),
     ),

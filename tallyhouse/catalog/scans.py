@@ -48,15 +48,21 @@ def _files(spark: SparkSession, root: str, pattern: str = "*") -> list[discovery
     return discovery.source_files(discovery.find_files(spark, root, pattern))
 
 
+def _rows_of(spark: SparkSession, listing: DataFrame) -> DataFrame:
+    """Rows of each file found; the files differ in their columns, so each is a scan of its own."""
+    found = discovery.source_files(listing)
+    return rel.union_all(
+        [spark.read.parquet(f.path).agg(F.lit(f.path.rsplit("/", 1)[-1]).alias("name"), F.count("*").alias("rows")) for f in found]
+    )
+
+
 def src_discover(spark, sf_dir):
-    """The files of the data set itself."""
-    found = discovery.find_files(spark, sf_dir, "*.parquet")
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("name"), (F.col("length") > 0).alias("filled"))
+    """The files of the data set itself, with their rows."""
+    return _rows_of(spark, discovery.find_files(spark, sf_dir, "*.parquet"))
 
 
 def src_exclude_name(spark, sf_dir):
-    found = discovery.find_files(spark, sf_dir, "*.parquet", exclude_name="ORDERS")
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("name"))
+    return _rows_of(spark, discovery.find_files(spark, sf_dir, "*.parquet", exclude_name="ORDERS"))
 
 
 _NAMES = [
@@ -66,7 +72,7 @@ _NAMES = [
 
 
 def _name_rows(skip: str = "") -> str:
-    return " UNION ALL ".join(f"SELECT '{n}.parquet' AS name, TRUE AS filled" for n in _NAMES if n != skip)
+    return " UNION ALL ".join(f"SELECT '{n}.parquet' AS name, COUNT(*) AS rows FROM {n}" for n in _NAMES if n != skip)
 
 
 def src_csv_auto(spark, sf_dir):
@@ -381,10 +387,10 @@ def sink_view(spark, sf_dir):
 
 
 def sink_materialize(spark, sf_dir):
-    """A stored view, laid out by year and month; one year is read back."""
+    """A stored view, laid out by year and month and read back whole."""
     path = scratch_path(spark, "materialized")
     views.materialize_view(star(spark, sf_dir), "vw_sales_by_time", path)
-    return spark.read.parquet(path).filter("year = 1998").select("date", "year", "month", "total_orders", "total_revenue")
+    return spark.read.parquet(path).select("date", "year", "month", "total_orders", "total_revenue")
 
 
 def sink_ingest_log(spark, sf_dir):
@@ -413,8 +419,8 @@ def schema_add_column(spark, sf_dir):
 
 
 QUERIES = [
-    Query("src_discover", src_discover, "name:s filled:b", _name_rows()),
-    Query("src_exclude_name", src_exclude_name, "name:s", _name_rows("orders")),
+    Query("src_discover", src_discover, "name:s rows:i", _name_rows()),
+    Query("src_exclude_name", src_exclude_name, "name:s rows:i", _name_rows("orders")),
     Query("src_csv_auto", src_csv_auto, "c_custkey:s c_name:s c_mktsegment:s", _CUSTOMERS),
     Query(
         "src_csv_multi",
@@ -541,7 +547,7 @@ QUERIES = [
         "sink_materialize",
         sink_materialize,
         "date:s year:i month:i total_orders:i total_revenue:d",
-        with_star("SELECT date, year, month, total_orders, total_revenue FROM vw_sales_by_time WHERE year = 1998"),
+        with_star("SELECT date, year, month, total_orders, total_revenue FROM vw_sales_by_time"),
     ),
     Query(
         "sink_ingest_log",

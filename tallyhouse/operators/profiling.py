@@ -23,7 +23,6 @@ KNOWN_PRODUCT_TYPES = [
     "Jewelry",
 ]
 EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
-SAMPLE_VALUES = 20
 MOSTLY_NULL = 0.8
 # --- end of fixed values ----------------------------------------------------
 
@@ -116,17 +115,11 @@ def typos(counts: DataFrame, known: list[str] = KNOWN_PRODUCT_TYPES) -> DataFram
     )
 
 
-def _first_values(df: DataFrame, column: str, seq: str) -> DataFrame:
-    """The first values in reading order: a fixed, small number of rows."""
-    return (
-        df.filter(F.col(column).isNotNull())
-        .orderBy(seq)
-        .limit(SAMPLE_VALUES)
-        .select(F.col(column).cast("string").alias("value"))
-    )
+def _values(df: DataFrame, column: str) -> DataFrame:
+    return df.select(F.col(column).cast("string").alias("value")).filter(F.col("value").isNotNull())
 
 
-def _format_check(df: DataFrame, column: str, seq: str) -> list[DataFrame]:
+def _format_check(df: DataFrame, column: str) -> list[DataFrame]:
     low = column.lower()
     out = []
 
@@ -140,20 +133,20 @@ def _format_check(df: DataFrame, column: str, seq: str) -> list[DataFrame]:
     value = F.col("value")
     if "name" in low and "product" not in low and "campaign" not in low:
         mixed = (value != title(value)) & (value != F.upper(value)) & (value != F.lower(value))
-        row(_first_values(df, column, seq), "mixed-case names", F.count_if(mixed), value > 0)
+        row(_values(df, column), "mixed-case names", F.count_if(mixed), value > 0)
     if "email" in low:
         # a missing address counts as invalid, an empty one does not
         text = F.coalesce(F.col(column).cast("string"), F.lit("nan"))
         row(df, "invalid emails", F.count_if((text != "") & ~text.rlike(EMAIL)), value > 0)
     if "phone" in low or "contact" in low:
         digits = F.length(F.regexp_replace(value, r"\D", ""))
-        row(_first_values(df, column, seq), "phone lengths", F.count_distinct(digits), value > 2)
+        row(_values(df, column), "phone lengths", F.count_distinct(digits), value > 2)
     return out
 
 
-def format_checks(df: DataFrame, seq: str = "ingest_seq") -> DataFrame:
-    """Checks picked by column name: names, e-mail addresses, phone numbers."""
-    return rel.union_all([c for name in data_columns(df) for c in _format_check(df, name, seq)])
+def format_checks(df: DataFrame) -> DataFrame:
+    """Checks picked by column name, over all values: names, e-mail addresses, phone numbers."""
+    return rel.union_all([c for name in data_columns(df) for c in _format_check(df, name)])
 
 
 def row_checks(df: DataFrame) -> DataFrame:

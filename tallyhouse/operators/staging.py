@@ -193,28 +193,45 @@ def drop_unnamed(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if _is_blank_name(c)])
 
 
-def _first_values(df: DataFrame, column: str, n: int = 10) -> list[str | None]:
-    """First ``n`` values in reading order - never more than ``n`` rows."""
-    rows = df.select("ingest_seq", F.col(f"`{column}`").alias("v")).orderBy("ingest_seq").limit(n).collect()
-    return [None if r.v is None else str(r.v).strip() for r in rows]
-
-
-def _counts_up(values: list[str | None]) -> bool:
-    numbers = [int(v) for v in values if v is not None and v.isdigit()]
-    if any(v is not None and not v.isdigit() for v in values) or not numbers:
-        return False
-    return numbers == list(range(numbers[0], numbers[0] + len(numbers)))
+def _every_file(df: DataFrame, column: str, counting: bool, start: int | None = None) -> bool:
+    """Whether all values of a column are whole numbers and, if ``counting``, run up by one in
+    reading order, from ``start`` where it is given - in each file that has values, judged on all
+    its rows.  One aggregate; one row comes back."""
+    text = F.trim(F.col(f"`{column}`").cast("string"))
+    number = text.try_cast("bigint")
+    by = [F.col("file_source")] if "file_source" in df.columns else []
+    per_file = (
+        df.select(*by, "ingest_seq", text.alias("t"), number.alias("n"))
+        .filter(F.col("t").isNotNull())
+        .groupBy(*by)
+        .agg(
+            F.count_if(~F.col("t").rlike(r"^\d+$") | F.col("n").isNull()).alias("others"),
+            F.count("*").alias("rows"),
+            F.count_distinct("n").alias("distinct"),
+            F.min("n").alias("low"),
+            F.max("n").alias("high"),
+            F.min_by("n", "ingest_seq").alias("first"),
+            F.max_by("n", "ingest_seq").alias("last"),
+        )
+    )
+    holds = F.col("others") == 0
+    if counting:
+        run = (F.col("high") - F.col("low") + 1 == F.col("rows")) & (F.col("distinct") == F.col("rows"))
+        holds = holds & run & (F.col("first") == F.col("low")) & (F.col("last") == F.col("high"))
+        if start is not None:
+            holds = holds & (F.col("low") == start)
+    return bool(per_file.filter(F.col("rows") > 0).agg(F.bool_and(F.coalesce(holds, F.lit(False))).alias("all")).first()["all"])
 
 
 def drop_index_columns(df: DataFrame) -> DataFrame:
     """Drop leftovers of a row index: ``old_id``-like and nameless columns, and
-    digit-named columns whose first ten values count up by one."""
+    digit-named columns that count up by one through every file."""
     drop = []
     for c in data_columns(df):
         low = c.strip().lower()
         if "old_id" in low or _is_blank_name(c):
             drop.append(c)
-        elif low.isdigit() and _counts_up(_first_values(df, c)):
+        elif low.isdigit() and _every_file(df, c, counting=True):
             drop.append(c)
     return df.drop(*drop)
 
@@ -222,25 +239,23 @@ def drop_index_columns(df: DataFrame) -> DataFrame:
 def drop_first_index_column(df: DataFrame, kind: str = "csv", aggressive: bool = False) -> DataFrame:
     """Drop the first column where it looks like a row index.
 
-    CSV: no name or a number as its name; with ``aggressive`` also when its
-    first ten values are all digits, which loses a genuine numeric key.
-    HTML: additionally when the first ten values run 0, 1, 2, ...
+    CSV: no name, or a number as its name and values that count up by one in
+    every file; with ``aggressive`` also when all its values are digits, which
+    loses a genuine numeric key.  HTML: a number as its name, or values that run
+    0, 1, 2, ... in every file.
     """
     columns = data_columns(df)
     if not columns:
         return df
     first = columns[0]
-    if _is_blank_name(first) or (first.strip().isdigit() and (kind == "html" or len(columns) > 1)):
+    if _is_blank_name(first):
         return df.drop(first)
+    numbered = first.strip().isdigit()
     if kind == "html":
-        values = [v for v in _first_values(df, first) if v is not None]
-        if values and all(v.isdigit() for v in values) and [int(v) for v in values] == list(range(len(values))):
-            return df.drop(first)
-    elif aggressive:
-        values = [v for v in _first_values(df, first) if v is not None]
-        if all(v.isdigit() for v in values):
-            return df.drop(first)
-    return df
+        return df.drop(first) if numbered or _every_file(df, first, counting=True, start=0) else df
+    if numbered and len(columns) > 1 and _every_file(df, first, counting=True):
+        return df.drop(first)
+    return df.drop(first) if aggressive and _every_file(df, first, counting=False) else df
 
 
 def resolve_aliases(df: DataFrame, dataset: str) -> DataFrame:

@@ -25,7 +25,7 @@ from tallyhouse.plans.store import Store
 from tallyhouse.session import configure, materialize
 from tallyhouse.sources import incremental
 from tallyhouse.sources.discovery import DATASET_FILES, dataset_files, source_files
-from tallyhouse.sources.readers import file_frames
+from tallyhouse.sources.readers import file_frames, unsupported
 
 FACT_ORDER = ["transaction_date_sk", "order_id"]
 DIM_FEEDS = {
@@ -38,10 +38,12 @@ DIM_FEEDS = {
 DIRECT_COLUMNS = {"line_item_data_products": "product_name STRING", "transactional_campaign_data": "transaction_date STRING"}
 
 
-def stage_files(spark: SparkSession, files, dataset: str, direct: bool = False) -> DataFrame | None:
+def stage_files(
+    spark: SparkSession, files, dataset: str, direct: bool = False, rejects: list[DataFrame] | None = None
+) -> DataFrame | None:
     """Read, clean and format the files of a dataset, layout by layout."""
     extra = DIRECT_COLUMNS.get(dataset) if direct else None
-    frames = [format_for_staging(df, dataset, extra) for df in file_frames(spark, files)]
+    frames = [format_for_staging(df, dataset, extra) for df in file_frames(spark, files, rejects=rejects)]
     frames = [f for f in frames if f is not None]
     return union_all(frames) if frames else None
 
@@ -66,7 +68,8 @@ def ingest(
     chosen = decisions.filter(F.col("decision") == "process")
     start = before.agg(F.max(F.shiftright("ingest_seq", FILE_BITS))).first()[0]
     files = source_files(chosen, 0 if start is None else start + 1)
-    loaded = stage_files(spark, files, dataset) if files else None
+    rejects: list[DataFrame] = []
+    loaded = stage_files(spark, files, dataset, rejects=rejects) if files else None
     if loaded is not None:
         again = chosen.filter(F.col("reason").isin(incremental.MODIFIED, incremental.FORCED)).select(
             F.col("path").alias("file_source")
@@ -76,9 +79,26 @@ def ingest(
             store.replace(table, kept.unionByName(loaded))
         else:
             store.append(table, loaded)
+    if files:
+        _record(store, dataset, chosen, files, start, rejects)
     return decisions.withColumn("dataset", F.lit(dataset))
 
 
+def _record(store: Store, dataset: str, chosen: DataFrame, files, start: int | None, rejects: list[DataFrame]) -> None:
+    """Keep rows that did not fit, and log every file that was taken up: also those of an unknown
+    format and those that gave no row."""
+    if rejects:
+        found = materialize(union_all(rejects).withColumn("dataset", F.lit(dataset)), "rejected-rows")
+        if not found.isEmpty():
+            store.append("rejected_rows", found)
+    table = schemas.staging_table(dataset)
+    unknown = [f.path for f in unsupported(files)]
+    skipped = chosen.filter(F.col("path").isin(unknown))
+    now = store.read(table).filter(F.shiftright("ingest_seq", FILE_BITS) > (-1 if start is None else start))
+    log = incremental.ingestion_log(now, table, chosen.filter(~F.col("path").isin(unknown)), skipped)
+    store.append("ingestion_log", log)
+
+
 def ingest_all(spark: SparkSession, root: str, store: Store, force: bool = False, on_modified: str = "replace") -> DataFrame:
     """All datasets; their jobs do not depend on each other and may overlap."""
     with ThreadPoolExecutor(max_workers=4) as pool:

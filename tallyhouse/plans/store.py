@@ -1,16 +1,21 @@
 """Warehouse tables as Parquet snapshots.
 
-A table is a set of immutable folders; a small pointer file names the folders
-that make up its current state.  A write goes to a new folder and then moves
-the pointer, so readers never see half a table, the version being read is
-never overwritten, and a job that dies leaves the old state in place.
+A table is a set of immutable folders.  Numbered state files name the folders
+of each state, and the highest number is the current one.  A write goes to a
+new folder and then creates the next state file, which fails if another writer
+was first; an append then reads the state again and retries.  State files are
+only ever created, never renamed or replaced, so readers never see half a table,
+a job that dies leaves the old state in place, and appends at the same time all
+stay.  ``vacuum`` removes what no recent state names.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse import schemas
@@ -21,11 +26,19 @@ def with_missing_column(df: DataFrame, name: str, kind: str) -> DataFrame:
     return df if name in df.columns else df.withColumn(name, F.lit(None).cast(kind))
 
 
+_STATE = re.compile(r"_state-(\d{12})\.json")
+RETRIES = 50
+
+
+def _state_name(number: int) -> str:
+    return f"_state-{number:012d}.json"
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    # --- pointer -----------------------------------------------------------
+    # --- state -----------------------------------------------------------
 
     def _path(self, text: str):
         return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(text)
@@ -33,31 +46,98 @@ class Store:
     def _fs(self, path):
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _folders(self, table: str) -> list[str]:
-        path = self._path(f"{self.root}/{table}/_current")
+    def _listing(self, table: str) -> tuple[list[int], list[str]]:
+        """Numbers of the state files, and the data folders."""
+        path = self._path(f"{self.root}/{table}")
         fs = self._fs(path)
         if not fs.exists(path):
-            return []
-        stream = fs.open(path)
+            return [], []
+        names = [s.getPath().getName() for s in fs.listStatus(path)]
+        states = [int(m[1]) for m in map(_STATE.fullmatch, names) if m]
+        return sorted(states), sorted(n for n in names if n.startswith("v-"))
+
+    def _state(self, table: str, number: int) -> list[str] | None:
+        """Folders of a state; None for a file that its writer did not finish."""
+        path = self._path(f"{self.root}/{table}/{_state_name(number)}")
+        stream = self._fs(path).open(path)
         try:
             return json.loads(bytes(stream.readAllBytes()).decode())["folders"]
+        except ValueError:
+            return None
         finally:
             stream.close()
 
-    def _point_to(self, table: str, folders: list[str]) -> None:
-        jvm = self.spark.sparkContext._jvm
-        draft = self._path(f"{self.root}/{table}/_draft-{uuid.uuid4().hex}")
-        stream = self._fs(draft).create(draft)
+    def _current(self, table: str) -> tuple[int, list[str]]:
+        """Highest number in use, and the folders of the last complete state."""
+        states, data = self._listing(table)
+        for number in reversed(states):
+            folders = self._state(table, number)
+            if folders is not None:
+                return states[-1], folders
+        if data:
+            raise RuntimeError(f"{self.root}/{table} holds data but no state file; vacuum it or restore the state")
+        return states[-1] if states else 0, []
+
+    def _folders(self, table: str) -> list[str]:
+        return self._current(table)[1]
+
+    def _create(self, table: str, number: int, folders: list[str]) -> bool:
+        """Write a state file; False if its number is taken."""
+        path = self._path(f"{self.root}/{table}/{_state_name(number)}")
+        try:
+            stream = self._fs(path).create(path, False)  # fails if it exists
+        except Py4JJavaError as failed:
+            if "AlreadyExists" not in str(failed.java_exception):
+                raise
+            return False
         stream.write(json.dumps({"folders": folders}).encode())
         stream.close()
-        # a rename that replaces its target is one step for every reader
-        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        target = self._path(f"{self.root}/{table}/_current")
-        jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), conf).rename(draft, target, options)
+        return True
+
+    def _begin(self, table: str) -> None:
+        """A table has a state, if an empty one, before it has data."""
+        states, data = self._listing(table)
+        if not states and not data:
+            self._create(table, 1, [])
+
+    def _advance(self, table: str, following) -> None:
+        """Create the next state from the current one, again if another writer was first."""
+        for _ in range(RETRIES):
+            number, folders = self._current(table)
+            if self._create(table, number + 1, following(folders)):
+                return
+        raise RuntimeError(f"{table}: other writers were first {RETRIES} times")
+
+    def vacuum(self, table: str, keep_states: int = 2) -> list[str]:
+        """Delete folders that none of the last ``keep_states`` states names, and older state files.
+
+        Run it when no load is running: a folder just written belongs to no state yet.
+        """
+        states, data = self._listing(table)
+        kept = states[-keep_states:]
+        named = {f for n in kept for f in self._state(table, n) or []}
+        gone = [f for f in data if f not in named] + [_state_name(n) for n in states[:-keep_states]]
+        for name in gone:
+            path = self._path(f"{self.root}/{table}/{name}")
+            self._fs(path).delete(path, True)
+        return gone
+
+    def merge(self, table: str, cluster_by: list[str] | None = None) -> DataFrame:
+        """Rewrite the folders of a table as one; rows appended meanwhile stay."""
+        before = self._folders(table)
+        rows = self.spark.read.schema(self.schema(table)).parquet(*[f"{self.root}/{table}/{f}" for f in before])
+        folder = self._write(table, rows, cluster_by)
+
+        def following(now: list[str]) -> list[str]:
+            if now[: len(before)] != before:
+                raise RuntimeError(f"{table} was replaced while its folders were merged")
+            return [folder, *now[len(before) :]]
+
+        self._advance(table, following)
+        return self.read(table)
 
     def _write(self, table: str, df: DataFrame, cluster_by: list[str] | None) -> str:
+        self._begin(table)
         folder = f"v-{uuid.uuid4().hex[:12]}"
         if cluster_by:
             df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
@@ -74,6 +154,8 @@ class Store:
                 return schemas.staging_schema(dataset)
         if table == "ingestion_log":
             return schemas.struct(schemas.INGESTION_LOG)
+        if table == "rejected_rows":
+            return schemas.struct(schemas.REJECTED_ROWS)
         raise KeyError(table)
 
     def exists(self, table: str) -> bool:
@@ -89,17 +171,18 @@ class Store:
         return self.spark.read.schema(schema).parquet(*[f"{self.root}/{table}/{f}" for f in folders])
 
     def replace(self, table: str, df: DataFrame, cluster_by: list[str] | None = None) -> DataFrame:
-        self._point_to(table, [self._write(table, df.to(self.schema(table)), cluster_by)])
+        folder = self._write(table, df.to(self.schema(table)), cluster_by)
+        self._advance(table, lambda _: [folder])
         return self.read(table)
 
     def append(self, table: str, df: DataFrame, cluster_by: list[str] | None = None) -> DataFrame:
         """Add rows without touching the folders that are there."""
         folder = self._write(table, df.to(self.schema(table)), cluster_by)
-        self._point_to(table, [*self._folders(table), folder])
+        self._advance(table, lambda now: [*now, folder])
         return self.read(table)
 
     def reset(self, *tables: str) -> None:
-        """Empty tables: their pointer names an empty folder."""
+        """Empty tables: their state names an empty folder."""
         for table in tables:
             self.replace(table, self.spark.range(1).where("false").select().to(self.schema(table)))
 

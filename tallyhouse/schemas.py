@@ -88,6 +88,9 @@ INGESTION_LOG = (
     "file_path STRING, table_name STRING, rows_ingested BIGINT, status STRING, message STRING, ts TIMESTAMP"
 )
 
+# rows of source files that do not fit their header
+REJECTED_ROWS = "file_source STRING, ingest_seq BIGINT, record STRING, reason STRING, dataset STRING"
+
 
 def struct(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -90,7 +91,8 @@ def source_files(listing: DataFrame, start: int = 0) -> list[SourceFile]:
 
 
 def head(spark: SparkSession, path: str, size: int = 65536) -> str:
-    """First bytes of a file as text, without a byte-order mark.
+    """The first ``size`` bytes of a file and the rest of the line they end in, as text without a
+    byte-order mark; so the first line is whole, however long.
 
     Read through the Hadoop file system, so it works wherever Spark reads.
     """
@@ -98,10 +100,20 @@ def head(spark: SparkSession, path: str, size: int = 65536) -> str:
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     stream = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(hadoop_path)
     try:
-        raw = bytes(stream.readNBytes(size))
+        raw = part = bytes(stream.readNBytes(size))
+        while part and b"\n" not in part:
+            part = bytes(stream.readNBytes(size))
+            raw += part
     finally:
         stream.close()
-    return raw.decode("utf-8-sig", errors="ignore")
+    end = raw.find(b"\n", size - 1)
+    return (raw if end < 0 else raw[: end + 1]).decode("utf-8-sig", errors="ignore")
+
+
+def heads(spark: SparkSession, paths: list[str]) -> list[str]:
+    """``head`` of many files, some at a time."""
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return list(pool.map(lambda p: head(spark, p), paths))
 
 
 def first_line(text: str) -> str:
@@ -116,8 +128,10 @@ def tab_or_comma(line: str) -> str:
     return "," if commas else "\t"
 
 
-def dominant_separator(text: str) -> str:
-    """Most frequent of four separators in the first 4 KiB; the comma is the default."""
-    sample = text[:4096]
+def dominant_separator(text: str, size: int = 4096) -> str:
+    """Most frequent of four separators in the whole lines that begin in the first ``size``
+    characters; the comma is the default."""
+    end = text.find("\n", size - 1)
+    sample = text if end < 0 else text[:end]
     best = max([",", "\t", ";", "|"], key=sample.count)
     return best if sample.count(best) else ","

@@ -19,14 +19,15 @@ from tallyhouse.sources.discovery import (
     SourceFile,
     dominant_separator,
     first_line,
-    head,
+    heads,
     tab_or_comma,
 )
 from tallyhouse.sources.lineage import place_in_split, with_lineage
 
 log = logging.getLogger(__name__)
 
-_OVERFLOW = "__overflow"
+_OVERFLOW, _RECORD = "__overflow", "__record"
+TOO_LONG = "more cells than the header"
 _ABSENT = "\u0001"  # no cell holds this, so empty cells stay empty texts
 
 
@@ -58,30 +59,44 @@ def by_header(text: str) -> str:
     return tab_or_comma(first_line(text))
 
 
+def _broken_quotes(spark: SparkSession, files: list[SourceFile]) -> set[str]:
+    """Files with a line that holds an odd number of quotes, as a cell with a line break leaves
+    behind (``file_path``); one pass over the text, a row per such file comes back."""
+    line = F.col("value")
+    odd = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+    text = spark.read.text([f.path for f in files]).filter(odd)
+    return {r.p for r in text.select(F.col("_metadata.file_path").alias("p")).distinct().collect()}
+
+
 def delimited_frames(
     spark: SparkSession,
     files: list[SourceFile],
     separator: Callable[[str], str] = by_header,
     skip_long_rows: bool = False,
-    multiline: bool = False,
+    multiline: bool | None = None,
+    rejects: list[DataFrame] | None = None,
 ) -> list[DataFrame]:
     """Delimited text with a header line, separator found per file.
 
     Doubled quotes are decoded.  A row with fewer cells than the header is
-    filled up; with ``skip_long_rows`` one with more cells is dropped,
-    otherwise cut.  ``multiline`` allows line breaks inside quotes, at the
-    price of one task per file.
+    filled up.  One with more cells is no row of this table: it is left out, and
+    unless ``skip_long_rows`` says that nobody wants it, ``rejects`` takes it as
+    (file_source, ingest_seq, record, reason).  ``multiline`` allows line breaks
+    inside quotes at the price of one task per file; by default the files that
+    need it are found first.
     """
+    broken = _broken_quotes(spark, files) if multiline is None else {f.file_path for f in files if multiline}
     layouts = []
-    for file in files:
-        text = head(spark, file.path)
-        sep = separator(text)
-        layouts.append((file, (sep, first_line(text))))
+    for file, text in zip(files, heads(spark, [f.path for f in files]), strict=True):
+        layouts.append((file, (separator(text), first_line(text), file.file_path in broken)))
     frames = []
-    for (sep, header), group in _groups(layouts).items():
+    for (sep, header, whole), group in _groups(layouts).items():
         names = _unique(split_header(header, sep))
+        if _ragged(names):
+            frames.append(drop_first_index_column(_resplit(spark, group, sep, header), "csv"))
+            continue
         # an extra column tells rows that have more cells than the header
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _OVERFLOW]])
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _OVERFLOW, _RECORD]])
         df = spark.read.csv(
             [f.path for f in group],
             schema=schema,
@@ -91,16 +106,14 @@ def delimited_frames(
             escape='"',
             nullValue=_ABSENT,
             emptyValue="",
-            multiLine=multiline,
+            multiLine=whole,
+            columnNameOfCorruptRecord=_RECORD,
         )
-        df = with_lineage(
-            df, group, F.col("_metadata.file_path"), row_in_task() if multiline else place_in_split()
-        )
-        if skip_long_rows:
-            df = df.filter(F.col(_OVERFLOW).isNull())
-        df = df.drop(_OVERFLOW)
-        if _ragged(names):
-            df = _resplit(spark, group, sep)
+        df = with_lineage(df, group, F.col("_metadata.file_path"), row_in_task() if whole else place_in_split())
+        if rejects is not None and not skip_long_rows:
+            long = df.filter(F.col(_OVERFLOW).isNotNull())
+            rejects.append(long.select("file_source", "ingest_seq", F.col(_RECORD).alias("record"), F.lit(TOO_LONG).alias("reason")))
+        df = df.filter(F.col(_OVERFLOW).isNull()).drop(_OVERFLOW, _RECORD)
         frames.append(drop_first_index_column(df, "csv"))
     return frames
 
@@ -110,10 +123,9 @@ def _ragged(names: list[str]) -> bool:
     return "\t" in names[0]
 
 
-def _resplit(spark: SparkSession, group: list[SourceFile], sep: str) -> DataFrame:
+def _resplit(spark: SparkSession, group: list[SourceFile], sep: str, header: str) -> DataFrame:
     """Split the lines by hand: no quoting, a leading row number dropped, rows
     cut or filled to the width of the header."""
-    header = first_line(head(spark, group[0].path))
     cells = header.split(sep)[1:] if header.startswith("\t") else header.split(sep)
     names = [n for n in (c.strip().strip('"').strip("'") for c in cells) if n]
     lines = spark.read.text([f.path for f in group])
@@ -254,10 +266,13 @@ def read(spark: SparkSession, files: list[SourceFile], reader: Callable[..., lis
     return union_all(reader(spark, files, **options))
 
 
-def file_frames(spark: SparkSession, files: list[SourceFile], clean: bool = True) -> list[DataFrame]:
+def file_frames(
+    spark: SparkSession, files: list[SourceFile], clean: bool = True, rejects: list[DataFrame] | None = None
+) -> list[DataFrame]:
     """Files of any known format, cleaned, one frame per layout.
 
-    Files of an unknown format are left out (see ``unsupported``).
+    Files of an unknown format are left out (see ``unsupported``); ``rejects``
+    takes what does not fit its file (see ``delimited_frames``).
     """
     frames = []
     for (kind,), group in _groups([(f, (f.extension,)) for f in files]).items():
@@ -265,7 +280,8 @@ def file_frames(spark: SparkSession, files: list[SourceFile], clean: bool = True
         if reader is None:
             log.warning("unsupported file type %r: %d file(s)", kind, len(group))
             continue
-        frames += [clean_frame(df) if clean else df for df in reader(spark, group)]
+        options = {"rejects": rejects} if kind == "csv" else {}
+        frames += [clean_frame(df) if clean else df for df in reader(spark, group, **options)]
     return frames
 
 
