@@ -35,7 +35,7 @@ from tallyhouse.session import scratch_path
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 SEGMENT = 1 << 20
-#: Words, and parts of words, whose ids a worker remembers (twice as many words at most).
+#: Words, and parts of words, whose ids a worker remembers (twice as many at most).
 REMEMBERED = 300_000
 
 FILE_SCHEMA = "part int, seq int, base long, n_tokens long, first_id long, last_id long, doc_ids array<long>, lengths array<long>, codes binary"
@@ -97,6 +97,7 @@ class Encoder:
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -108,10 +109,13 @@ class Encoder:
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            said = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
-            ids = self.parts[part] = _ids([t.id for t in self.tokenizer.model.tokenize(said)])
+            ids = self.parts[part] = self.older_parts.get(part) or self._encode_part(part)
         return ids
 
+    def _encode_part(self, part: str) -> bytes:
+        said = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+        return _ids([t.id for t in self.tokenizer.model.tokenize(said)])
+
     def _learn(self, new: list[bytes]) -> None:
         words, older, rest = self.words, self.older, []
         for w in new:
@@ -144,7 +148,7 @@ class Encoder:
         if len(self.words) > REMEMBERED:  # what is used again comes back from the older half
             self.words, self.older = {}, self.words
         if len(self.parts) > REMEMBERED:
-            self.parts.clear()
+            self.parts, self.older_parts = {}, self.parts
         return out
 
 
