@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallyhouse.llm.base import neutral, restored
+from tallyhouse.llm.words import U64, byte_pieces, hash_words, scramble
 
 SPACE = 1 << 20
 SAMPLE, TERMS, DIMS, NEIGHBOURS, POWER = 4096, 8192, 64, 7, 12.0
@@ -35,61 +36,97 @@ THRESHOLD, FOLDS = 0.3, 5
 SHAPES, REPEATS = 3.0, 4.0
 SEED = 7
 
-_UPPER, _LOWER, _DIGIT = re.compile(r"[A-ZÀ-ÖØ-Þ]+"), re.compile(r"[^\W\d_A-ZÀ-ÖØ-Þ]+"), re.compile(r"\d+")
-_memory: dict[bytes, tuple[int, int]] = {}
+#: Classes of bytes in a shape: capitals, other letters (and all above ASCII), digits; marks stay.
+_CLASSES = bytes(65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b > 127 else 48 if 48 <= b <= 57 else b for b in range(256))
+_RUN = re.compile(rb"(.)\1+", re.S)
+#: Codes of words, by their hash: word code << 20 | shape code.
+_memory: dict[int, int] = {}
+REMEMBERED = 600_000
 
 
 def _code(kind: bytes, term: bytes) -> int:
     return zlib.crc32(term, zlib.crc32(kind)) % SPACE
 
 
-_AFTER_ITSELF, _PAIR, _LINE, _LONG = (_code(b"mark", m) for m in (b"itself", b"pair", b"line", b"long"))
-
-
-def _word_codes(word: bytes) -> tuple[int, int]:
-    s = word.decode("utf-8", "replace")
-    shape = _DIGIT.sub("0", _LOWER.sub("a", _UPPER.sub("A", s)))
-    shape = re.sub(r"(.)\1+", r"\1+", shape)[:12]
-    return _code(b"word", s.lower().strip(".,;:!?()\"'").encode()), _code(b"shape", shape.encode())
-
-
-def terms(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and weights of the terms of a whole text."""
-    data = (text or "").encode("utf-8", "surrogatepass")
-    words = data.split()
-    n = len(words)
-    if not n:
-        return np.zeros(0, np.int64), np.zeros(0)
-    distinct: dict[bytes, int] = {}
-    for w in words:
-        distinct[w] = distinct.get(w, 0) + 1
-    if len(_memory) > 400_000:
-        _memory.clear()
-    codes = np.empty((len(distinct), 2), np.int64)
-    for k, w in enumerate(distinct):
-        known = _memory.get(w)
-        if known is None:
-            known = _memory[w] = _word_codes(w)
-        codes[k] = known
-    count = np.fromiter(distinct.values(), float, len(distinct))
-    pairs = n - 1 - len(set(zip(words, words[1:], strict=False)))
-    itself = sum(map(bytes.__eq__, words, words[1:]))
-    lines = [x for x in data.split(b"\n") if x.strip()]
-    marks = [(_AFTER_ITSELF, itself / n), (_PAIR, pairs / n), (_LINE, (len(lines) - len(set(lines))) / len(lines) if lines else 0.0)]
-    code = np.concatenate([codes[:, 0], codes[:, 1], np.array([c for c, _ in marks])])
-    # words by dampened counts, shapes and marks by their share of the text
-    weight = np.concatenate([np.log1p(count) / np.log1p(n), SHAPES * np.sqrt(count / n), REPEATS * np.sqrt([max(0.0, x) for _, x in marks])])
-    unique, inverse = np.unique(code, return_inverse=True)
-    total = np.bincount(inverse, weights=weight)
-    keep = total > 0
-    return unique[keep], total[keep]
+_AFTER_ITSELF, _PAIR, _LINE = (_code(b"mark", m) for m in (b"itself", b"pair", b"line"))
+
+
+def _word_codes(word: bytes) -> int:
+    shape = _RUN.sub(rb"\1+", word.translate(_CLASSES))[:12]
+    return _code(b"word", word.lower().strip(b".,;:!?()\"'")) << 20 | _code(b"shape", shape)
+
+
+def _distinct(doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of one of each (text, value), and how often it occurs; ``doc`` is sorted."""
+    order = np.lexsort((value, doc))
+    v = value[order]
+    new = np.ones(len(v), bool)
+    new[1:] = (v[1:] != v[:-1]) | (doc[1:] != doc[:-1])
+    first = np.flatnonzero(new)
+    return order[first], doc[first], np.diff(np.append(first, len(v)))
+
+
+def term_rows(column: pa.Array):
+    """``row, docs, doc, code, weight``: terms of the ``docs`` whole texts from ``row`` on, sorted by
+    text (``doc`` from 0).  A code may come several times for a text; its weights add up."""
+    for row, offsets, data in byte_pieces(column):
+        bounds, hashes, start, end = hash_words(data, offsets, lower=False)
+        n = np.diff(bounds)
+        docs = len(n)
+        doc = np.repeat(np.arange(docs), n)
+        at, of, count = _distinct(doc, hashes)
+        known, example, inverse = np.unique(hashes[at], return_index=True, return_inverse=True)
+        if len(_memory) > REMEMBERED:
+            _memory.clear()
+        packed = np.empty(len(known), np.int64)
+        for k, h in enumerate(known.tolist()):
+            c = _memory.get(h)
+            if c is None:
+                p = at[example[k]]
+                c = _memory[h] = _word_codes(data[start[p] : end[p]].tobytes())
+            packed[k] = c
+        packed = packed[inverse]
+
+        same = doc[1:] == doc[:-1]
+        with np.errstate(over="ignore"):
+            pair = scramble(hashes[:-1] * U64(3) + hashes[1:])[same]
+        pairs = np.bincount(doc[1:][same], minlength=docs) - np.bincount(_distinct(doc[1:][same], pair)[1], minlength=docs)
+        itself = np.bincount(doc[1:][same & (hashes[1:] == hashes[:-1])], minlength=docs)
+        lines = np.zeros(docs)
+        for k in range(docs):
+            own = [x for x in data[offsets[k] : offsets[k + 1]].tobytes().split(b"\n") if x.strip()]
+            lines[k] = (len(own) - len(set(own))) / len(own) if own else 0.0
+        size = np.maximum(n, 1)
+        marks = [(_AFTER_ITSELF, itself / size), (_PAIR, pairs / size), (_LINE, lines)]
+
+        # words by dampened counts, shapes and marks by their share of the text
+        every = np.arange(docs)
+        docs_of = np.concatenate([of, of, *[every] * 3])
+        code = np.concatenate([packed >> 20, packed & (SPACE - 1), *[np.full(docs, c) for c, _ in marks]])
+        weight = np.concatenate(
+            [np.log1p(count) / np.log1p(size[of]), SHAPES * np.sqrt(count / size[of]), *[REPEATS * np.sqrt(share) for _, share in marks]]
+        )
+        keep = weight > 0
+        order = np.argsort(docs_of[keep], kind="stable")
+        yield row, docs, docs_of[keep][order], code[keep][order], weight[keep][order]
+
+
+def terms(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Distinct codes and summed weights of each text."""
+    out = []
+    for _, docs, doc, code, weight in term_rows(column):
+        edge = np.searchsorted(doc, np.arange(docs + 1))
+        for lo, hi in zip(edge[:-1], edge[1:], strict=True):
+            unique, inverse = np.unique(code[lo:hi], return_inverse=True)
+            out.append((unique, np.bincount(inverse, weights=weight[lo:hi], minlength=len(unique))))
+    return out
 
 
 # ---------------------------------------------------------------- fitting
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, sample: int) -> list:
-    """Term bags and labels of a sample of labelled rows outside the held-out fold.
+    """Label, codes and weights of a sample of labelled rows outside the held-out fold.
 
     The sample is the rows with the smallest hashes of their ids, so it is the same on every run.
     """
@@ -106,14 +143,17 @@ def _labelled(docs: DataFrame, labels: DataFrame, sample: int) -> list:
 
     def bags(batches):
         for batch in batches:
-            found = [terms(t) for t in batch.column(1).to_pylist()]
+            found = terms(batch.column(1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array([c.tolist() for c, _ in found], pa.list_(pa.int64())), pa.array([w.tolist() for _, w in found], pa.list_(pa.float64()))],
+                [batch.column(0), batch.column(2), pa.array([c.astype(np.int32).tobytes() for c, _ in found], pa.binary()), pa.array([w.tobytes() for _, w in found], pa.binary())],
                 ["doc_id", "label", "codes", "weights"],
             )
 
-    rows = texts.join(few, "doc_id").select("doc_id", "text", "label").mapInArrow(bags, "doc_id long, label int, codes array<long>, weights array<double>")
-    return sorted(rows.collect(), key=lambda r: (r["doc_id"], r["codes"], r["weights"]))[: 2 * sample]
+    # of rows that repeat an id, one is learnt from
+    once = texts.join(few, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    rows = once.select("doc_id", "text", "label").mapInArrow(bags, "doc_id long, label int, codes binary, weights binary")
+    found = sorted(rows.toLocalIterator(), key=lambda r: (r["doc_id"], r["codes"], r["weights"]))
+    return [(r["label"], np.frombuffer(r["codes"], np.int32).astype(np.int64), np.frombuffer(r["weights"])) for r in found]
 
 
 def frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int, np.ndarray]:
@@ -124,10 +164,11 @@ def frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int, np.ndarra
         place[vocabulary] = np.arange(len(vocabulary))
         n, df = 0, np.zeros(len(vocabulary), np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                at = place[terms(text)[0]]
-                df[at[at >= 0]] += 1
-                n += 1
+            n += batch.num_rows
+            for _, _, doc, code, _ in term_rows(batch.column(0)):
+                at = place[code]
+                in_use = at >= 0
+                df += np.bincount(np.unique(doc[in_use] * len(vocabulary) + at[in_use]) % len(vocabulary), minlength=len(vocabulary))
         if n:
             yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(len(df)), -1)), pa.array(np.append(df, n))], ["term", "n"])
 
@@ -165,40 +206,52 @@ class Model:
     def __getstate__(self):
         return {**self.__dict__, "place": None}
 
-    def vector(self, codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    def embed(self, docs: int, doc: np.ndarray, code: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Unit vectors of ``docs`` texts from their term rows; zero where no term is known."""
         if self.place is None:
             self.place = np.full(SPACE, -1, np.int32)
             self.place[self.vocabulary] = np.arange(len(self.vocabulary))
-        at = self.place[codes]
+        at = self.place[code]
         known = at >= 0
-        at = at[known]
-        v = (weights[known] * self.idf[at]) @ self.axes[at].astype(np.float64)
-        norm = np.linalg.norm(v)
-        return v / norm if norm > 0 else v
-
-    def scores(self, texts: list[str | None]) -> np.ndarray:
-        if not len(self.labels):
-            return np.full(len(texts), 0.5)
-        out = np.full(len(texts), self.labels.mean())
-        for lo in range(0, len(texts), 512):
-            v = np.stack([self.vector(*terms(t)) for t in texts[lo : lo + 512]])
-            cosines = v @ self.vectors.T
-            k = min(NEIGHBOURS, cosines.shape[1])
-            near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-            weight = np.clip(np.take_along_axis(cosines, near, 1), 0, 1) ** POWER
-            total = weight.sum(1)
+        at, doc, value = at[known], doc[known], weight[known] * self.idf[at[known]]
+        out = np.zeros((docs, self.axes.shape[1]))
+        edge = np.searchsorted(doc, np.arange(docs + 1))
+        for k, (lo, hi) in enumerate(zip(edge[:-1], edge[1:], strict=True)):
+            if hi > lo:
+                out[k] = value[lo:hi] @ self.axes[at[lo:hi]]
+        norm = np.linalg.norm(out, axis=1, keepdims=True)
+        return out / np.where(norm > 0, norm, 1)
+
+    def vote(self, v: np.ndarray) -> np.ndarray:
+        """Scores of unit vectors (a block of them at a time)."""
+        out = np.full(len(v), self.labels.mean())
+        for lo in range(0, len(v), 512):
+            cosines = v[lo : lo + 512].astype(np.float32) @ self.vectors.T
+            every = np.arange(len(cosines))
+            total, yes = np.zeros(len(cosines)), np.zeros(len(cosines))
+            for _ in range(min(NEIGHBOURS, cosines.shape[1])):
+                near = cosines.argmax(axis=1)
+                weight = np.clip(cosines[every, near].astype(float), 0, 1) ** POWER
+                total += weight
+                yes += weight * self.labels[near]
+                cosines[every, near] = -2
             some = total > 1e-12
-            vote = (weight * self.labels[near]).sum(1)
-            out[lo : lo + 512][some] = (vote[some] / total[some]).clip(0, 1)
+            out[lo : lo + 512][some] = (yes[some] / total[some]).clip(0, 1)
         return out
 
+    def scores(self, column: pa.Array) -> np.ndarray:
+        if not len(self.labels):
+            return np.full(len(column), 0.5)
+        found = [self.vote(self.embed(docs, doc, code, weight)) for _, docs, doc, code, weight in term_rows(column)]
+        return np.concatenate(found) if found else np.zeros(0)
+
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rows = _labelled(docs, labels, sample)
     if not rows:
         none = np.zeros(0)
         return Model(none.astype(np.int64), none, np.zeros((0, 1)), np.zeros((0, 1)), none)
-    codes, times = np.unique(np.concatenate([np.array(r["codes"], np.int64) for r in rows]), return_counts=True)
+    codes, times = np.unique(np.concatenate([c for _, c, _ in rows]), return_counts=True)
     kept = np.lexsort((codes, -times))[:TERMS]
     vocabulary = np.sort(codes[kept[times[kept] > 1]]) if (times > 1).any() else np.sort(codes[kept])
     n, df = frequencies(docs, vocabulary)
@@ -209,15 +262,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     x = np.zeros((len(rows), len(vocabulary)), np.float32)
     place = np.full(SPACE, -1, np.int32)
     place[vocabulary] = np.arange(len(vocabulary))
-    for k, r in enumerate(rows):
-        at = place[np.array(r["codes"], np.int64)]
+    for k, (_, code, weight) in enumerate(rows):
+        at = place[code]
         known = at >= 0
-        x[k, at[known]] = np.array(r["weights"])[known] * idf[at[known]]
+        x[k, at[known]] = weight[known] * idf[at[known]]
     norm = np.linalg.norm(x, axis=1, keepdims=True)
     x /= np.where(norm > 0, norm, 1)
     model.axes = latent_axes(x, DIMS).astype(np.float32)
-    model.labels = np.array([float(r["label"]) for r in rows])
-    model.vectors = np.stack([model.vector(np.array(r["codes"], np.int64), np.array(r["weights"])) for r in rows])
+    model.labels = np.array([float(label) for label, _, _ in rows])
+    doc = np.repeat(np.arange(len(rows)), [len(c) for _, c, _ in rows])
+    codes, weights = (np.concatenate([r[k] for r in rows]) for k in (1, 2))
+    model.vectors = model.embed(len(rows), doc, codes, weights).astype(np.float32)
     return model
 
 
@@ -230,7 +285,7 @@ def score(docs: DataFrame, model: Model, text="text") -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            found = shared.value.scores(batch.column(place).to_pylist())
+            found = shared.value.scores(batch.column(place))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*batch.schema.names, "score"])
 
     return inner.mapInArrow(run, schema)
@@ -243,7 +298,7 @@ def op2(spark, docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.scores(batch.column(1).to_pylist()), pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.scores(batch.column(1)), pa.float64())], ["doc_id", "score"])
 
     rows = base.mapInArrow(run, "doc_id long, score double")
     return rows.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -40,10 +40,12 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def _hash_piece(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.ndarray, ...]:
+    """First word of each text (and the number of words), and hash, start and end of every word."""
     n = len(data)
     if n == 0:
-        return np.zeros(len(offsets), np.int64), np.zeros(0, U64)
+        none = np.zeros(0, np.int64)
+        return np.zeros(len(offsets), np.int64), np.zeros(0, U64), none, none
     inside = ~_SPACES[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -56,7 +58,7 @@ def _hash_piece(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.
     up, down = _power_tables(n)
     sums = np.zeros(n + 1, U64)
     np.cumsum((_BYTES_LOWERED if lower else _BYTES)[data] * up[:n], dtype=U64, out=sums[1:])
-    return np.searchsorted(start, offsets), scramble((sums[end] - sums[start]) * down[start])
+    return np.searchsorted(start, offsets), scramble((sums[end] - sums[start]) * down[start]), start, end
 
 
 def byte_pieces(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -84,7 +86,7 @@ def pieces(column: pa.Array, lower: bool) -> Iterator[tuple[int, np.ndarray, np.
     ``hashes[bounds[k]:bounds[k + 1]]``.  Words are runs without ASCII white space; null has none.
     With ``lower``, A-Z count as a-z."""
     for row, offsets, data in byte_pieces(column):
-        yield row, *_hash_piece(data, offsets, lower)
+        yield row, *hash_words(data, offsets, lower)[:2]
 
 
 def runs(hashes: np.ndarray, k: int, seed: int) -> np.ndarray:

@@ -4,6 +4,7 @@ import os
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from oracle import compare, connect
 
@@ -48,7 +49,7 @@ def test_pipeline(spark):
     before, after = out["quality"]
     model = quality.fit(before, table(spark, SF_DIR, "labels"))
     rows = before.collect()
-    want = {r["doc_id"] for r, s in zip(rows, model.scores([r["text"] for r in rows]), strict=True) if s >= 0.3}
+    want = {r["doc_id"] for r, s in zip(rows, model.scores(pa.array([r["text"] for r in rows], pa.string())), strict=True) if s >= 0.3}
     assert {r["doc_id"] for r in after.collect()} == want and 0 < len(want) < len(rows)
 
     before, after = out["near_duplicates"]

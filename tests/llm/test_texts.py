@@ -4,9 +4,10 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tallyhouse.llm import pages, pii, quality, secrets
+from tallyhouse.llm import pages, pii, quality, secrets, words
 from tallyhouse.llm.mincut import Cut
 from tallyhouse.llm.trigrams import trigram_query, trigrams_of
 
@@ -41,12 +42,25 @@ def test_votes_are_those_of_the_nearest(spark):
     v = rng.normal(size=(200, 4))
     v /= np.linalg.norm(v, axis=1, keepdims=True)
     model = quality.Model(np.arange(4), np.ones(4), np.eye(4, dtype=np.float32), v, rng.integers(0, 2, 200).astype(float))
-    for q in v[:20] + 0.1:
-        model.vector = lambda *_: q / np.linalg.norm(q)  # noqa: B023
-        c = np.array([float(x @ q) / np.linalg.norm(q) for x in v])
+    q = v[:20] + 0.1
+    q /= np.linalg.norm(q, axis=1, keepdims=True)
+    for x, got in zip(q, model.vote(q), strict=True):
+        c = v @ x
         near = np.argsort(-c)[: quality.NEIGHBOURS]
         w = np.clip(c[near], 0, 1) ** quality.POWER
-        assert model.scores(["x"])[0] == pytest.approx((w * model.labels[near]).sum() / w.sum())
+        assert got == pytest.approx((w * model.labels[near]).sum() / w.sum(), abs=1e-5)
+
+
+def test_terms_of_many_texts_are_those_of_each(monkeypatch):
+    texts = ["a b a b a b", None, "", "X!! y\nX!! y\nz", "one two three " * 40, "ÄÖ 12|34 ***"]
+    alone = [quality.terms(pa.array([t], pa.string()))[0] for t in texts]
+    for size in (1, 1 << 20):
+        monkeypatch.setattr(words, "PIECE", size)
+        for (c, w), (d, x) in zip(quality.terms(pa.array(texts, pa.string())), alone, strict=True):
+            assert np.array_equal(c, d) and np.allclose(w, x)
+    assert len(alone[1][0]) == len(alone[2][0]) == 0
+    pair = dict(zip(*alone[0], strict=True))[quality._PAIR]
+    assert pair == pytest.approx(quality.REPEATS * (3 / 6) ** 0.5)  # five pairs, two different ones
 
 
 def test_odd_documents(spark):
