@@ -38,8 +38,15 @@ def ingest_block(seq: str | Column) -> Column:
 
 
 def _one_per_key(df: DataFrame, keys: list[str], order: str, pick: str) -> DataFrame:
-    rest = [F.expr(f"{pick}(`{c}`, `{order}`) AS `{c}`") for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(*rest).select(*df.columns)
+    """One whole row per key: a single aggregate buffer, and rows of equal order are told apart by
+    their values, so the choice does not depend on the partitioning."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    quoted = ", ".join(f"`{c}`" for c in rest)
+    kept = F.expr(f"{pick}(struct({quoted}), struct(`{order}`, xxhash64({quoted})))").alias("__row")
+    one = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(kept)
+    return one.select(*[F.col(f"`{c}`") if c in keys else F.col(f"__row.`{c}`").alias(c) for c in df.columns])
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: str = "ingest_seq") -> DataFrame:
@@ -106,13 +113,16 @@ def with_surrogate_key(
     key: str,
     sk: str,
     current: DataFrame | None = None,
-    buckets: int = SURROGATE_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Number new members after the highest key in ``current``; 0 is never used.
 
     Members are numbered by ``key`` inside hash buckets; each bucket is shifted
-    by the sizes of those before.  Keys are distinct, so buckets are even.
+    by the sizes of those before.  Keys are distinct, so buckets are even; there
+    are as many as the session has shuffle partitions, if that is more than usual.
     """
+    if buckets is None:
+        buckets = max(SURROGATE_BUCKETS, int(new_members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     split = new_members.selectExpr("*", f"pmod(xxhash64({key}), {buckets}) AS __bucket")
     local = split.selectExpr("*", f"row_number() OVER (PARTITION BY __bucket ORDER BY {key}) AS __local")
     # at most ``buckets`` rows

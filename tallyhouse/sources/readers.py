@@ -9,7 +9,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyhouse.operators.keys import row_in_task
 from tallyhouse.operators.relational import union_all
@@ -22,12 +22,14 @@ from tallyhouse.sources.discovery import (
     heads,
     tab_or_comma,
 )
+from tallyhouse.session import materialize
 from tallyhouse.sources.lineage import place_in_split, with_lineage
 
 log = logging.getLogger(__name__)
 
-_OVERFLOW, _RECORD = "__overflow", "__record"
+_OVERFLOW = "__overflow"
 TOO_LONG = "more cells than the header"
+NO_DOCUMENT = "no document of records or columns"
 _ABSENT = "\u0001"  # no cell holds this, so empty cells stay empty texts
 
 
@@ -96,28 +98,32 @@ def delimited_frames(
             frames.append(drop_first_index_column(_resplit(spark, group, sep, header), "csv"))
             continue
         # an extra column tells rows that have more cells than the header
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _OVERFLOW, _RECORD]])
-        df = spark.read.csv(
-            [f.path for f in group],
-            schema=schema,
-            sep=sep,
-            header=True,
-            quote='"',
-            escape='"',
-            nullValue=_ABSENT,
-            emptyValue="",
-            multiLine=whole,
-            columnNameOfCorruptRecord=_RECORD,
-        )
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _OVERFLOW]])
+        options = {"sep": sep, "quote": '"', "escape": '"', "nullValue": _ABSENT, "emptyValue": ""}
+        df = spark.read.csv([f.path for f in group], schema=schema, header=True, multiLine=whole, **options)
         df = with_lineage(df, group, F.col("_metadata.file_path"), row_in_task() if whole else place_in_split())
         if rejects is not None and not skip_long_rows:
-            long = df.filter(F.col(_OVERFLOW).isNotNull())
-            rejects.append(long.select("file_source", "ingest_seq", F.col(_RECORD).alias("record"), F.lit(TOO_LONG).alias("reason")))
-        df = df.filter(F.col(_OVERFLOW).isNull()).drop(_OVERFLOW, _RECORD)
+            rejects.append(_long_rows(spark, group, df, schema, options, header, whole))
+        df = df.filter(F.col(_OVERFLOW).isNull()).drop(_OVERFLOW)
         frames.append(drop_first_index_column(df, "csv"))
     return frames
 
 
+def _long_rows(spark: SparkSession, group, df: DataFrame, schema, options: dict, header: str, whole: bool) -> DataFrame:
+    """Rows with more cells than the header: the line as it stands or, where rows span lines, the
+    cells up to the first surplus one."""
+    if whole:
+        long = df.filter(F.col(_OVERFLOW).isNotNull())
+        record = F.to_csv(F.struct(*[F.col(f"`{f.name}`") for f in schema.fields]), options)
+    else:
+        lines = spark.read.text([f.path for f in group])
+        lines = with_lineage(lines, group, F.col("_metadata.file_path"), place_in_split())
+        cells = F.from_csv("value", schema.toDDL(), options)
+        long = lines.filter((F.col("value") != header) & cells[_OVERFLOW].isNotNull())
+        record = F.col("value")
+    return long.select("file_source", "ingest_seq", record.alias("record"), F.lit(TOO_LONG).alias("reason"))
+
+
 def _ragged(names: list[str]) -> bool:
     """The header came out as one cell that still holds separators."""
     return "\t" in names[0]
@@ -152,14 +158,19 @@ def parquet_frames(spark: SparkSession, files: list[SourceFile]) -> list[DataFra
     return [with_lineage(df, files, F.col("_metadata.file_path"), F.col("_metadata.row_index"))]
 
 
-def json_frames(spark: SparkSession, files: list[SourceFile]) -> list[DataFrame]:
+def json_frames(spark: SparkSession, files: list[SourceFile], rejects: list[DataFrame] | None = None) -> list[DataFrame]:
     """A document per file: a list of records, or columns of {row: value}.
 
-    A document cannot be split, so a file is read by one task.
+    A document cannot be split, so a file is read by one task.  One that is
+    neither goes to ``rejects`` whole.
     """
     text = spark.read.text([f.path for f in files], wholetext=True).select(
         F.col("_metadata.file_path").alias("__path"), "value"
     )
+    if rejects is not None:
+        broken = text.filter(~F.coalesce(_is_document(), F.lit(False)))
+        broken = with_lineage(broken, files, F.col("__path"), F.lit(0).cast("bigint"))
+        rejects.append(broken.select("file_source", "ingest_seq", F.col("value").alias("record"), F.lit(NO_DOCUMENT).alias("reason")))
     rows = json_rows(text)
     # one entry per column name
     names = [r.name for r in rows.select(F.explode(F.map_keys("cells")).alias("name")).distinct().orderBy("name").collect()]
@@ -167,6 +178,13 @@ def json_frames(spark: SparkSession, files: list[SourceFile]) -> list[DataFrame]
     return [with_lineage(named, files, F.col("__path"), F.col("row")).drop("__path", "row")]
 
 
+def _is_document() -> Column:
+    listed = F.ltrim("value").startswith("[")
+    records = F.from_json("value", "array<map<string,string>>").isNotNull()
+    columns = F.from_json("value", "map<string,map<string,string>>").isNotNull()
+    return F.when(listed, records).otherwise(columns)
+
+
 def json_rows(text: DataFrame) -> DataFrame:
     """(__path, value) documents -> (__path, row, cells) with cells by name."""
     listed = F.ltrim("value").startswith("[")
@@ -207,18 +225,18 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
 def _promote_header(rows: DataFrame, files: list[SourceFile], kind: str) -> list[DataFrame]:
     """Cells by row -> columns named by row 0 of each table.
 
-    The headers (one row per table) decide the layouts; rows of one layout are
-    projected together.
+    The cells are written once, as every layout reads them again.  The layouts,
+    not the tables, come to the driver; the tables of a layout are found by a
+    join on (file, table).
     """
-    headers = rows.filter(F.col("row_no") == 0).select("__path", "table_no", "cells").collect()
-    layouts: dict[tuple[str, ...], list[tuple[str, int]]] = {}
-    for h in headers:
-        layouts.setdefault(tuple(_unique([(c or "").strip() for c in h.cells])), []).append((h["__path"], h.table_no))
+    rows = materialize(rows, "cells")
+    headers = rows.filter(F.col("row_no") == 0).select("__path", "table_no", "cells", F.to_json(F.struct("cells")).alias("layout"))
+    layouts = headers.groupBy("layout").agg(F.first("cells").alias("cells")).orderBy("layout").collect()
     frames = []
-    for names, tables in layouts.items():
-        mine = rows.sparkSession.createDataFrame(tables, "__path string, table_no int")
-        # one entry per table of the files in hand
-        body = rows.filter(F.col("row_no") > 0).join(F.broadcast(mine), ["__path", "table_no"], "left_semi")
+    for layout in layouts:
+        names = _unique([(c or "").strip() for c in layout["cells"]])
+        mine = headers.filter(F.col("layout") == layout["layout"]).select("__path", "table_no")
+        body = rows.filter(F.col("row_no") > 0).join(mine, ["__path", "table_no"], "left_semi")
         named = body.select(
             *[F.get(F.col("cells"), F.lit(i)).alias(n) for i, n in enumerate(names)], "__path", "table_no", "row_no"
         )
@@ -280,7 +298,7 @@ def file_frames(
         if reader is None:
             log.warning("unsupported file type %r: %d file(s)", kind, len(group))
             continue
-        options = {"rejects": rejects} if kind == "csv" else {}
+        options = {"rejects": rejects} if kind in ("csv", "json") else {}
         frames += [clean_frame(df) if clean else df for df in reader(spark, group, **options)]
     return frames
 
