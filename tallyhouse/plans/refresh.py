@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -166,10 +166,23 @@ def load_dimensions(spark: SparkSession, store: Store, feeds: Mapping[str, DataF
 def rekey(store: Store, staged: DataFrame) -> None:
     """Move campaign rows to campaigns that have arrived since they were loaded."""
     fact = store.read("fact_campaign_transactions")
-    moved, _ = facts.rekey_late_campaigns(fact, store.read("dim_campaign"), staged)
+    moved, counts = facts.rekey_late_campaigns(fact, store.read("dim_campaign"), staged)
+    if counts.first()["moved"] == 0:
+        return  # nothing moves, nothing is rewritten
     store.replace("fact_campaign_transactions", moved, FACT_ORDER)
 
 
+def _add_rejects(store: Store, table: str, rejects: DataFrame) -> None:
+    """Append the rejects that the table does not hold from an earlier load of the same rows."""
+    known = store.read(table)
+    columns = [c for c in known.columns if c != "rejected_at"]
+    seen = known.select(*[F.col(c).alias(f"__{c}") for c in columns]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in columns])
+    fresh = materialize(rejects.to(known.schema).join(seen, same, "left_anti"), "rejects")
+    if not fresh.isEmpty():
+        store.append(table, fresh)
+
+
 def load_facts(spark: SparkSession, store: Store, feeds: Mapping[str, DataFrame], pairing: str, missing_delay: int | None) -> None:
     def users() -> None:
         store.replace("dim_user", dims.stub_users(store.read("dim_user"), feeds["order_data"]))
@@ -189,7 +202,7 @@ def load_facts(spark: SparkSession, store: Store, feeds: Mapping[str, DataFrame]
             stage=materialize,
         )
         store.replace("fact_orders", load.table, FACT_ORDER)
-        store.append("reject_fact_orders", load.rejects)
+        _add_rejects(store, "reject_fact_orders", load.rejects)
 
     def lines() -> None:
         load = facts.load_line_items(
@@ -202,7 +215,7 @@ def load_facts(spark: SparkSession, store: Store, feeds: Mapping[str, DataFrame]
             stage=materialize,
         )
         store.append("fact_line_items", load.added, FACT_ORDER)
-        store.append("reject_fact_line_items", load.rejects)
+        _add_rejects(store, "reject_fact_line_items", load.rejects)
 
     def campaigns() -> None:
         load = facts.load_campaign_transactions(
@@ -213,7 +226,7 @@ def load_facts(spark: SparkSession, store: Store, feeds: Mapping[str, DataFrame]
             stage=materialize,
         )
         store.append("fact_campaign_transactions", load.added, FACT_ORDER)
-        store.append("reject_fact_campaign_transactions", load.rejects)
+        _add_rejects(store, "reject_fact_campaign_transactions", load.rejects)
 
     _together([users, products])
     orders()

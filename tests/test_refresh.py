@@ -220,3 +220,18 @@ def test_reset(spark, store):
     assert store.append("fact_orders", row).count() == 2
     store.reset("fact_orders")
     assert store.read("fact_orders").count() == 0
+
+
+def test_a_second_load_repeats_no_reject_and_rewrites_no_unmoved_campaigns(spark, company, store):
+    daily_file(company)
+    feeds.orders(company, ["o9,U9,3days,2024-01-15"], tag="_9")
+    feeds.merchants_of_orders(company, ["o9,NOBODY,S1"], tag="_9")
+    refresh(spark, str(company), store)
+    rejects = {t: store.read(t).count() for t in ("reject_fact_orders", "reject_fact_line_items", "reject_fact_campaign_transactions")}
+    assert rejects["reject_fact_orders"] == 1
+    before = store._folders("fact_campaign_transactions")
+    refresh(spark, str(company), store)
+    assert rejects == {t: store.read(t).count() for t in rejects}
+    assert store._folders("fact_campaign_transactions")[: len(before)] == before
+    log = store.read("ingestion_log").collect()
+    assert log and {r.status for r in log} == {"success"} and all(r.rows_ingested > 0 for r in log)
