@@ -61,6 +61,12 @@ def _hits(length: int, keep: str) -> Column:
     )
 
 
+def _with_words(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` plus ``__w``.  As the output of a generator the words stay a column: a filter on
+    what is computed from them is not pushed below, where each of its steps would cut the text anew."""
+    return docs.withColumn("__w", F.explode(F.array(words_of(F.col(text)))))
+
+
 def with_hits(docs: DataFrame, windows: DataFrame, text="text", max_set: int = MAX_SET) -> DataFrame:
     """``docs`` plus ``__n_words`` and ``__hits``, the verified spans in word numbers from 1."""
     known = windows.select("len", "window", F.xxhash64(F.split("window", " ")).alias("h"))
@@ -70,7 +76,7 @@ def with_hits(docs: DataFrame, windows: DataFrame, text="text", max_set: int = M
     by_len: dict[int, list] = {}
     for r in rows:
         by_len.setdefault(r["len"], []).append(r)
-    scan = docs.withColumn("__w", words_of(F.col(text)))
+    scan = _with_words(docs, text)
     found = [F.expr(f"cast(array() as array<{_HIT}>)")]
     for length, of_len in sorted(by_len.items()):
         # words hold no quote and no backslash
@@ -88,7 +94,7 @@ def with_hits(docs: DataFrame, windows: DataFrame, text="text", max_set: int = M
 def _with_hits_joined(docs: DataFrame, windows: DataFrame, text: str) -> DataFrame:
     """For benchmarks too large to send along: exploded windows, joined by shuffle."""
     fixed = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "decontaminate-docs")
-    scan = fixed.select("__row", words_of(F.col(text)).alias("__w"))
+    scan = _with_words(fixed, text).select("__row", "__w")
     lengths = [r["len"] for r in windows.select("len").distinct().collect()]  # at most n
     spans = F.concat(*[_hits(length, "true") for length in sorted(lengths)])
     every = scan.select("__row", F.explode(spans).alias("s"))
