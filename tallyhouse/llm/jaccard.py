@@ -4,11 +4,11 @@
    by its smallest id.
 2. Groups: similar documents are brought together by parts of their sets.  If two sets are linked,
    they differ in at most ``H`` tokens (H from the threshold and the sizes).  A hash deals the tokens
-   of a set into H + 1 + SPARE parts, so at least one part with tokens is equal in both.  The hash of
-   a part is a key; documents that share a key belong together, and the smallest id among them names
+   of a set into H + 1 + SPARE parts, so 1 + SPARE parts are equal in both; fewer equal parts are no
+   link.  The hash of a part is a key; documents that share a key belong together, and the smallest id among them names
    the group.  Sizes are cut into bands as wide as the threshold allows; a document takes part in its
-   own band and the next, so linked sets meet.  Every document has one home group and visits all
-   groups in which a document shares a key with it.
+   own band and the next, so linked sets meet.  Every document has one home group and visits the
+   groups with smaller names in which a document shares a key with it.
 3. Token-group matrix: in a group, documents are put into rows of at most ``ROW`` neighbours by size
    and part, and for each row the union of its tokens is stored.  The overlap of a document with the
    union bounds its overlap with every member; only rows whose bound reaches the threshold are opened
@@ -41,7 +41,9 @@ from tallyhouse.session import materialize
 
 #: Words of a shingle; linked if 100 * intersection >= PERCENT * union.
 SHINGLE, PERCENT = 5, 80
-SPARE = 2
+#: Parts beyond those that must be equal: linked sets have so many more keys in common, which sets
+#: that share a passage only have not.
+SPARE = 8
 #: A key counts as heavy from so many documents on; at most so many heavy keys are listed.
 HEAVY, MAX_HEAVY, SALTS = 2048, 50_000, 16
 #: Documents and tokens of a block, documents of a row of the matrix.
@@ -83,14 +85,18 @@ def bands(percent: int, upto: int) -> np.ndarray:
     return np.array([*out, out[-1] * 100 // percent + 1])
 
 
-def part_keys(tokens: np.ndarray, percent: int, edges: np.ndarray) -> np.ndarray:
-    """The keys of a set: hashes of its parts, in its own band and in the next."""
+def part_keys(tokens: np.ndarray, percent: int, edges: np.ndarray) -> tuple[np.ndarray, int]:
+    """The keys of a set, hashes of its parts in its own band and in the next; and how many of them
+    any linked set has as well, at least.
+
+    Of the ``differ + 1 + SPARE`` parts of a band, ``1 + SPARE`` are equal in two linked sets.  Empty
+    parts give no key, unless there are more than SPARE of them.
+    """
     n = len(tokens)
     own = int(np.searchsorted(edges, n, side="right")) - 1
-    out = []
+    out, common = [], 1 + SPARE
     for band in (own, own + 1):
-        most = int(edges[band + 1]) - 1
-        differ = 2 * most * (100 - percent) // (100 + percent)
+        differ = 2 * (int(edges[band + 1]) - 1) * (100 - percent) // (100 + percent)
         if differ == 0:
             continue  # only equal sets are linked here, and these are one class
         k = differ + 1 + SPARE
@@ -101,13 +107,14 @@ def part_keys(tokens: np.ndarray, percent: int, edges: np.ndarray) -> np.ndarray
             low = np.bincount(part, weights=(mixed & U64(0xFFFFFFFF)).astype(float), minlength=k).astype(U64)
             high = np.bincount(part, weights=(mixed >> U64(32)).astype(float), minlength=k).astype(U64)
             keys = scramble(low + (high << U64(32)) + scramble(np.arange(k, dtype=U64) + U64(band << 32)))
-        # with at most SPARE empty parts, a part with tokens is equal too
-        out.append(keys if (count == 0).sum() > SPARE else keys[count > 0])
-    return np.concatenate(out) if out else np.zeros(0, U64)
+        empty = int((count == 0).sum())
+        common = min(common, max(1, 1 + SPARE - empty))
+        out.append(keys if empty > SPARE else keys[count > 0])
+    return (np.concatenate(out) if out else np.zeros(0, U64)), common
 
 
 def _first_pass(shingle: int, percent: int):
-    schema = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64())])
+    schema = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("common", pa.int64())])
 
     def run(batches):
         edges = bands(percent, 1 << 32)
@@ -115,15 +122,16 @@ def _first_pass(shingle: int, percent: int):
             ids = batch.column(0).to_pylist()
             out, keys = [], []
             for row, tokens in shingle_sets(batch.column(1), shingle):
-                out.append((0, ids[row], len(tokens), *_digest(tokens)))
-                keys.append(part_keys(tokens, percent, edges) if len(tokens) else tokens)
+                own, common = part_keys(tokens, percent, edges) if len(tokens) else (tokens, 1)
+                out.append((0, ids[row], len(tokens), *_digest(tokens), common))
+                keys.append(own)
             if keys:
                 key, count = np.unique(np.concatenate(keys), return_counts=True)
                 often = count >= 8
-                out += [(1, k, c, 0, 0) for k, c in zip(signed(key[often]).tolist(), count[often].tolist(), strict=True)]
+                out += [(1, k, c, 0, 0, 0) for k, c in zip(signed(key[often]).tolist(), count[often].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), schema, strict=True)], schema=schema) if out else pa.RecordBatch.from_pylist([], schema)
 
-    return run, "kind int, id long, n long, d1 long, d2 long"
+    return run, "kind int, id long, n long, d1 long, d2 long, common long"
 
 
 def _key_pass(shingle: int, percent: int, heavy: np.ndarray):
@@ -140,7 +148,7 @@ def _key_pass(shingle: int, percent: int, heavy: np.ndarray):
             for row in sorted(found, key=lambda r: ids[r]):
                 d = _digest(found[row])
                 if seen.setdefault(d, row) == row:
-                    k = part_keys(found[row], percent, edges)
+                    k = part_keys(found[row], percent, edges)[0]
                     keys.append(k)
                     docs.append(np.full(len(k), ids[row]))
             if not keys:
@@ -313,9 +321,9 @@ def near_duplicates(docs: DataFrame, text="text", doc_id="doc_id", shingle: int
 
     # equal sets are one class
     known = nodes.where("n > 0 and id is not null")
-    classes = known.groupBy("d1", "d2", "n").agg(F.min("id").alias("class"))
+    classes = known.groupBy("d1", "d2", "n").agg(F.min("id").alias("class"), F.min("common").alias("common"))
     same = known.join(classes, ["d1", "d2", "n"]).where("id <> class").select(F.col("id").alias("u"), F.col("class").alias("v"))
-    leaders = classes.select(F.col("class").alias("doc"), "n")
+    leaders = classes.select(F.col("class").alias("doc"), "n", "common")
 
     run, schema = _key_pass(shingle, percent, heavy)
     keyed = base.mapInArrow(run, schema).withColumn("heavy", F.lit(False))
@@ -330,10 +338,21 @@ def near_duplicates(docs: DataFrame, text="text", doc_id="doc_id", shingle: int
     )
     shared = materialize(shared, "jaccard-keys")
 
-    home = shared.groupBy("doc").agg(F.min("leader").alias("grp"))
-    in_key = shared.join(home, "doc").select("key", "grp").distinct()
-    visits = shared.select("key", "doc").join(in_key, "key").select("doc", "grp").unionByName(home).distinct()
-    visits = materialize(visits, "jaccard-visits")
+    # a document with fewer shared keys than any link would give it has no link; two linked documents
+    # meet in the home group of one of them, that with the smaller name
+    least = leaders.groupBy("doc").agg(F.min("common").alias("common"))
+    # the home group is that of the leader with most keys in common
+    by_leader = shared.groupBy("doc", "leader").agg(F.count("*").alias("keys"))
+    home = by_leader.groupBy("doc").agg(F.max_by("leader", F.struct("keys", -F.col("leader"))).alias("home"), F.sum("keys").alias("keys"))
+    home = home.join(least, "doc").where("keys >= common").drop("keys")
+    at_home = materialize(shared.select("key", "doc").distinct().join(home, "doc"), "jaccard-homes")
+    in_key = at_home.groupBy("key", F.col("home").alias("grp")).agg(F.count("*").alias("members"))
+    seen = at_home.join(in_key, "key").where("grp <= home").groupBy("doc", "grp", "home", "common")
+    seen = materialize(seen.agg(F.count("*").alias("keys"), F.count_if(F.col("members") > 1).alias("others")), "jaccard-seen")
+    guests = seen.where("grp < home and keys >= common").select("doc", "grp")
+    hosts = seen.where("grp = home").join(guests.select("grp", F.lit(True).alias("visited")).distinct(), "grp", "left")
+    hosts = hosts.where("visited or others >= common").select("doc", "grp")
+    visits = materialize(guests.unionByName(hosts), "jaccard-visits")
     sizes = (
         visits.join(leaders.groupBy("doc").agg(F.max("n").alias("n")), "doc")
         .groupBy("grp")
