@@ -126,9 +126,10 @@ class Postings:
         self.rows = {}
         if codes:
             code, row = np.concatenate(codes), np.concatenate(rows)
+        if codes and len(code):
             order = np.lexsort((row, code))
             code, row = code[order], row[order]
-            first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else []
+            first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) 
             for lo, hi in zip(first, [*first[1:], len(code)], strict=True):
                 self.rows[int(code[lo])] = row[lo:hi]
         return self
