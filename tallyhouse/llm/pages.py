@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -43,11 +44,19 @@ AWAY_WORDS = frozenset(
 )
 #: The same, unless the name also speaks of the article.
 PERHAPS_AWAY = frozenset("aside header banner notice share sharing social related recommended widget toolbar legal skip".split())
+#: Whole names that nothing nested lifts: menus, the foot of a page, comments.
+FIRM_WORDS = frozenset("nav navbar navigation menu breadcrumb breadcrumbs footer pagination pager comment comments respond disqus".split())
+#: Lists of teasers, whose items are articles too.
+TEASER_WORDS = frozenset("related recommended sponsor sponsored promo promotion share sharing social".split())
+#: Next to a word of the above in one name, these describe the layout or a switch: no-sidebar, comments-open.
+STATE_WORDS = frozenset("no not without with has have is hide show open opened closed off on enabled disabled allowed layout".split())
 MAIN_TAGS = frozenset("article main".split())
 MAIN_WORDS = frozenset("article content post entry story main maincontent articlebody".split())
 
 #: Weights of the classifier; positive speaks for content.
 MAIN, AWAY, LINKED, LENGTH, SHORT, HEADING = 5.0, -9.0, -4.0, 0.6, -0.8, 0.6
+#: What a wrapper named away costs the blocks below it, the less the more of the page's words it holds.
+NAMED = -7.0
 #: Strength of ties: neighbours, and blocks of the same parent.
 NEAR, SIBLING = 0.6, 0.8
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre caption figcaption summary legend address center".split())
@@ -58,14 +67,17 @@ class Block:
     text: str
     linked: int  # characters inside links
     parent: int  # number of the element that holds the block
-    hint: int  # 1 main, -1 away, 0 nothing
+    hint: int  # 1 main, -1 away, -2 away whatever is nested in it, 0 nothing
     heading: bool
+    wrappers: tuple[int, ...] = ()  # numbers of the elements above that are named away
 
 
 class _Reader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, int, bool]] = []  # tag, number, hint, silent
+        self.stack: list[tuple[str, int, int, bool, tuple[int, ...]]] = []  # tag, number, hint, silent, wrappers
+        self.teasers: set[int] = set()  # numbers of wrappers
+        self.forms: set[int] = set()
         self.blocks: list[Block] = []
         self.count = self.links = 0
         self.parts: list[str] = []
@@ -77,21 +89,39 @@ class _Reader(HTMLParser):
             above = [x for x in self.stack if x[0] in BLOCK]
             tag = above[-1][0] if above else ""
             holder = above[:-1] if tag in LEAVES else above
-            self.blocks.append(Block(text, self.linked, holder[-1][1] if holder else 0, above[-1][2] if above else 0, tag in ("h1", "h2", "h3", "h4", "h5", "h6")))
+            self.blocks.append(Block(text, self.linked, holder[-1][1] if holder else 0, above[-1][2] if above else 0, tag in ("h1", "h2", "h3", "h4", "h5", "h6"), above[-1][4] if above else ()))
         self.parts, self.linked = [], 0
 
-    def _hint(self, tag: str, attrs) -> int:
-        above = self.stack[-1][2] if self.stack else 0
+    def _hint(self, tag: str, attrs) -> tuple[int, tuple[int, ...]]:
+        above, wrappers = (self.stack[-1][2], self.stack[-1][4]) if self.stack else (0, ())
+        if above < -1:
+            return above, ()  # nothing inside a menu is content
+        if tag == "main":
+            return 1, ()
+        if tag == "article":
+            return 1, tuple(w for w in wrappers if w in self.teasers)
         if above < 0:
-            return -1  # nothing inside a menu is content
-        said = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v).lower()
-        words = set(re.findall(r"[a-z]+", said))
-        if tag in AWAY_TAGS or (tag == "header" and above == 0):
-            return -1
-        if tag not in ("html", "body", "article", "main"):
-            if words & AWAY_WORDS or (words & PERHAPS_AWAY and not words & MAIN_WORDS):
-                return -1
-        return 1 if tag in MAIN_TAGS or words & MAIN_WORDS else above
+            return above, ()
+        if tag in AWAY_TAGS:
+            return -2, ()
+        if tag == "header" and above == 0:
+            return -1, ()
+        names = [set(re.findall(r"[a-z]+", x)) for k, v in attrs if k in ("class", "id", "role") and v for x in v.lower().split()]
+        main = any(x & MAIN_WORDS and not x & AWAY_WORDS for x in names)
+        if tag not in ("html", "body"):
+            whole = {w for x in names if len(x) == 1 for w in x}
+            parts = {w for x in names if len(x) > 1 and not x & STATE_WORDS for w in x}
+            if not main and (whole & FIRM_WORDS or any(x & {"comment", "comments"} and x & {"list", "area", "thread"} for x in names)):
+                return -2, ()
+            away = whole & AWAY_WORDS if main else (whole | parts) & (AWAY_WORDS | PERHAPS_AWAY)
+            if away:
+                if away & TEASER_WORDS:
+                    self.teasers.add(self.count)
+                return int(main), (*wrappers, self.count)
+            if tag == "form":
+                self.forms.add(self.count)
+                return int(main), (*wrappers, self.count)
+        return 1 if main else above, wrappers
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK or tag == "br":
@@ -115,7 +145,8 @@ class _Reader(HTMLParser):
         self.count += 1
         self.links += tag == "a"
         silent = tag in SILENT or bool(self.stack and self.stack[-1][3])
-        self.stack.append((tag, self.count, self._hint(tag, attrs), silent))
+        hint, wrappers = self._hint(tag, attrs)
+        self.stack.append((tag, self.count, hint, silent, wrappers))
 
     def _pop(self):
         self.links -= self.stack.pop()[0] == "a"
@@ -154,27 +185,47 @@ class _Reader(HTMLParser):
 _UNFINISHED = re.compile(r"<(?:[a-zA-Z/][^<>]*|!--(?:(?!-->).)*|![^<>]*)\Z", re.S)
 
 
-def blocks_of(html: str | None) -> list[Block]:
+def blocks_of(html: str | None) -> tuple[list[Block], set[int]]:
+    """Blocks, and the numbers of the forms."""
     reader = _Reader()
     reader.feed(_UNFINISHED.sub("", html or ""))
-    return reader.done()
+    return reader.done(), reader.forms
 
 
-def evidence(b: Block) -> float:
+def wrapper_costs(blocks: list[Block], forms: set[int]) -> list[float]:
+    """What the wrappers above every block speak against it.
+
+    A wrapper that holds most words of a page is its layout, so it says little.  One that only has a
+    name counts in full where the page calls another part its main text; a form never does.
+    """
+    if not any(b.wrappers for b in blocks):
+        return [0.0] * len(blocks)
+    sizes = [b.text.count(" ") + 1 for b in blocks]
+    held: Counter[int] = Counter()
+    for b, n in zip(blocks, sizes, strict=True):
+        for w in b.wrappers:
+            held[w] += n
+    told = any(b.hint > 0 and not b.wrappers for b in blocks)
+    cost = {w: NAMED if told and w not in forms else NAMED * (1 - n / sum(sizes)) ** 2 for w, n in held.items()}
+    return [min((cost[w] for w in b.wrappers), default=0.0) for b in blocks]
+
+
+def evidence(b: Block, wrapped: float = 0.0) -> float:
     """Positive for content."""
     words = b.text.count(" ") + 1
-    out = LENGTH * math.log(words) + LINKED * min(1.0, b.linked / len(b.text)) + (MAIN if b.hint > 0 else AWAY if b.hint < 0 else 0.0)
+    out = wrapped + LENGTH * math.log(words) + LINKED * min(1.0, b.linked / len(b.text)) + (MAIN if b.hint > 0 else AWAY if b.hint < 0 else 0.0)
     return out + (HEADING if b.heading else SHORT if words < 8 and b.hint == 0 else 0.0)
 
 
-def label(blocks: list[Block]) -> list[bool]:
+def label(blocks: list[Block], forms: set[int] = frozenset()) -> list[bool]:
     cut = Cut(len(blocks))
+    wrapped = wrapper_costs(blocks, forms)
     last: dict[int, int] = {}
     for k, b in enumerate(blocks):
-        x = evidence(b)
+        x = evidence(b, wrapped[k])
         cut.terminal(k, max(x, 0.0), max(-x, 0.0))
         if k:
-            near = NEAR if blocks[k - 1].hint == b.hint else NEAR / 4
+            near = NEAR if (blocks[k - 1].hint, blocks[k - 1].wrappers) == (b.hint, b.wrappers) else NEAR / 4
             cut.edge(k - 1, k, near, near)
         if b.parent in last and last[b.parent] != k - 1:
             cut.edge(last[b.parent], k, SIBLING, SIBLING)
@@ -183,8 +234,8 @@ def label(blocks: list[Block]) -> list[bool]:
 
 
 def main_text(html: str | None) -> str:
-    blocks = blocks_of(html)
-    return "\n\n".join(b.text for b, content in zip(blocks, label(blocks), strict=True) if content)
+    blocks, forms = blocks_of(html)
+    return "\n\n".join(b.text for b, content in zip(blocks, label(blocks, forms), strict=True) if content)
 
 
 def extract(pages: DataFrame, html="html", keep=("page_id", "url")) -> DataFrame:

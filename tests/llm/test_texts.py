@@ -229,6 +229,43 @@ def test_a_page_without_names():
     assert pages.main_text(html) == f"Title\n\n{long}\n\nshort\n\n{long}"
 
 
+LONG = "a paragraph of prose that goes on for a good while and says this and that"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<div class='content no-sidebar'><article>{}</article></div>",
+        "<div class='layout with-sidebar'><div>{}</div></div>",
+        "<div class='post comments-open'>{}</div>",
+        "<div id='main' class='sidebar-right'>{}</div>",
+        "<div class='page sidebar'><main>{}</main></div>",
+        "<div class='sidebar'><article>{}</article></div><footer>imprint</footer>",
+        "<div class='sidebar'><div class='content'>{}</div></div><nav>a menu</nav>",
+        "<div class='sidebar-left'><div>{}</div></div><nav>a menu</nav>",
+        "<div class='ad'><div id='content'>{}</div></div>",
+    ],
+)
+def test_names_of_a_wrapper_do_not_empty_the_page(html):
+    assert pages.main_text(html.format(f"<h1>Title</h1><p>{LONG}</p><p>{LONG}</p>")) == f"Title\n\n{LONG}\n\n{LONG}"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<nav><article><p>{0}</p></article></nav>",
+        "<footer><main><p>{0}</p></main></footer>",
+        "<div class='comments'><article><p>{0}</p></article></div>",
+        "<ol class='comment-list'><li><article class='content'><p>{0}</p></article></ol>",
+        "<div class='sidebar'><p>{0}</p></div>",
+        "<div class='cookie-notice'><div class='content'><p>{0}</p></div></div>",
+        "<section class='related'><article><p>{0}</p></article></section>",
+    ],
+)
+def test_what_is_away_stays_away(html):
+    assert pages.main_text(html.format(LONG) + f"<article><p>the text, {LONG}</p></article>") == f"the text, {LONG}"
+
+
 def test_pages_of_the_tables(spark):
     import html as escapes
 
