@@ -33,7 +33,9 @@ BLOCK = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Never text of the page.
-SILENT = frozenset("head script style noscript template title svg math iframe object select option button textarea form canvas audio video datalist".split())
+SILENT = frozenset("head script style noscript template title svg math iframe object select option button textarea canvas audio video datalist".split())
+#: What a head holds.
+HEAD = frozenset("html head base basefont bgsound link meta noscript script style template title".split())
 #: An open element that the start of another one of the set ends.
 CLOSES = {"p": BLOCK, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 
@@ -124,6 +126,8 @@ class _Reader(HTMLParser):
         return 1 if main else above, wrappers
 
     def handle_starttag(self, tag, attrs):
+        if tag not in HEAD:
+            self._end_head(tag == "body")
         if tag in BLOCK or tag == "br":
             if tag == "br":
                 self.parts.append(" ")
@@ -144,10 +148,17 @@ class _Reader(HTMLParser):
                     break
         self.count += 1
         self.links += tag == "a"
-        silent = tag in SILENT or bool(self.stack and self.stack[-1][3])
+        silent = tag in SILENT or bool(self.stack and self.stack[-1][3]) or (tag == "label" and any(x[0] == "form" for x in self.stack))
         hint, wrappers = self._hint(tag, attrs)
         self.stack.append((tag, self.count, hint, silent, wrappers))
 
+    def _end_head(self, body: bool):
+        """What cannot stand in a head ends it, the body also what is still open in it."""
+        if self.stack and (self._top() == "head" or body and any(x[0] == "head" for x in self.stack)):
+            while self._top() != "head":
+                self._pop()
+            self._pop()
+
     def _pop(self):
         self.links -= self.stack.pop()[0] == "a"
 
@@ -171,6 +182,8 @@ class _Reader(HTMLParser):
         return self.stack[-1][0]
 
     def handle_data(self, data):
+        if data.strip():
+            self._end_head(False)
         if not (self.stack and self.stack[-1][3]):
             self.parts.append(data)
             if self.links:

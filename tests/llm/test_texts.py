@@ -266,6 +266,21 @@ def test_what_is_away_stays_away(html):
     assert pages.main_text(html.format(LONG) + f"<article><p>the text, {LONG}</p></article>") == f"the text, {LONG}"
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<html><head><title>t</title><meta charset=utf-8><body><article>{}</article>",
+        "<head><title>t</title><script>var x</script><div><article>{}</article></div>",
+        "<head><title>t</title><noscript><style>p{{}}</style><body><article>{}</article>",
+        "<head><title>t</title></head><body><form><input name=v><div>{}</div><label>Search</label><select><option>a</select><button>go</button></form></body>",
+        "<body><form><nav>menu</nav><div id='content'>{}</div><footer>imprint</footer></form></body>",
+        "<body><form class='page'><article>{}</article></form></body>",
+    ],
+)
+def test_an_open_head_and_a_form_around_the_page(html):
+    assert pages.main_text(html.format(f"<h1>Title</h1><p>{LONG}</p><p>{LONG}</p>")) == f"Title\n\n{LONG}\n\n{LONG}"
+
+
 def test_pages_of_the_tables(spark):
     import html as escapes
 
