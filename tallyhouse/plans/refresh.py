@@ -84,13 +84,25 @@ def ingest(
     return decisions.withColumn("dataset", F.lit(dataset))
 
 
+def _keep_rejected(store: Store, dataset: str, rejects: list[DataFrame], again: bool = False) -> None:
+    """Append rows that did not fit; with ``again``, those that an earlier load of the same files has
+    not left there.  The number of a file may differ between loads, the place in it does not."""
+    if not rejects:
+        return
+    found = union_all(rejects).withColumn("dataset", F.lit(dataset))
+    if again and store.exists("rejected_rows"):
+        place = F.col("ingest_seq").bitwiseAND(F.lit((1 << FILE_BITS) - 1))
+        seen = store.read("rejected_rows").select("dataset", "file_source", "record", "reason", place.alias("__place")).distinct()
+        found = found.withColumn("__place", place).join(seen, seen.columns, "left_anti").drop("__place")
+    found = materialize(found, "rejected-rows")
+    if not found.isEmpty():
+        store.append("rejected_rows", found)
+
+
 def _record(store: Store, dataset: str, chosen: DataFrame, files, start: int | None, rejects: list[DataFrame]) -> None:
     """Keep rows that did not fit, and log every file that was taken up: also those of an unknown
     format and those that gave no row."""
-    if rejects:
-        found = materialize(union_all(rejects).withColumn("dataset", F.lit(dataset)), "rejected-rows")
-        if not found.isEmpty():
-            store.append("rejected_rows", found)
+    _keep_rejected(store, dataset, rejects)
     table = schemas.staging_table(dataset)
     unknown = [f.path for f in unsupported(files)]
     skipped = chosen.filter(F.col("path").isin(unknown))
@@ -110,17 +122,21 @@ def staged_feeds(store: Store) -> dict[str, DataFrame]:
     return {d: transform(store.read(schemas.staging_table(d)), d) for d in schemas.STAGING}
 
 
-def direct_feeds(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def direct_feeds(spark: SparkSession, root: str, store: Store | None = None) -> dict[str, DataFrame]:
     """Feeds straight from the files, without staging tables.
 
     Keeps the product name of line items and puts places into title case.
     Each feed is written once, because its order of arrival must not change.
+    Rows that do not fit go to ``rejected_rows`` of the store; without a store
+    long rows are cut to their header.
     """
 
-
     def feed(dataset: str) -> DataFrame:
         files = source_files(dataset_files(spark, root, dataset))
-        df = stage_files(spark, files, dataset, direct=True) if files else None
+        rejects: list[DataFrame] | None = None if store is None else []
+        df = stage_files(spark, files, dataset, direct=True, rejects=rejects) if files else None
+        if rejects:
+            _keep_rejected(store, dataset, rejects, again=True)
         if df is None:
             df = spark.range(1).where("false").select().to(schemas.staging_schema(dataset))
         df = apply_formats(transform(df, dataset), DIRECT_FORMATS.get(dataset, {}))
@@ -250,7 +266,7 @@ def refresh(
         ingest_all(spark, root, store, force, on_modified)
         feeds = staged_feeds(store)
     else:
-        feeds = direct_feeds(spark, root)
+        feeds = direct_feeds(spark, root, store)
     load_dimensions(spark, store, feeds, calendar)
     load_facts(spark, store, feeds, pairing, missing_delay)
     return store.star()

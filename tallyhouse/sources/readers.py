@@ -27,7 +27,7 @@ from tallyhouse.sources.lineage import place_in_split, with_lineage
 
 log = logging.getLogger(__name__)
 
-_OVERFLOW = "__overflow"
+_INDEX, _OVERFLOW, _MORE = "__index", "__overflow", "__more"
 TOO_LONG = "more cells than the header"
 NO_DOCUMENT = "no document of records or columns"
 _ABSENT = "\u0001"  # no cell holds this, so empty cells stay empty texts
@@ -81,11 +81,12 @@ def delimited_frames(
     """Delimited text with a header line, separator found per file.
 
     Doubled quotes are decoded.  A row with fewer cells than the header is
-    filled up.  One with more cells is no row of this table: it is left out, and
-    unless ``skip_long_rows`` says that nobody wants it, ``rejects`` takes it as
-    (file_source, ingest_seq, record, reason).  ``multiline`` allows line breaks
-    inside quotes at the price of one task per file; by default the files that
-    need it are found first.
+    filled up.  One with more cells goes to ``rejects`` as (file_source,
+    ingest_seq, record, reason); without that list it is cut to the header, and
+    with ``skip_long_rows`` it is left out.  If all rows of a file have one cell
+    more and the first counts up, that cell is a row index and is dropped.
+    ``multiline`` allows line breaks inside quotes at the price of one task per
+    file; by default the files that need it are found first.
     """
     broken = _broken_quotes(spark, files) if multiline is None else {f.file_path for f in files if multiline}
     layouts = []
@@ -97,18 +98,73 @@ def delimited_frames(
         if _ragged(names):
             frames.append(drop_first_index_column(_resplit(spark, group, sep, header), "csv"))
             continue
-        # an extra column tells rows that have more cells than the header
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _OVERFLOW]])
         options = {"sep": sep, "quote": '"', "escape": '"', "nullValue": _ABSENT, "emptyValue": ""}
-        df = spark.read.csv([f.path for f in group], schema=schema, header=True, multiLine=whole, **options)
-        df = with_lineage(df, group, F.col("_metadata.file_path"), row_in_task() if whole else place_in_split())
-        if rejects is not None and not skip_long_rows:
-            rejects.append(_long_rows(spark, group, df, schema, options, header, whole))
-        df = df.filter(F.col(_OVERFLOW).isNull()).drop(_OVERFLOW)
-        frames.append(drop_first_index_column(df, "csv"))
+
+        def cells(part: list[SourceFile], columns: list[str]) -> tuple[DataFrame, T.StructType]:
+            schema = T.StructType([T.StructField(n, T.StringType()) for n in columns])
+            df = spark.read.csv([f.path for f in part], schema=schema, header=True, multiLine=whole, **options)
+            return with_lineage(df, part, F.col("_metadata.file_path"), row_in_task() if whole else place_in_split()), schema
+
+        if whole:
+            found = cells(group, [_INDEX, *names, _MORE])[0]
+            one_more = F.col(f"`{names[-1]}`").isNotNull() & F.col(_MORE).isNull()
+            found = found.select("file_source", "ingest_seq", F.trim(_INDEX).alias("t"), one_more.alias("one_more"), one_more.alias("filled"))
+        else:
+            found = _leading_cells(spark, group, sep, header, len(names))
+        indexed = _indexed(found)
+        for part in ([f for f in group if f.path in indexed], [f for f in group if f.path not in indexed]):
+            if not part:
+                continue
+            if part[0].path in indexed:
+                frames.append(drop_first_index_column(cells(part, [_INDEX, *names])[0].drop(_INDEX), "csv"))
+                continue
+            # an extra column tells rows that have more cells than the header
+            df, schema = cells(part, [*names, _OVERFLOW])
+            if rejects is not None and not skip_long_rows:
+                rejects.append(_long_rows(spark, part, df, schema, options, header, whole))
+            if rejects is not None or skip_long_rows:
+                df = df.filter(F.col(_OVERFLOW).isNull())
+            frames.append(drop_first_index_column(df.drop(_OVERFLOW), "csv"))
     return frames
 
 
+def _leading_cells(spark: SparkSession, group: list[SourceFile], sep: str, header: str, width: int) -> DataFrame:
+    """First cell ``t`` of every line, whether the line has one cell more than the header, and whether
+    its last cell is filled.  Counted in the text, as the parser does not tell empty from absent."""
+    lines = spark.read.text([f.path for f in group])
+    lines = with_lineage(lines, group, F.col("_metadata.file_path"), place_in_split())
+    parts = F.split(F.regexp_replace("value", '"[^"]*"', "x"), "\\Q" + sep + "\\E")
+    first = F.trim(F.replace(F.split_part("value", F.lit(sep), F.lit(1)), F.lit('"'), F.lit("")))
+    return lines.filter((F.trim("value") != "") & (F.col("value") != header)).select(
+        "file_source", "ingest_seq", first.alias("t"), (F.size(parts) == width + 1).alias("one_more"), (F.trim(F.element_at(parts, -1)) != "").alias("filled")
+    )
+
+
+def _indexed(cells: DataFrame) -> set[str]:
+    """Files (``file_source``) each of whose rows has one cell more than the header and begins with a
+    number that counts up by one.  One aggregate; a row per such file comes back.
+
+    A last cell that is empty everywhere comes of separators at the ends of lines, not of an index.
+    """
+    n = F.col("t").try_cast("bigint")
+    per_file = (
+        cells.withColumn("n", n)
+        .groupBy("file_source")
+        .agg(
+            F.count_if(~F.col("one_more") | F.col("n").isNull() | ~F.col("t").rlike(r"^\d+$")).alias("others"),
+            F.count_if("filled").alias("filled"),
+            F.count("*").alias("rows"),
+            F.count_distinct("n").alias("distinct"),
+            F.min("n").alias("low"),
+            F.max("n").alias("high"),
+            F.min_by("n", "ingest_seq").alias("first"),
+            F.max_by("n", "ingest_seq").alias("end"),
+        )
+    )
+    counts_up = "rows = distinct and high - low + 1 = rows and first = low and end = high"
+    return {r.file_source for r in per_file.filter(f"others = 0 and filled > 0 and {counts_up}").select("file_source").collect()}
+
+
 def _long_rows(spark: SparkSession, group, df: DataFrame, schema, options: dict, header: str, whole: bool) -> DataFrame:
     """Rows with more cells than the header: the line as it stands or, where rows span lines, the
     cells up to the first surplus one."""
@@ -162,13 +218,16 @@ def json_frames(spark: SparkSession, files: list[SourceFile], rejects: list[Data
     """A document per file: a list of records, or columns of {row: value}.
 
     A document cannot be split, so a file is read by one task.  One that is
-    neither goes to ``rejects`` whole.
+    neither goes to ``rejects`` whole; without that list its name is logged.
     """
     text = spark.read.text([f.path for f in files], wholetext=True).select(
         F.col("_metadata.file_path").alias("__path"), "value"
     )
-    if rejects is not None:
-        broken = text.filter(~F.coalesce(_is_document(), F.lit(False)))
+    broken = text.filter(~F.coalesce(_is_document(), F.lit(False)))
+    if rejects is None:
+        for row in broken.select("__path").collect():
+            log.warning("%s: %s", row["__path"], NO_DOCUMENT)
+    else:
         broken = with_lineage(broken, files, F.col("__path"), F.lit(0).cast("bigint"))
         rejects.append(broken.select("file_source", "ingest_seq", F.col("value").alias("record"), F.lit(NO_DOCUMENT).alias("reason")))
     rows = json_rows(text)
@@ -303,8 +362,10 @@ def file_frames(
     return frames
 
 
-def read_files(spark: SparkSession, files: list[SourceFile], clean: bool = True) -> DataFrame | None:
-    frames = file_frames(spark, files, clean)
+def read_files(
+    spark: SparkSession, files: list[SourceFile], clean: bool = True, rejects: list[DataFrame] | None = None
+) -> DataFrame | None:
+    frames = file_frames(spark, files, clean, rejects)
     return union_all(frames) if frames else None
 
 

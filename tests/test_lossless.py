@@ -47,6 +47,37 @@ def test_long_rows_and_broken_documents_are_kept_apart(spark, tmp_path, rows):
     assert sorted(found) == [("3,4,5,6", readers.TOO_LONG), ('[{"a": "8", ', readers.NO_DOCUMENT)]
 
 
+def test_long_rows_are_cut_where_nobody_takes_rejects(spark, tmp_path, rows):
+    feeds.write(tmp_path, "a.csv", "a,b\n1,2\n3,4,5,6\n7\n")
+    files = files_of(spark, tmp_path)
+    want = sorted([("1", "2"), ("3", "4"), ("7", None)], key=repr)
+    assert rows(readers.read(spark, files, readers.delimited_frames), "a", "b") == want
+    assert rows(readers.read_files(spark, files, clean=False), "a", "b") == want
+    rejects = []
+    assert readers.read_files(spark, files, clean=False, rejects=rejects).count() == 2
+    assert [r for df in rejects for r in rows(df, "record")] == [("3,4,5,6",)]
+
+
+@pytest.mark.parametrize("taken", [True, False])
+def test_an_index_cell_without_a_name(spark, tmp_path, rows, taken):
+    feeds.write(tmp_path, "a.csv", "a,b\n0,x,y\n1,z,\n2,,w\n")
+    feeds.write(tmp_path, "b.csv", "a,b\n1,p,\n2,q,\n")  # separators at the ends
+    feeds.write(tmp_path, "c.csv", "a,b\nr,1,5\ns,2,5\n")  # no index
+    rejects = [] if taken else None
+    found = rows(readers.read(spark, files_of(spark, tmp_path), readers.delimited_frames, rejects=rejects), "a", "b")
+    want = [("x", "y"), ("z", None), (None, "w"), ("1", "p"), ("2", "q")]
+    assert found == sorted(want if taken else [*want, ("r", "1"), ("s", "2")], key=repr)
+    if taken:
+        assert sorted(r for df in rejects for r in rows(df, "record")) == [("r,1,5",), ("s,2,5",)]
+
+
+def test_a_broken_document_is_named(spark, tmp_path, caplog):
+    feeds.write(tmp_path, "a.json", '[{"a": "8"}]')
+    feeds.write(tmp_path, "b.json", '[{"a": "8", ')
+    assert readers.read_files(spark, files_of(spark, tmp_path), clean=False).count() == 1
+    assert "b.json" in caplog.text
+
+
 def test_a_digit_named_column_goes_only_where_all_files_agree(spark):
     def frame(b):
         a = [("a.csv", k, str(k), "v") for k in range(20)]

@@ -235,3 +235,13 @@ def test_a_second_load_repeats_no_reject_and_rewrites_no_unmoved_campaigns(spark
     assert store._folders("fact_campaign_transactions")[: len(before)] == before
     log = store.read("ingestion_log").collect()
     assert log and {r.status for r in log} == {"success"} and all(r.rows_ingested > 0 for r in log)
+
+
+@pytest.mark.parametrize("mode", ["staged", "direct"])
+def test_rows_that_do_not_fit_are_kept_once(spark, company, store, mode):
+    daily_file(company)
+    feeds.orders(company, ["o9,U9,3days,2024-01-15", "o8,U8,3days,2024-01-15,surplus"], tag="_9")
+    for _ in range(2):
+        refresh(spark, str(company), store, mode=mode)
+        found = store.read("rejected_rows").collect()
+        assert [(r.dataset, r.record) for r in found] == [("order_data", "1,o8,U8,3days,2024-01-15,surplus")]
