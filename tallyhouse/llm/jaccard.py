@@ -289,6 +289,8 @@ def _visit_pass(shingle: int):
             ids, visits = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             rows, held = [], 0
             for row, tokens in shingle_sets(batch.column(1), shingle):
+                if not len(tokens):
+                    continue  # a row of an id that others give words
                 data = tokens.tobytes()
                 for v in visits[row]:
                     own = int(scramble(np.array([ids[row] & (2**64 - 1)], U64))[0] % U64(v["blocks"]))

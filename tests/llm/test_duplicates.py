@@ -70,6 +70,13 @@ def test_keep_one(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _, c in brute_components(docs, 5, 80) if i == c}
 
 
+def test_a_repeated_id_with_an_empty_text_among_many_near_copies(spark, rows):
+    base = [f"w{k}" for k in range(200)]
+    docs = [(k, " ".join(base[:k] + ["x"] + base[k + 1 :])) for k in range(0, 120, 8)]
+    got = rows(jaccard.op7(spark, frame(spark, [*docs, (8, None), (16, "")])), "doc_id", "n_shingles", "component_id")
+    assert got == sorted([(k, 198, 0) for k, _ in docs] + [(8, 0, 0), (16, 0, 0)], key=repr)
+
+
 def test_odd_ids(spark, rows):
     docs = [(None, "a b c d e f g h i j k"), (1, "a b c d e f g h i j k"), (1, "other words here"), (2, "other words here"), (3, None)]
     got = rows(jaccard.op7(spark, frame(spark, docs)), "doc_id", "n_shingles", "component_id")
