@@ -1,7 +1,7 @@
-"""Removal of repeated passages with prefix-partitioned suffix trees.
+"""Removal of repeated passages with suffix trees of bounded depth, partitioned by anchors.
 
-A word position with at least ``length`` words from there on starts a suffix.  The suffixes are
-dealt out to trees by prefixes of variable length, and each tree is small enough for a task:
+A word position with at least ``length`` words from there on starts a suffix.  Suffixes are compared
+to a depth of ``length`` words only.  They are dealt out to trees, each small enough for a task:
 
 * An ordinary suffix is dealt by its anchor, the run of ``anchor`` words that has the smallest hash
   within its first ``length`` words.  Neighbouring suffixes mostly share their anchor, so they travel
@@ -12,9 +12,10 @@ dealt out to trees by prefixes of variable length, and each tree is small enough
 
 Stretches that are equal word by word are merged before any tree is built: the earliest stays, all
 others are repeated as a whole.  Only where an anchor has several different stretches their words are
-fetched and a tree is built, as sorted suffixes with the lengths of common prefixes between
-neighbours.  Its nodes at depth ``length`` or more are the repeats; all their suffixes but the
-earliest start earlier elsewhere.  Repeats longer than ``length`` come out as runs of such suffixes.
+fetched and a tree is built, as sorted suffixes cut to ``length`` words with the lengths of common
+prefixes between neighbours.  Its nodes at depth ``length`` are the repeats (there are no deeper ones,
+so no maximal repeats); all their suffixes but the earliest start earlier elsewhere.  Repeats longer
+than ``length`` come out as runs of such suffixes.
 
 Equality of whole stretches, and of the whole prefixes of crowded anchors, is that of 128 bits of hash.
 
@@ -191,7 +192,7 @@ def tree_repeats(words: list[np.ndarray], counts: np.ndarray, group: np.ndarray,
     """Suffixes that start earlier elsewhere in the trees of their groups: ``doc, start``.
 
     The trees are given by sorted suffixes and the common prefix of neighbours; a node at depth
-    ``length`` or more is a maximal run of neighbours with at least that much in common.
+    ``length``, the deepest there is, is a maximal run of neighbours with that much in common.
     """
     depth = np.concatenate([np.lib.stride_tricks.sliding_window_view(w, length)[:c] for w, c in zip(words, counts, strict=True)])
     group = np.repeat(group, counts)
