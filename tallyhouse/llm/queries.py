@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyhouse.llm import decontaminate, jaccard, mixing, neighbours, pages, pii, quality, secrets, substrings, tokens
+from tallyhouse.llm import decontaminate, jaccard, merkle, mixing, neighbours, pages, pii, quality, secrets, substrings, tokens
 from tallyhouse.llm.base import LlmQuery, table
 
 
@@ -22,4 +22,5 @@ def all_llm_queries() -> list[LlmQuery]:
         LlmQuery("op8_token_ids", lambda s, d: tokens.op8(s, table(s, d, "documents"))),
         LlmQuery("op9_mixing", lambda s, d: mixing.op9(s, table(s, d, "documents")), mixing.SQL),
         LlmQuery("op10_main_text", lambda s, d: pages.op10(s, table(s, d, "pages"))),
+        LlmQuery("op11_merkle_manifest", lambda s, d: merkle.op11(s, table(s, d, "documents")), merkle.SQL),
     ]
