@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyhouse.llm import decontaminate, jaccard, merkle, mixing, neighbours, pages, pii, quality, secrets, substrings, tokens
+from tallyhouse.llm import decontaminate, fingerprints, jaccard, merkle, mixing, neighbours, pages, pii, quality, secrets, substrings, tokens, trie
 from tallyhouse.llm.base import LlmQuery, table
 
 
@@ -23,4 +23,6 @@ def all_llm_queries() -> list[LlmQuery]:
         LlmQuery("op9_mixing", lambda s, d: mixing.op9(s, table(s, d, "documents")), mixing.SQL),
         LlmQuery("op10_main_text", lambda s, d: pages.op10(s, table(s, d, "pages"))),
         LlmQuery("op11_merkle_manifest", lambda s, d: merkle.op11(s, table(s, d, "documents")), merkle.SQL),
+        LlmQuery("op12_fingerprints", lambda s, d: fingerprints.op12(s, table(s, d, "documents")), fingerprints.SQL),
+        LlmQuery("op13_prefix_trie", lambda s, d: trie.op13(s, table(s, d, "conversations")), trie.SQL),
     ]
