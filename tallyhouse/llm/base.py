@@ -55,3 +55,14 @@ def neutral(df: DataFrame, *wanted: str) -> tuple[DataFrame, list[str]]:
 def restored(out: DataFrame, df: DataFrame) -> DataFrame:
     """The columns of ``df`` under their old names, out of a frame that came from ``neutral``."""
     return out.select(*[f"c{k}" for k in range(len(df.columns))]).toDF(*df.columns)
+
+
+def discard(written: DataFrame) -> None:
+    """Delete a table that ``materialize`` wrote, after its last reader.  Its folder must be in the scratch folder."""
+    spark = written.sparkSession
+    folders = {f.rsplit("/", 1)[0] for f in written.inputFiles()}
+    for folder in folders:
+        if f"/tallyhouse/{spark.sparkContext.applicationId}/" not in folder:
+            raise ValueError(f"{folder} is not a scratch table")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tallyhouse.llm.base import discard
 from tallyhouse.session import materialize
 
 MAX_ROUNDS = 60
@@ -39,5 +40,6 @@ def connected_components(edges: DataFrame, u: str, v: str) -> DataFrame:
                 now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             )
         state = tuple(seen)
-        now = materialize(_stars(now), "components")
+        before, now = now, materialize(_stars(now), "components")
+        discard(before)
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")

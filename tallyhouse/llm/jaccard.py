@@ -2,23 +2,27 @@
 
 1. ``sets``: every text becomes its set of distinct shingle hashes.  Equal sets are one class, named
    by its smallest id.
-2. Groups: similar documents are brought together by parts of their sets.  If two sets are linked,
-   they differ in at most ``H`` tokens (H from the threshold and the sizes).  A hash deals the tokens
-   of a set into H + 1 + SPARE parts, so 1 + SPARE parts are equal in both; fewer equal parts are no
-   link.  The hash of a part is a key; documents that share a key belong together, and the smallest id among them names
-   the group.  Sizes are cut into bands as wide as the threshold allows; a document takes part in its
-   own band and the next, so linked sets meet.  Every document has one home group and visits the
-   groups with smaller names in which a document shares a key with it.
-3. Token-group matrix: in a group, documents are put into rows of at most ``ROW`` neighbours by size
-   and part, and for each row the union of its tokens is stored.  The overlap of a document with the
-   union bounds its overlap with every member; only rows whose bound reaches the threshold are opened
-   and compared exactly.  A spanning forest of the links goes out, never all pairs.
-4. Components of the forest give the classes of near duplicates.
-
-Scale: keys are a tenth of the tokens per band; a key that very many documents share is split into
-salted groups (``heavy`` keys come from a counting pass; the list is bounded and only decides how a
-group is split, not what is compared).  A group is cut into blocks, each pair of blocks is a task's
-unit of work, and a unit is held one at a time.
+2. Keys: with the tokens in one order for all sets, a set's first tokens are its keys; so many that
+   linked sets have at least ``common`` keys in common (``SPARE`` percent of the tokens).  The order is that of the hash,
+   but for crowded tokens, which come last: a passage that very many documents share is a key
+   only of documents that hold little else.  Keys that one document has alone are dropped.
+3. Token-group matrix: the smallest document with a key leads it, and a document's home group is that
+   of the leader it shares most keys with.  The matrix has one row for each key and group whose members
+   have it: the group's union of keys, as rows.  Joined with a document's keys it gives
+   the overlap of the document with every group's union, a bound on its overlap with each member.  Only groups
+   that reach the document's ``common`` are opened; a document opens groups with smaller names than its own.
+4. Opened groups: whole sets meet, in blocks.  In a group of many blocks every block is compared with
+   itself and the group's leader first.  Documents that turn out to be in the leader's class are
+   not compared with each other any more; only the rest meets the other blocks.
+   Within a block a matrix of unions over rows of ``ROW`` neighbours decides what is compared.
+   A spanning forest of the links goes out, never all pairs.
+5. Components of the forest give the classes of near duplicates.
+
+Scale: keys are a quarter to a third of the tokens at a similarity of 0.8.  Crowded tokens come from counters over all rows
+(a table of fixed size, so a token may be taken for crowded that is not; that only changes the order).
+Crowded keys are split into salted groups.  The texts of documents that open groups are fetched by a
+join whose other side is thinned by a bit table of fixed size.  A unit of comparison is one block or two, and is held one
+at a time.  Written tables are deleted after their last reader.
 
 Defined results: null and empty texts and texts without words have the empty set, which is linked
 with nothing; rows that repeat an id are one node with all their sets; a null id has no component;
@@ -27,13 +31,14 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyhouse.llm.base import neutral, restored
+from tallyhouse.llm.base import discard, neutral, restored
 from tallyhouse.llm.components import connected_components
 from tallyhouse.llm.stream import group_bounds, sorted_groups
 from tallyhouse.llm.words import U64, pieces, runs, scramble, signed
@@ -41,11 +46,13 @@ from tallyhouse.session import materialize
 
 #: Words of a shingle; linked if 100 * intersection >= PERCENT * union.
 SHINGLE, PERCENT = 5, 80
-#: Parts beyond those that must be equal: linked sets have so many more keys in common, which sets
-#: that share a passage only have not.
-SPARE = 8
-#: A key counts as heavy from so many documents on; at most so many heavy keys are listed.
-HEAVY, MAX_HEAVY, SALTS = 2048, 50_000, 16
+#: Percent of a set's tokens that linked sets have in common among their keys, at least.
+SPARE = 5
+#: A token counts as crowded from so many rows on (and eight times the mean of all counters).
+CROWD, COUNTERS, SALTS = 2048, 1 << 20, 16
+CHUNK = 4096
+#: Bits that thin out the documents before their texts are fetched.
+BITS = 1 << 25
 #: Documents and tokens of a block, documents of a row of the matrix.
 BLOCK_DOCS, BLOCK_TOKENS, ROW = 1024, 2_000_000, 32
 
@@ -77,94 +84,115 @@ def _digest(tokens: np.ndarray) -> tuple[int, int]:
 # ---------------------------------------------------------------- keys
 
 
-def bands(percent: int, upto: int) -> np.ndarray:
-    """Smallest size of each band; linked sets are in the same or in neighbouring bands."""
-    out = [1]
-    while out[-1] <= upto:
-        out.append(out[-1] * 100 // percent + 1)
-    return np.array([*out, out[-1] * 100 // percent + 1])
+def keys_of(n: int, percent: int) -> tuple[int, int]:
+    """How many of ``n`` tokens are keys, and how many of them any linked set has as well, at least.
 
-
-def part_keys(tokens: np.ndarray, percent: int, edges: np.ndarray) -> tuple[np.ndarray, int]:
-    """The keys of a set, hashes of its parts in its own band and in the next; and how many of them
-    any linked set has as well, at least.
-
-    Of the ``differ + 1 + SPARE`` parts of a band, ``1 + SPARE`` are equal in two linked sets.  Empty
-    parts give no key, unless there are more than SPARE of them.
+    Linked sets share at least ``need`` tokens.  Of those, the first ``common`` in the order stand among
+    the first ``n - need + common`` of either set.
     """
-    n = len(tokens)
-    own = int(np.searchsorted(edges, n, side="right")) - 1
-    out, common = [], 1 + SPARE
-    for band in (own, own + 1):
-        differ = 2 * (int(edges[band + 1]) - 1) * (100 - percent) // (100 + percent)
-        if differ == 0:
-            continue  # only equal sets are linked here, and these are one class
-        k = differ + 1 + SPARE
-        with np.errstate(over="ignore"):
-            mixed = scramble(tokens + U64((0x1000193 * (band + 1)) & (2**64 - 1)))
-            part = (mixed % U64(k)).astype(np.int64)
-            count = np.bincount(part, minlength=k)
-            low = np.bincount(part, weights=(mixed & U64(0xFFFFFFFF)).astype(float), minlength=k).astype(U64)
-            high = np.bincount(part, weights=(mixed >> U64(32)).astype(float), minlength=k).astype(U64)
-            keys = scramble(low + (high << U64(32)) + scramble(np.arange(k, dtype=U64) + U64(band << 32)))
-        empty = int((count == 0).sum())
-        common = min(common, max(1, 1 + SPARE - empty))
-        out.append(keys if empty > SPARE else keys[count > 0])
-    return (np.concatenate(out) if out else np.zeros(0, U64)), common
+    need = -(-percent * n // 100)
+    if need == n and 100 * n // percent == n:
+        return 0, 1  # only equal sets are linked here, and these are one class
+    common = max(1, min(need, SPARE * n // 100))
+    return n - need + common, common
 
 
 def _first_pass(shingle: int, percent: int):
-    schema = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("common", pa.int64())])
+    """A row for every text, and what each task counted of tokens."""
+    schema = pa.schema(
+        [("kind", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("common", pa.int64()), ("data", pa.binary())]
+    )
+
+    def frame(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema, strict=True)], schema=schema)
 
     def run(batches):
-        edges = bands(percent, 1 << 32)
+        counters = np.zeros(COUNTERS, np.uint32)
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            out, keys = [], []
+            rows = []
             for row, tokens in shingle_sets(batch.column(1), shingle):
-                own, common = part_keys(tokens, percent, edges) if len(tokens) else (tokens, 1)
-                out.append((0, ids[row], len(tokens), *_digest(tokens), common))
-                keys.append(own)
-            if keys:
-                key, count = np.unique(np.concatenate(keys), return_counts=True)
-                often = count >= 8
-                out += [(1, k, c, 0, 0, 0) for k, c in zip(signed(key[often]).tolist(), count[often].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), schema, strict=True)], schema=schema) if out else pa.RecordBatch.from_pylist([], schema)
+                rows.append((0, ids[row], len(tokens), *_digest(tokens), keys_of(len(tokens), percent)[1], None))
+                slots, times = np.unique((tokens & U64(COUNTERS - 1)).astype(np.int64), return_counts=True)
+                counters[slots] += times.astype(np.uint32)
+            if rows:
+                yield frame(rows)
+        if counters.any():
+            yield frame([(1, at, 0, 0, 0, 0, zlib.compress(counters[at : at + CHUNK].tobytes(), 1)) for at in range(0, COUNTERS, CHUNK)])
+
+    return run, "kind int, id long, n long, d1 long, d2 long, common long, data binary"
 
-    return run, "kind int, id long, n long, d1 long, d2 long, common long"
 
+def _crowded_pass(least: float):
+    """Which counters of a chunk reach ``least`` over all tasks; tasks' rows come one after the other."""
 
-def _key_pass(shingle: int, percent: int, heavy: np.ndarray):
+    def run(batches):
+        at, total = None, None
+
+        def done():
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([np.packbits(total >= least).tobytes()], pa.binary())], ["id", "bits"])
+
+        for batch in batches:
+            for chunk, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if chunk != at:
+                    if at is not None:
+                        yield done()
+                    at, total = chunk, np.zeros(CHUNK, np.uint64)
+                total += np.frombuffer(zlib.decompress(data), np.uint32)
+        if at is not None:
+            yield done()
+
+    return run, "id long, bits binary"
+
+
+def crowded_tokens(first: DataFrame) -> bytes:
+    """The counters of crowded tokens, as bits."""
+    total = first.where("kind = 0").agg(F.sum("n")).first()[0] or 0
+    run, schema = _crowded_pass(max(CROWD, 8 * total / COUNTERS))
+    chunks = first.where("kind = 1").select("id", "data").repartition("id").sortWithinPartitions("id").mapInArrow(run, schema).collect()
+    out = bytearray(COUNTERS // 8)
+    for r in chunks:
+        out[r["id"] // 8 : (r["id"] + CHUNK) // 8] = r["bits"]
+    return bytes(out)
+
+
+def _key_pass(shingle: int, percent: int, crowded: bytes):
     """Keys of every document; of equal sets in a batch only the first gives keys."""
 
     def run(batches):
-        edges = bands(percent, 1 << 32)
+        full = np.unpackbits(np.frombuffer(crowded, np.uint8)).astype(bool)
         for batch in batches:
             ids = np.array([-1 if x is None else x for x in batch.column(0).to_pylist()], np.int64)
             known = np.array([x is not None for x in batch.column(0).to_pylist()], bool)
-            seen: dict[tuple[int, int], int] = {}
-            keys, docs = [], []
+            seen: set[tuple[int, int]] = set()
+            keys, docs, heavy = [], [], []
             found = {row: tokens for row, tokens in shingle_sets(batch.column(1), shingle) if len(tokens) and known[row]}
             for row in sorted(found, key=lambda r: ids[r]):
-                d = _digest(found[row])
-                if seen.setdefault(d, row) == row:
-                    k = part_keys(found[row], percent, edges)[0]
-                    keys.append(k)
-                    docs.append(np.full(len(k), ids[row]))
+                tokens = found[row]
+                take = keys_of(len(tokens), percent)[0]
+                d = _digest(tokens)
+                if take == 0 or d in seen:
+                    continue
+                seen.add(d)
+                hot = full[(tokens & U64(COUNTERS - 1)).astype(np.int64)]
+                if hot.any():
+                    order = np.argsort(hot, kind="stable")[:take]
+                    tokens, hot = tokens[order], hot[order]
+                keys.append(tokens[:take])
+                heavy.append(hot[:take])
+                docs.append(np.full(take, ids[row]))
             if not keys:
                 continue
-            key, doc = signed(np.concatenate(keys)), np.concatenate(docs)
+            key, doc, hot = signed(np.concatenate(keys)), np.concatenate(docs), np.concatenate(heavy)
             salt = np.zeros(len(key), np.int32)
-            if len(heavy):
-                hot = heavy[np.minimum(np.searchsorted(heavy, key), len(heavy) - 1)] == key
-                salt[hot] = (scramble(doc[hot].view(U64)) % U64(SALTS)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(salt), pa.array(doc)], ["key", "salt", "doc"])
+            salt[hot] = (scramble(doc[hot].view(U64)) % U64(SALTS)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(salt), pa.array(doc), pa.array(hot)], ["key", "salt", "doc", "heavy"])
 
-    return run, "key long, salt int, doc long"
+    return run, "key long, salt int, doc long, heavy boolean"
 
 
 def _leaders(batches):
-    """Of keys with several documents (or of heavy ones): ``key, doc, leader``."""
+    """Of keys with several documents (or of crowded ones): ``key, doc, leader``."""
     for table in sorted_groups(batches, ["key", "salt"]):
         at = group_bounds(table, ["key", "salt"])
         size = np.diff(at)
@@ -201,19 +229,15 @@ class Forest:
         return True
 
 
-def compare_block(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among ``sets`` (positions), by a token-group matrix."""
+def compare_block(sets: list[np.ndarray], percent: int, one: list[int]) -> tuple[list[tuple[int, int]], Forest]:
+    """A spanning forest of the links among ``sets`` (positions), by a token-group matrix.
+
+    The positions in ``one`` are known to be one class already; no links are given for that.
+    """
     n = np.array([len(s) for s in sets], np.int64)
     forest, out = Forest(len(sets)), []
-    if len(sets) <= 6:
-        for i in range(len(sets)):
-            for j in range(i):
-                lo, hi = min(n[i], n[j]), max(n[i], n[j])
-                if 100 * lo >= percent * hi and forest.root(i) != forest.root(j):
-                    common = np.intersect1d(sets[i], sets[j], assume_unique=True).size
-                    if linked(np.int64(common), n[i], n[j], percent) and forest.join(i, j):
-                        out.append((i, j))
-        return out
+    for i in one:
+        forest.join(i, one[0])
     # neighbours by size, then by smallest token: rows of the matrix hold alike documents
     order = sorted(range(len(sets)), key=lambda i: (n[i], int(sets[i][0])))
     tokens, inverse = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
@@ -258,31 +282,62 @@ def compare_block(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]
                 a, b = order[some[k]], order[rows[r]]
                 if a != b and forest.join(a, b):
                     out.append((a, b))
-    return out
+    return out, forest
 
 
 def _compare_pass(percent: int):
+    """Links, and in groups of several blocks (``grp, doc`` with no ``v``) who is not in the leader's class."""
     keys = ["grp", "i", "j"]
 
     def run(batches):
         for table in sorted_groups(batches, keys):
             at = group_bounds(table, keys)
-            docs = table.column("doc").to_numpy()
+            docs, group, many = (table.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "grp", "many"))
+            known = table.column("known").to_numpy(zero_copy_only=False)
             sets = table.column("tokens")
-            u, v = [], []
-            for lo, hi in zip(at[:-1], at[1:], strict=True):
-                found = compare_block([np.frombuffer(sets[k].as_py(), U64) for k in range(lo, hi)], percent)
-                u += [int(docs[lo + a]) for a, _ in found]
-                v += [int(docs[lo + b]) for _, b in found]
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
-
-    return run, "u long, v long"
+            u, v, grp = [], [], []
+            for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                own = docs[lo:hi].tolist()
+                # the leader may be sent by several of its rows; all its rows are one node
+                one = np.flatnonzero(known[lo:hi]).tolist()
+                found, forest = compare_block([np.frombuffer(sets[k].as_py(), U64) for k in range(lo, hi)], percent, one)
+                u += [own[a] for a, _ in found]
+                v += [own[b] for _, b in found]
+                grp += [None] * len(found)
+                if many[lo]:
+                    lead = {forest.root(k) for k, d in enumerate(own) if d == group[lo]}
+                    outside = sorted({d for k, d in enumerate(own) if forest.root(k) not in lead})
+                    u += outside
+                    v += [None] * len(outside)
+                    grp += [int(group[lo])] * len(outside)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(grp, pa.int64())], ["u", "v", "grp"])
+
+    return run, "u long, v long, grp long"
+
+
+def _slot(doc: int, n: int) -> int:
+    return int(scramble(np.array([doc & (2**64 - 1)], U64))[0] % U64(n))
+
+
+def _units(doc: int, visit: dict) -> list[tuple[int, int, bool, bool]]:
+    """``i, j, many, known``: the units of a group in which a document is compared.
+
+    First each block with itself and the leader (``j`` -1); then the documents outside the leader's class,
+    in ``others`` blocks of their own, with every block.
+    """
+    blocks, others = visit["blocks"], visit["others"]
+    if not others:
+        return [(i, -1, blocks > 1, False) for i in (range(blocks) if doc == visit["grp"] else [_slot(doc, blocks)])]
+    out = {(_slot(doc, blocks), j) for j in range(others)}
+    if visit["outside"]:
+        out |= {(i, _slot(doc + 1, others)) for i in range(blocks)}
+    return [(i, j, False, not visit["outside"]) for i, j in sorted(out)]
 
 
 def _visit_pass(shingle: int):
-    """Token sets of documents, one row for each pair of blocks that they are compared in."""
-    names = ["grp", "i", "j", "doc", "tokens"]
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+    """Token sets of documents, one row for each unit that they are compared in."""
+    names = ["grp", "i", "j", "many", "known", "doc", "tokens"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64(), pa.binary()]
 
     def run(batches):
         for batch in batches:
@@ -293,9 +348,8 @@ def _visit_pass(shingle: int):
                     continue  # a row of an id that others give words
                 data = tokens.tobytes()
                 for v in visits[row]:
-                    own = int(scramble(np.array([ids[row] & (2**64 - 1)], U64))[0] % U64(v["blocks"]))
-                    for other in range(v["blocks"]):
-                        rows.append((v["grp"], min(own, other), max(own, other), ids[row], data))
+                    for unit in _units(ids[row], v):
+                        rows.append((v["grp"], *unit, ids[row], data))
                         held += len(data)
                 if held > 16 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names)
@@ -303,7 +357,32 @@ def _visit_pass(shingle: int):
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names)
 
-    return run, "grp long, i int, j int, doc long, tokens binary"
+    return run, "grp long, i int, j int, many boolean, known boolean, doc long, tokens binary"
+
+
+def _thinning(bits: bytes):
+    """Rows whose id may be among those that the bit table was made of."""
+
+    def run(batches):
+        table = np.frombuffer(bits, np.uint8)
+        for batch in batches:
+            slot = batch.column(2).to_numpy()
+            yield batch.filter(pa.array((table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1)).select([0, 1])
+
+    return run, "id long, text string"
+
+
+def texts_of(base: DataFrame, todo: DataFrame) -> DataFrame:
+    """``id, text, visits`` of the documents in ``todo``; most other texts stay where they are."""
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(BITS)) + 1
+    marked = todo.select(slot("doc").alias("slot"))
+    pages = marked.groupBy(F.bitmap_bucket_number("slot").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
+    table = bytearray(BITS // 8)
+    for r in pages:  # pages count from 1
+        at = (r["page"] - 1) * len(r["bits"])
+        table[at : at + len(r["bits"])] = r["bits"]
+    thin = base.where("id is not null").select("id", "text", (slot("id") - 1).alias("slot")).mapInArrow(*_thinning(bytes(table)))
+    return thin.join(todo, thin["id"] == todo["doc"]).select("id", "text", "visits")
 
 
 # ---------------------------------------------------------------- the join
@@ -313,68 +392,80 @@ def near_duplicates(docs: DataFrame, text="text", doc_id="doc_id", shingle: int
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     spark = docs.sparkSession
     base = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    run, schema = _first_pass(shingle, percent)
-    first = materialize(base.mapInArrow(run, schema), "jaccard-sets")
-    nodes = first.where("kind = 0").drop("kind")
-    heavy_rows = (
-        first.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= HEAVY).orderBy(F.desc("n"), "id").limit(MAX_HEAVY).collect()
-    )
-    heavy = np.array(sorted(r["id"] for r in heavy_rows), np.int64)
+    first = materialize(base.mapInArrow(*_first_pass(shingle, percent)), "jaccard-sets")
+    nodes = first.where("kind = 0").drop("kind", "data")
+    crowded = crowded_tokens(first)
 
     # equal sets are one class
     known = nodes.where("n > 0 and id is not null")
     classes = known.groupBy("d1", "d2", "n").agg(F.min("id").alias("class"), F.min("common").alias("common"))
     same = known.join(classes, ["d1", "d2", "n"]).where("id <> class").select(F.col("id").alias("u"), F.col("class").alias("v"))
-    leaders = classes.select(F.col("class").alias("doc"), "n", "common")
+    leaders = classes.groupBy(F.col("class").alias("doc")).agg(F.max("n").alias("n"), F.min("common").alias("common"))
 
-    run, schema = _key_pass(shingle, percent, heavy)
-    keyed = base.mapInArrow(run, schema).withColumn("heavy", F.lit(False))
-    if len(heavy):
-        listed = F.broadcast(spark.createDataFrame([(int(k),) for k in heavy], "key long").withColumn("listed", F.lit(True)))
-        keyed = keyed.drop("heavy").join(listed, "key", "left").select("key", "salt", "doc", F.coalesce("listed", F.lit(False)).alias("heavy"))
     shared = (
-        keyed.repartition("key", "salt")
+        base.mapInArrow(*_key_pass(shingle, percent, crowded))
+        .repartition("key", "salt")
         .sortWithinPartitions("key", "salt", "doc")
         .mapInArrow(_leaders, "key long, doc long, leader long")
-        .join(leaders.select("doc").distinct(), "doc", "left_semi")
+        .join(leaders.select("doc", "common"), "doc")
     )
     shared = materialize(shared, "jaccard-keys")
 
     # a document with fewer shared keys than any link would give it has no link; two linked documents
     # meet in the home group of one of them, that with the smaller name
-    least = leaders.groupBy("doc").agg(F.min("common").alias("common"))
-    # the home group is that of the leader with most keys in common
-    by_leader = shared.groupBy("doc", "leader").agg(F.count("*").alias("keys"))
-    home = by_leader.groupBy("doc").agg(F.max_by("leader", F.struct("keys", -F.col("leader"))).alias("home"), F.sum("keys").alias("keys"))
-    home = home.join(least, "doc").where("keys >= common").drop("keys")
-    at_home = materialize(shared.select("key", "doc").distinct().join(home, "doc"), "jaccard-homes")
-    in_key = at_home.groupBy("key", F.col("home").alias("grp")).agg(F.count("*").alias("members"))
-    seen = at_home.join(in_key, "key").where("grp <= home").groupBy("doc", "grp", "home", "common")
-    seen = materialize(seen.agg(F.count("*").alias("keys"), F.count_if(F.col("members") > 1).alias("others")), "jaccard-seen")
-    guests = seen.where("grp < home and keys >= common").select("doc", "grp")
-    hosts = seen.where("grp = home").join(guests.select("grp", F.lit(True).alias("visited")).distinct(), "grp", "left")
+    by_leader = shared.groupBy("doc", "common", "leader").agg(F.count("*").alias("keys"))
+    home = by_leader.groupBy("doc", "common").agg(F.max_by("leader", F.struct("keys", -F.col("leader"))).alias("home"), F.sum("keys").alias("keys"))
+    home = home.where("keys >= common").drop("keys", "common")
+    at_home = materialize(shared.select("key", "doc", "common").distinct().join(home, "doc"), "jaccard-homes")
+    discard(shared)
+    # the token-group matrix: keys of a group's union as rows, with the number of members that have them
+    matrix = at_home.groupBy("key", F.col("home").alias("grp")).agg(F.count("*").alias("members"))
+    bound = at_home.join(matrix, "key").where("grp <= home").groupBy("doc", "grp", "home", "common")
+    bound = materialize(bound.agg(F.count("*").alias("keys"), F.count_if(F.col("members") > 1).alias("others")), "jaccard-bounds")
+    discard(at_home)
+    guests = bound.where("grp < home and keys >= common").select("doc", "grp")
+    hosts = bound.where("grp = home").join(guests.select("grp", F.lit(True).alias("visited")).distinct(), "grp", "left")
     hosts = hosts.where("visited or others >= common").select("doc", "grp")
-    visits = materialize(guests.unionByName(hosts), "jaccard-visits")
+    opened = guests.unionByName(hosts)
     sizes = (
-        visits.join(leaders.groupBy("doc").agg(F.max("n").alias("n")), "doc")
+        opened.join(leaders.select("doc", "n"), "doc")
         .groupBy("grp")
         .agg(F.count("*").alias("docs"), F.sum("n").alias("tokens"))
         .where("docs > 1")
-        .select(
-            "grp",
-            F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("int").alias("blocks"),
-        )
+        .select("grp", F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("int").alias("blocks"))
     )
-    todo = visits.join(sizes, "grp").groupBy("doc").agg(F.collect_list(F.struct("grp", "blocks")).alias("visits"))
-    run, schema = _visit_pass(shingle)
-    sets = base.join(todo, base["id"] == todo["doc"]).select("id", "text", "visits").mapInArrow(run, schema)
-    run, schema = _compare_pass(percent)
-    links = sets.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j").mapInArrow(run, schema)
-
-    edges = materialize(links.unionByName(same), "jaccard-links")
-    found = connected_components(edges, "u", "v")
+    visits = opened.join(sizes, "grp")
+    # the leader meets every block of its group, also when it is at home elsewhere
+    led = visits.unionByName(sizes.where("blocks > 1").select(F.col("grp").alias("doc"), "grp", "blocks")).distinct()
+    visits = materialize(led, "jaccard-visits")
+    discard(bound)
+
+    def compare(asked: DataFrame, label: str) -> DataFrame:
+        visit = F.struct("grp", "blocks", "others", "outside")
+        todo = asked.groupBy("doc").agg(F.collect_list(visit).alias("visits"))
+        sets = texts_of(base, todo).mapInArrow(*_visit_pass(shingle))
+        units = sets.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
+        return materialize(units.mapInArrow(*_compare_pass(percent)), label)
+
+    found = compare(visits.withColumn("others", F.lit(0)).withColumn("outside", F.lit(False)), "jaccard-links")
+    edges = [found.where("v is not null").select("u", "v"), same]
+    outside = found.where("v is null").select(F.col("u").alias("doc"), "grp", F.lit(True).alias("outside")).distinct()
+    written = [found]
+    if not outside.isEmpty():
+        left = outside.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK_DOCS).cast("int").alias("others"))
+        again = visits.join(left, "grp").join(outside, ["doc", "grp"], "left").withColumn("outside", F.coalesce("outside", F.lit(False)))
+        written.append(compare(again, "jaccard-rest"))
+        edges.append(written[-1].where("v is not null").select("u", "v"))
+    links = edges[0]
+    for e in edges[1:]:
+        links = links.unionByName(e)
+    links = materialize(links, "jaccard-edges")
+    for table in [visits, *written]:
+        discard(table)
+    parts = connected_components(links, "u", "v")
+    discard(links)
     return (
-        nodes.join(found, nodes["id"] == found["node"], "left")
+        nodes.join(parts, nodes["id"] == parts["node"], "left")
         .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     )
 

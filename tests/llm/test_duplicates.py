@@ -54,15 +54,64 @@ def brute_components(docs, shingle, percent):
     return sorted((i, len(sets[i]), find(i)) for i in ids)
 
 
-@pytest.mark.parametrize("shingle, percent, heavy, block", [(3, 90, 2048, 1024), (3, 90, 4, 8), (5, 80, 4, 8), (2, 60, 2048, 8)])
-def test_components(spark, rows, monkeypatch, shingle, percent, heavy, block):
-    monkeypatch.setattr(jaccard, "HEAVY", heavy)
+@pytest.mark.parametrize("shingle, percent, crowd, block", [(3, 90, 2048, 1024), (3, 90, 4, 8), (5, 80, 4, 8), (2, 60, 2048, 8), (2, 60, 4, 1024)])
+def test_components(spark, rows, monkeypatch, shingle, percent, crowd, block):
+    monkeypatch.setattr(jaccard, "CROWD", crowd)
     monkeypatch.setattr(jaccard, "BLOCK_DOCS", block)
     docs = texts(shingle * 100 + percent, 60)
     got = jaccard.near_duplicates(frame(spark, docs).repartition(3), shingle=shingle, percent=percent)
     assert rows(got, "doc_id", "n_shingles", "component_id") == sorted(brute_components(docs, shingle, percent), key=repr)
 
 
+def test_a_group_of_many_blocks_where_few_are_like_the_leader(spark, rows, monkeypatch):
+    """Copies of neighbours in a chain: the leader is linked with the first ones only, the rest with each other."""
+    monkeypatch.setattr(jaccard, "BLOCK_DOCS", 4)
+    rng = random.Random(8)
+    w = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    docs = []
+    for k in range(60):
+        docs.append((k, " ".join(w)))
+        w[rng.randrange(150)] = f"x{k}"
+    docs += [(100 + k, " ".join([*w[:75], *[f"y{k}z{j}" for j in range(75)]])) for k in range(20)]
+    rng.shuffle(docs)
+    got = rows(jaccard.near_duplicates(frame(spark, docs)), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(brute_components(docs, 5, 80), key=repr)
+    assert len({c for i, _, c in got if i < 100}) == 1
+
+
+def test_a_crowded_token_is_counted_over_all_rows(spark):
+    """One row with it in each of many tasks is enough; and the keys of its documents avoid it."""
+    words = " ".join(f"p{k}" for k in range(9))
+    docs = [(k, words + " " + " ".join(f"d{k}w{j}" for j in range(60))) for k in range(64)]
+    first = frame(spark, docs).repartition(64).select("doc_id", "text").mapInArrow(*jaccard._first_pass(5, 80))
+    old, jaccard.CROWD = jaccard.CROWD, 50
+    try:
+        bits = jaccard.crowded_tokens(first)
+    finally:
+        jaccard.CROWD = old
+    assert sum(bin(b).count("1") for b in bits) == 5
+    keys = frame(spark, docs).select("doc_id", "text").mapInArrow(*jaccard._key_pass(5, 80, bits)).collect()
+    assert not any(r["heavy"] for r in keys) and max(sum(r["key"] == k for r in keys) for k in {r["key"] for r in keys}) == 1
+
+
+def test_keys_of_linked_sets():
+    rng = random.Random(2)
+    for percent in (60, 80, 90):
+        for _ in range(2000):
+            n = rng.randrange(1, 200)
+            both = rng.randrange(1, n + 1)
+            m = rng.randrange(both, 2 * n + 1)
+            if 100 * both < percent * (n + m - both) or n == m == both:
+                continue
+            order = [(rng.random(), t) for t in range(n + m - both)]
+            rank = {t: r for r, t in order}
+            x, y = list(range(n)), list(range(n - both, n + m - both))
+            kx, cx = jaccard.keys_of(n, percent)
+            ky, cy = jaccard.keys_of(m, percent)
+            first = lambda s, k: set(sorted(s, key=rank.get)[:k])
+            assert len(first(x, kx) & first(y, ky)) >= min(cx, cy)
+
+
 def test_keep_one(spark):
     docs = texts(5, 20)
     kept = jaccard.keep_one(frame(spark, docs))
