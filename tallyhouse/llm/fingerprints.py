@@ -79,6 +79,17 @@ def text_of(a: Column) -> Column:
     return F.array_join(a, "")
 
 
+def packed(a: Column) -> Column:
+    """A sketch as bytes, for the way through a shuffle."""
+    return F.unhex(text_of(a))
+
+
+def unpacked(data: Column) -> Column:
+    digits = F.lower(F.hex(data))
+    at = F.sequence(F.lit(0), F.greatest(F.octet_length(data) * 2 - DIGITS, F.lit(0)), F.lit(DIGITS))
+    return F.when(F.octet_length(data) == 0, F.expr(NONE)).otherwise(F.transform(at, lambda i: F.substring(digits, i + 1, F.lit(DIGITS))))
+
+
 def merge_by(sketches: DataFrame, by: list[str], sketch: str = "sketch", k: int = K) -> DataFrame:
     """One sketch for each group of rows: ``by`` and ``sketch``.
 
@@ -114,7 +125,7 @@ def _following(nodes: DataFrame, count: int) -> DataFrame:
 
 def op12(spark, docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    key = F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), text), 256)
+    key = F.substring(F.unhex(F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), text), 256)), 1, 16)
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), key.alias("key"))
     narrow = base.select("key", "doc_id", F.char_length("text").cast("bigint").alias("n_chars"))
     nodes = materialize(narrow.groupBy("key", "doc_id", "n_chars").agg(F.count("*").alias("copies")).withColumn("all", F.lit("")), "fingerprint-nodes")
@@ -128,13 +139,13 @@ def op12(spark, docs: DataFrame) -> DataFrame:
         .select(
             F.col("prev_key").alias("key"),
             F.substring("text", F.lit(1), F.col("takes").cast("int")).alias("head"),
-            sketch_of_words(F.col("words")).alias("next_sketch"),
+            packed(sketch_of_words(F.col("words"))).alias("next_sketch"),
         )
     )
     own = texts.join(order.select("key", "doc_id", "n_chars", "copies"), "key").withColumn("words", words(F.col("text")))
     own = own.withColumn("sketch", sketch_of_words(F.col("words"))).drop("words")
     half = F.shiftright("n_chars", 1).cast("int")
-    itself = F.struct(F.substring("text", F.lit(1), half).alias("head"), F.col("sketch").alias("next_sketch"), (F.col("copies") - 1).alias("times"))
+    itself = F.struct(F.substring("text", F.lit(1), half).alias("head"), packed(F.col("sketch")).alias("next_sketch"), (F.col("copies") - 1).alias("times"))
     following = F.struct("head", "next_sketch", F.lit(1).cast("bigint").alias("times"))
     pairs = own.join(heads, "key").withColumn(
         "next", F.explode(F.when(F.col("copies") > 1, F.array(following, itself)).otherwise(F.array(following)))
@@ -142,6 +153,7 @@ def op12(spark, docs: DataFrame) -> DataFrame:
     kept = F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int"))
     edited = pairs.select("doc_id", "n_chars", "sketch", "next", F.concat(kept, F.col("next.head")).alias("edited"))
     edited = edited.withColumn("words", words(F.col("edited"))).withColumn("edited_sketch", sketch_of_words(F.col("words")))
+    edited = edited.withColumn("next_sketch", unpacked(F.col("next.next_sketch")))
     return edited.select(
         "doc_id",
         "n_chars",
@@ -149,7 +161,7 @@ def op12(spark, docs: DataFrame) -> DataFrame:
         text_of(F.col("sketch")).alias("fingerprint"),
         text_of(F.col("edited_sketch")).alias("edited_fingerprint"),
         resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        resemblance(F.col("sketch"), F.col("next.next_sketch")).alias("near_next"),
+        resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
         F.explode(F.array_repeat(F.lit(1), F.col("next.times").cast("int"))).alias("copy"),
     ).drop("copy")
 
