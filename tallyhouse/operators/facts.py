@@ -502,15 +502,13 @@ def load_campaign_transactions_set_based(
     return current.unionByName(insert_or_ignore(current, rows, CAMPAIGN_FACT_KEY))
 
 
-def rekey_late_campaigns(
-    fact: DataFrame, dim_campaign: DataFrame, staged: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Move rows from UNKNOWN to the campaign that has arrived since.
+def campaign_moves(fact: DataFrame, dim_campaign: DataFrame, staged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows on UNKNOWN whose campaign has arrived since, with ``__new_sk``.
 
     An order staged with several campaigns takes the smallest id.  A move onto
     a key that is taken is not made: the row stays on UNKNOWN.  Of several
     rows that would move onto one free key, the smallest order id moves.
-    Returns the new table and a one-row count of moved and held-back rows.
+    Returns the moves and a one-row count of moved and held-back rows.
     """
     campaign_of_order = (
         staged.withColumns(
@@ -536,18 +534,27 @@ def rekey_late_campaigns(
     chosen = first_per_key(moves, target, "order_id")
     taken = fact.select(F.col("campaign_sk").alias("__new_sk"), *target[1:])
     chosen = chosen.join(taken, target, "left_anti")
-    moved_keys = chosen.select(
-        F.col("campaign_sk"), *target[1:], F.col("__new_sk")
+    counts = (
+        moves.agg(F.count("*").alias("__candidates"))
+        .crossJoin(chosen.agg(F.count("*").alias("moved")))
+        .select("moved", (F.col("__candidates") - F.col("moved")).alias("held_back"))
     )
-    result = fact.join(moved_keys, CAMPAIGN_FACT_KEY, "left").select(
+    return chosen, counts
+
+
+def apply_campaign_moves(fact: DataFrame, moves: DataFrame) -> DataFrame:
+    moved_keys = moves.select(*CAMPAIGN_FACT_KEY, "__new_sk")
+    return fact.join(moved_keys, CAMPAIGN_FACT_KEY, "left").select(
         *[
             F.coalesce(F.col("__new_sk"), F.col("campaign_sk")).alias("campaign_sk") if c == "campaign_sk" else F.col(c)
             for c in fact.columns
         ]
     )
-    counts = (
-        moves.agg(F.count("*").alias("__candidates"))
-        .crossJoin(chosen.agg(F.count("*").alias("moved")))
-        .select("moved", (F.col("__candidates") - F.col("moved")).alias("held_back"))
-    )
-    return result, counts
+
+
+def rekey_late_campaigns(
+    fact: DataFrame, dim_campaign: DataFrame, staged: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """``campaign_moves`` made: the new table, and the counts."""
+    moves, counts = campaign_moves(fact, dim_campaign, staged)
+    return apply_campaign_moves(fact, moves), counts

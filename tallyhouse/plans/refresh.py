@@ -4,6 +4,12 @@ The order matters.  Users and products are stubbed before the facts, merchants
 and staff never are, so an order of an unknown merchant is rejected.  Late
 campaigns are re-keyed before campaign rows are loaded again, so that a replay
 finds the rows it would insert already there.
+
+Every step notes in the state of its table which states of its inputs it has
+read.  A step whose inputs have not moved on is left out, so a second load of
+the same files reads no staged row.  Orders are judged again only where a row
+of theirs has come or gone since, or where they were rejected; of the facts only
+files that hold such orders are read and written anew.
 """
 
 from __future__ import annotations
@@ -11,11 +17,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse import schemas
+from tallyhouse.functions import normalize_key
 from tallyhouse.operators import dimensions as dims
 from tallyhouse.operators import facts
 from tallyhouse.operators.keys import FILE_BITS
@@ -62,11 +70,12 @@ def ingest(
     both.  Files are numbered after those staged before.
     """
     table = schemas.staging_table(dataset)
-    before = store.read(table)
-    staged = before if store.exists(table) else None
+    known = materialize(store.sources(table), "staged-files")
+    loads = known.select("file_source", F.col("last_loaded").alias("loaded_at"))
+    staged = loads if store.exists(table) else None
     decisions = materialize(incremental.decide_files(dataset_files(spark, root, dataset), staged, force), "decisions")
     chosen = decisions.filter(F.col("decision") == "process")
-    start = before.agg(F.max(F.shiftright("ingest_seq", FILE_BITS))).first()[0]
+    start = known.agg(F.max(F.shiftright("last_seq", FILE_BITS))).first()[0]
     files = source_files(chosen, 0 if start is None else start + 1)
     rejects: list[DataFrame] = []
     loaded = stage_files(spark, files, dataset, rejects=rejects) if files else None
@@ -74,9 +83,11 @@ def ingest(
         again = chosen.filter(F.col("reason").isin(incremental.MODIFIED, incremental.FORCED)).select(
             F.col("path").alias("file_source")
         )
-        if on_modified == "replace" and staged is not None and not again.isEmpty():
+        held = store.holding(table, again) if on_modified == "replace" and staged is not None else []
+        if held:
+            before = store.read_files(table, held)
             kept = before.join(again, "file_source", "left_anti").select(*before.columns)
-            store.replace(table, kept.unionByName(loaded))
+            store.rewrite(table, held, kept.unionByName(loaded))
         else:
             store.append(table, loaded)
     if files:
@@ -106,7 +117,7 @@ def _record(store: Store, dataset: str, chosen: DataFrame, files, start: int | N
     table = schemas.staging_table(dataset)
     unknown = [f.path for f in unsupported(files)]
     skipped = chosen.filter(F.col("path").isin(unknown))
-    now = store.read(table).filter(F.shiftright("ingest_seq", FILE_BITS) > (-1 if start is None else start))
+    now = store.sources(table).filter(F.shiftright("last_seq", FILE_BITS) > (-1 if start is None else start))
     log = incremental.ingestion_log(now, table, chosen.filter(~F.col("path").isin(unknown)), skipped)
     store.append("ingestion_log", log)
 
@@ -153,20 +164,63 @@ def _together(jobs: list[Callable[[], object]]) -> None:
             job.result()
 
 
-def load_dimensions(spark: SparkSession, store: Store, feeds: Mapping[str, DataFrame], calendar) -> None:
+@dataclass
+class Loading:
+    """One load into a store: its feeds, and whether they come from the staging tables."""
+
+    spark: SparkSession
+    store: Store
+    feeds: Mapping[str, DataFrame]
+    staged: bool
+
+    def step(self, table: str, name: str, feeds: list[str], tables: list[str], job: Callable[[dict, dict], None], **how) -> None:
+        """Run ``job(before, note)`` unless its inputs are at the states it has read them at.
+
+        ``before`` has those states, ``note`` is what the job's write has to leave in ``table``.
+        """
+        inputs = [schemas.staging_table(d) for d in feeds] + tables
+        now = {t: self.store.version(t) for t in inputs} | how
+        before = self.store.meta(table).get("read", {}).get(name, {}) if self.staged else {}
+        if not self.staged:
+            job({}, {})
+        elif before != now:
+            job(before, {"read": {name: now}})
+
+    def changed(self, dataset: str, before: dict, key: str = "order_id") -> DataFrame | None:
+        """Keys of staged rows that have come or gone since ``before``; None if that cannot be told."""
+        table = schemas.staging_table(dataset)
+        rows = self.store.changed_rows(table, before[table]) if table in before else None
+        return None if rows is None else rows.select(normalize_key(F.col(key)).alias("key"))
+
+
+def load_dimensions(load: Loading, calendar) -> None:
+    spark, store, feeds = load.spark, load.store, load.feeds
+
     def days() -> None:
-        store.replace("dim_date", dims.extend_calendar(store.read("dim_date"), dims.build_calendar(spark, *calendar)))
+        dates = store.read("dim_date")
+        wanted = dims.extend_calendar(dates, dims.build_calendar(spark, *calendar))
+        if wanted.count() != dates.count():
+            store.replace("dim_date", wanted)
 
     def campaigns() -> None:
-        known = dims.ensure_unknown_campaign(store.read("dim_campaign"))
-        store.replace("dim_campaign", dims.upsert_dimension("dim_campaign", known, feeds["campaign_data"]))
-        rekey(store, feeds["transactional_campaign_data"])
+        def upsert_campaigns(_, note) -> None:
+            known = dims.ensure_unknown_campaign(store.read("dim_campaign"))
+            store.replace("dim_campaign", dims.upsert_dimension("dim_campaign", known, feeds["campaign_data"]), meta=note)
+
+        load.step("dim_campaign", "upsert", ["campaign_data"], [], upsert_campaigns)
+        load.step("fact_campaign_transactions", "rekey", ["transactional_campaign_data"], ["dim_campaign"], partial(rekey, load))
 
     def upsert(table: str, feed: str) -> None:
-        store.replace(table, dims.upsert_dimension(table, store.read(table), feeds[feed]))
+        def job(_, note) -> None:
+            store.replace(table, dims.upsert_dimension(table, store.read(table), feeds[feed]), meta=note)
+
+        load.step(table, "upsert", [feed], [], job)
 
     def outrigger(table: str, feed: str) -> None:
-        store.replace(table, dims.append_outrigger(table, store.read(table), feeds[feed]))
+        def job(_, note) -> None:
+            store.replace(table, dims.append_outrigger(table, store.read(table), feeds[feed]), meta=note)
+
+        load.step(table, "append", [feed], [], job)
 
     _together(
         [
@@ -179,13 +233,21 @@ def load_dimensions(spark: SparkSession, store: Store, feeds: Mapping[str, DataF
     )
 
 
-def rekey(store: Store, staged: DataFrame) -> None:
-    """Move campaign rows to campaigns that have arrived since they were loaded."""
-    fact = store.read("fact_campaign_transactions")
-    moved, counts = facts.rekey_late_campaigns(fact, store.read("dim_campaign"), staged)
-    if counts.first()["moved"] == 0:
-        return  # nothing moves, nothing is rewritten
-    store.replace("fact_campaign_transactions", moved, FACT_ORDER)
+def rekey(load: Loading, before: dict, note: dict) -> None:
+    """Move campaign rows to campaigns that have arrived since they were loaded.
+
+    Only files with a row that moves are written anew.
+    """
+    store, table = load.store, "fact_campaign_transactions"
+    fact = store.read(table)
+    moves, counts = facts.campaign_moves(fact, store.read("dim_campaign"), load.feeds["transactional_campaign_data"])
+    moves = materialize(moves, "campaign-moves")
+    if not moves.isEmpty():
+        files = store.touched(table, moves.select("order_id"))
+        moved = facts.apply_campaign_moves(store.read_files(table, files), moves)
+        store.rewrite(table, files, moved, FACT_ORDER, note)
+    elif note:
+        store.mark(table, note)
 
 
 def _add_rejects(store: Store, table: str, rejects: DataFrame) -> None:
@@ -199,29 +261,68 @@ def _add_rejects(store: Store, table: str, rejects: DataFrame) -> None:
         store.append(table, fresh)
 
 
-def load_facts(spark: SparkSession, store: Store, feeds: Mapping[str, DataFrame], pairing: str, missing_delay: int | None) -> None:
+def _only(feed: DataFrame, keys: DataFrame | None) -> DataFrame:
+    """Rows of a feed whose order is among the keys."""
+    if keys is None:
+        return feed
+    rows = feed.withColumn("__key", normalize_key(F.col("order_id")))
+    return rows.join(keys.select(F.col("key").alias("__key")), "__key", "left_semi").select(*feed.columns)
+
+
+ORDER_FEEDS = ["order_data", "order_with_merchant_data", "order_delays"]
+
+
+def upsert_order_files(store: Store, offered: DataFrame, note: dict | None = None) -> list[str]:
+    """Bring judged orders into ``fact_orders``; only files that hold one of them are written anew.
+
+    Returns these files.  ``offered`` must be a written table.
+    """
+    files = store.touched("fact_orders", offered.select("order_id"))
+    held = store.read_files("fact_orders", files)
+    fresh = facts.upsert_orders(held, offered)
+    # rows that come out as they are ask for no write
+    changed = materialize(fresh.exceptAll(held), "changed-orders")
+    if changed.isEmpty():
+        if note:
+            store.mark("fact_orders", note)
+        return []
+    files = store.touched("fact_orders", changed.select("order_id"))
+    merged = facts.upsert_orders(store.read_files("fact_orders", files), offered.join(changed.select("order_id"), "order_id", "left_semi"))
+    store.rewrite("fact_orders", files, merged, FACT_ORDER, note)
+    return files
+
+
+def load_facts(load: Loading, pairing: str, missing_delay: int | None) -> None:
+    store, feeds = load.store, load.feeds
+
     def users() -> None:
-        store.replace("dim_user", dims.stub_users(store.read("dim_user"), feeds["order_data"]))
+        def job(_, note) -> None:
+            store.replace("dim_user", dims.stub_users(store.read("dim_user"), feeds["order_data"]), meta=note)
+
+        load.step("dim_user", "stubs", ["order_data"], [], job)
 
     def products() -> None:
-        store.replace("dim_product", dims.stub_products(store.read("dim_product"), feeds["line_item_data_products"]))
+        def job(_, note) -> None:
+            store.replace("dim_product", dims.stub_products(store.read("dim_product"), feeds["line_item_data_products"]), meta=note)
 
-    def orders() -> None:
+        load.step("dim_product", "stubs", ["line_item_data_products"], [], job)
+
+    def orders(before: dict, note: dict) -> None:
         star = store.star()
-        load = facts.load_orders(
-            star["fact_orders"],
-            feeds["order_data"],
-            feeds["order_with_merchant_data"],
-            feeds["order_delays"],
-            star,
-            missing_delay,
-            stage=materialize,
+        parts = [load.changed(d, before) for d in ORDER_FEEDS] if before.get("missing_delay") == str(missing_delay) else [None]
+        keys = None
+        if all(p is not None for p in parts):
+            # what was turned away is judged again: its merchant or day may have come since
+            parts.append(store.read("reject_fact_orders").select(F.col("order_id").alias("key")))
+            keys = materialize(reduce(DataFrame.unionByName, parts).distinct(), "changed-keys")
+        made = facts.load_orders(
+            store.read_files("fact_orders", []), *[_only(feeds[d], keys) for d in ORDER_FEEDS], star, missing_delay, stage=materialize
         )
-        store.replace("fact_orders", load.table, FACT_ORDER)
-        _add_rejects(store, "reject_fact_orders", load.rejects)
+        upsert_order_files(store, materialize(made.offered, "offered-orders"), note)
+        _add_rejects(store, "reject_fact_orders", made.rejects)
 
-    def lines() -> None:
-        load = facts.load_line_items(
+    def lines(_, note: dict) -> None:
+        made = facts.load_line_items(
             store.read("fact_line_items"),
             feeds["line_item_data_prices"],
             feeds["line_item_data_products"],
@@ -230,23 +331,32 @@ def load_facts(spark: SparkSession, store: Store, feeds: Mapping[str, DataFrame]
             pairing,
             stage=materialize,
         )
-        store.append("fact_line_items", load.added, FACT_ORDER)
-        _add_rejects(store, "reject_fact_line_items", load.rejects)
+        store.append("fact_line_items", made.added, FACT_ORDER, note)
+        _add_rejects(store, "reject_fact_line_items", made.rejects)
 
-    def campaigns() -> None:
-        load = facts.load_campaign_transactions(
+    def campaigns(_, note: dict) -> None:
+        made = facts.load_campaign_transactions(
             store.read("fact_campaign_transactions"),
             feeds["transactional_campaign_data"],
             store.read("dim_campaign"),
             store.read("fact_orders"),
             stage=materialize,
         )
-        store.append("fact_campaign_transactions", load.added, FACT_ORDER)
-        _add_rejects(store, "reject_fact_campaign_transactions", load.rejects)
+        store.append("fact_campaign_transactions", made.added, FACT_ORDER, note)
+        _add_rejects(store, "reject_fact_campaign_transactions", made.rejects)
 
     _together([users, products])
-    orders()
-    _together([lines, campaigns])
+    people = ["dim_user", "dim_merchant", "dim_staff", "dim_date"]
+    load.step("fact_orders", "orders", ORDER_FEEDS, people, orders, missing_delay=str(missing_delay))
+    known = ["dim_product", "fact_orders"]
+    _together(
+        [
+            partial(load.step, "fact_line_items", "lines", ["line_item_data_prices", "line_item_data_products"], known, lines, pairing=pairing),
+            partial(
+                load.step, "fact_campaign_transactions", "load", ["transactional_campaign_data"], ["dim_campaign", "fact_orders"], campaigns
+            ),
+        ]
+    )
 
 
 def refresh(
@@ -267,6 +377,7 @@ def refresh(
         feeds = staged_feeds(store)
     else:
         feeds = direct_feeds(spark, root, store)
-    load_dimensions(spark, store, feeds, calendar)
-    load_facts(spark, store, feeds, pairing, missing_delay)
+    load = Loading(spark, store, feeds, mode == "staged")
+    load_dimensions(load, calendar)
+    load_facts(load, pairing, missing_delay)
     return store.star()

@@ -65,8 +65,12 @@ def decision_counts(decisions: DataFrame) -> DataFrame:
 
 
 def ingestion_log(loaded: DataFrame, table_name: str, listing: DataFrame, skipped: DataFrame | None = None) -> DataFrame:
-    """One log row per file: how many rows came in, or why it was skipped."""
-    counts = loaded.groupBy(F.col("file_source").alias("path")).agg(F.count("*").alias("n"))
+    """One log row per file: how many rows came in, or why it was skipped.
+
+    ``loaded`` has a row for every row that came in, or counts in a column ``rows``.
+    """
+    n = F.sum("rows") if "rows" in loaded.columns else F.count("*")
+    counts = loaded.groupBy(F.col("file_source").alias("path")).agg(n.alias("n"))
     done = listing.join(counts, "path", "left").select(
         F.col("path").alias("file_path"),
         F.lit(table_name).alias("table_name"),
