@@ -8,10 +8,12 @@ Efraimidis-Spirakis sampling: every document draws ``u`` from (0, 1) by a hash o
 is ``-ln(u) / weight``, and documents join in ascending order of the key until their summed sizes
 reach the budget.  The document at the boundary joins with as many words as are still missing.
 
-Scale: a source may hold any share of all rows.  The prefix sum runs in two steps.  The range of
-keys is cut into ``KEY_RANGES`` equal ranges; sizes are summed per (source, range), which map tasks
-pre-aggregate, and the prefix sum over ranges finds the one range in which the budget ends.  Only
-that range, one part in KEY_RANGES of a source, is ordered row by row.
+Scale: a source may hold any share of all rows.  Everything is decided on ids, sizes and keys, without
+texts.  Keys are cut into ranges by their logarithm, so a range holds at most one part in 22,000 of the rows of a
+source (1 / (e * KEY_RANGES)), whatever their weights are.  Sizes are summed per (source, range), which map tasks
+pre-aggregate, and the prefix sum over ranges finds the one range in which the budget ends.  Only that range is ordered
+row by row; it gives the document at the boundary.  A second pass over the texts then compares each row with the boundary of
+its source; no text is shuffled, and only boundary documents are taken apart into words.
 
 Defined results: null text has size 0 and takes nothing; a null source is a source of its own,
 ordered last; null and repeated ids are rows of their own, ordered by text digest among equal keys
@@ -28,7 +30,9 @@ from tallyhouse.session import materialize
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
-KEY_RANGES = 65536
+#: Ranges of keys for each unit of the key's logarithm.
+KEY_RANGES = 8192
+NO_RANGE = -(1 << 31)
 SEED = "mix-1"
 #: Per-source figures are broadcast up to this many sources; beyond it they are joined by shuffle.
 MAX_BROADCAST_SOURCES = 100_000
@@ -97,17 +101,18 @@ def sized(docs: DataFrame, text="text", source="source", doc_id="doc_id", weight
             "__tie": F.md5(F.coalesce(F.col(text), F.lit(""))),
         }
     )
-    part = F.least(F.floor((1.0 - F.exp(-F.col("__key"))) * KEY_RANGES), F.lit(KEY_RANGES - 1))
-    return out.withColumn("__range", part.cast("int"))
+    return out.withColumn("__range", F.floor(F.log("__key") * KEY_RANGES).cast("int"))
 
 
-def allocate(frame: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """Rows of ``sized`` plus ``__source_size, __target, __taken`` (words taken, repeats counted)."""
-    spark = frame.sparkSession
+def budgets(slim: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+    """A row for each source: what it gets and where it ends.
+
+    ``slim`` has the rows of ``sized`` without texts, written.  ``__end`` is the (key, id, tie) at which the budget
+    ends, null if nothing is left after whole epochs; ``__missing`` words are taken from the rows that
+    stand there.
+    """
     # one row per source and key range; also the source sizes come from it
-    ranges = materialize(
-        frame.groupBy("__source", "__range").agg(F.sum("__size").alias("__range_size")), "mix-ranges"
-    )
+    ranges = materialize(slim.groupBy("__source", "__range").agg(F.sum("__size").alias("__range_size")), "mix-ranges")
     sizes = ranges.groupBy("__source").agg(F.sum("__range_size").alias("__source_size"))
     plan = source_targets(sizes, weights, max_epochs)
     plan = plan.withColumn("__budget", F.round("__target").cast("bigint"))
@@ -134,28 +139,48 @@ def allocate(frame: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) ->
         "__source_size",
         "__target",
         "__epochs",
-        "__rest",
         # nothing left over after whole epochs: no range is cut, none is taken
-        F.coalesce(F.col("__cut.__range"), F.lit(-1)).alias("__cut_range"),
-        F.coalesce(F.col("__cut.before"), F.lit(0)).cast("bigint").alias("__before"),
+        F.coalesce(F.col("__cut.__range"), F.lit(NO_RANGE)).alias("__cut_range"),
+        (F.col("__rest") - F.coalesce(F.col("__cut.before"), F.lit(0))).cast("bigint").alias("__left"),
     )
     plan = materialize(plan, "mix-plan")
-    if plan.limit(MAX_BROADCAST_SOURCES + 1).count() <= MAX_BROADCAST_SOURCES:
-        plan = F.broadcast(plan)
 
-    rows = frame.join(plan, F.col("__source").eqNullSafe(F.col("__ps")))
-    whole = F.col("__epochs") * F.col("__size")
-    outside = rows.where(F.col("__range") != F.col("__cut_range")).withColumn(
-        "__taken", whole + F.when(F.col("__range") < F.col("__cut_range"), F.col("__size")).otherwise(0)
-    )
-    inside = Window.partitionBy("__source", "__range").orderBy("__key", "__id", "__tie")
-    upto_row = F.sum("__size").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    missing = F.col("__rest") - F.col("__before") - (upto_row - F.col("__size"))
-    cut_rows = rows.where(F.col("__range") == F.col("__cut_range")).withColumn(
-        "__taken", whole + F.greatest(F.lit(0), F.least(F.col("__size"), missing))
-    )
-    drop = ["__ps", "__epochs", "__rest", "__cut_range", "__before"]
-    return outside.unionByName(cut_rows).drop(*drop)
+    # the cut ranges alone are ordered; rows that are equal in key, id and text count as one there
+    inside = slim.join(_side(plan.select("__ps", "__cut_range", "__left")), F.col("__source").eqNullSafe(F.col("__ps")) & (F.col("__range") == F.col("__cut_range")))
+    equal = inside.groupBy("__source", "__left", "__key", "__id", "__tie", "__size").agg(F.sum("__size").alias("__words"))
+    so_far = F.sum("__words").over(Window.partitionBy("__source").orderBy("__key", "__id", "__tie").rowsBetween(Window.unboundedPreceding, 0))
+    equal = equal.withColumn("__upto", so_far).withColumn("__missing", F.col("__left") - (F.col("__upto") - F.col("__words")))
+    ends = equal.where((F.col("__missing") > 0) & (F.col("__missing") <= F.col("__words")))
+    ends = ends.select(F.col("__source").alias("__es"), F.struct("__key", "__id", "__tie").alias("__end"), "__missing")
+    both = plan.join(ends, F.col("__ps").eqNullSafe(F.col("__es")), "left")
+    return materialize(both.select("__ps", "__source_size", "__target", "__epochs", "__end", "__missing"), "mix-ends")
+
+
+def _side(plan: DataFrame) -> DataFrame:
+    """A row for each source: sent to all tasks up to a number of rows."""
+    return F.broadcast(plan) if plan.limit(MAX_BROADCAST_SOURCES + 1).count() <= MAX_BROADCAST_SOURCES else plan
+
+
+def allocate(frame: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows of ``sized`` with ``__source_size, __target, __epochs``, with ``__whole``, whether a row is taken once more,
+    and ``__part``, how many of its words are taken beside that."""
+    rows = frame.join(_side(plan), F.col("__source").eqNullSafe(F.col("__ps")))
+    here = F.struct("__key", "__id", "__tie")
+    # the id is compared first: what else makes up the place is then worked out for few rows
+    at_end = F.col("__end").isNotNull() & F.col("__id").eqNullSafe(F.col("__end.__id")) & (here == F.col("__end"))
+    at_end = F.coalesce(F.when(F.col("__end").isNull(), F.lit(False)).otherwise(at_end), F.lit(False))
+    rest = rows.where(~at_end)
+    rest = rest.withColumns({"__whole": F.coalesce(here < F.col("__end"), F.lit(False)), "__part": F.lit(0).cast("bigint")})
+    # rows that cannot be told apart share what is missing, one after the other
+    copy = F.row_number().over(Window.partitionBy("__source").orderBy("__key"))
+    end = rows.where(at_end).withColumn("__part", F.col("__missing") - (copy - 1) * F.col("__size"))
+    end = end.withColumn("__part", F.greatest(F.lit(0).cast("bigint"), F.least("__part", "__size")))
+    end = end.withColumns({"__whole": (F.col("__part") == F.col("__size")) & (F.col("__size") > 0)})
+    end = end.withColumn("__part", F.when(F.col("__whole"), F.lit(0).cast("bigint")).otherwise(F.col("__part")))
+    return rest.unionByName(end).drop("__ps", "__end", "__missing")
+
+
+SLIM = ["__id", "__source", "__size", "__key", "__tie", "__range"]
 
 
 def mix(docs: DataFrame, text="text", source="source", doc_id="doc_id", **how) -> DataFrame:
@@ -165,21 +190,22 @@ def mix(docs: DataFrame, text="text", source="source", doc_id="doc_id", **how) -
     cut to the part, so the words of the result are the words of the plan.
     """
     inner, (text, source, doc_id) = neutral(docs, text, source, doc_id)
-    rows = allocate(sized(inner, text, source, doc_id), **how)
-    size, taken = F.col("__size"), F.col("__taken")
-    part = F.when(size > 0, taken % size).otherwise(0)
-    # the first `part` words, with the white space between them as it was
-    head = F.regexp_extract(F.col(text), r"^[\x20\x09-\x0D]*", 0)
-    copies = F.when(size > 0, F.floor(taken / size)).otherwise(0).cast("int")
+    base = sized(inner, text, source, doc_id)
+    rows = allocate(base, budgets(materialize(base.select(*SLIM), "mix-sizes"), **how))
+    # a text without words is never taken
+    some = F.coalesce(F.col(text).rlike(SPACE_WORD), F.lit(False))
+    copies = F.when(some, F.col("__epochs") + F.col("__whole").cast("int")).otherwise(0).cast("int")
     slots = F.concat(
-        F.array_repeat(F.lit(False), copies), F.when(part > 0, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
+        F.array_repeat(F.lit(False), copies), F.when(F.col("__part") > 0, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
     )
-    out = rows.withColumns({"__part": part, "__head": head}).withColumn("__cut_copy", F.explode(slots))
+    out = rows.withColumn("__cut_copy", F.explode(slots))
+    # the first `part` words, with the white space between them as it was
     words = F.regexp_extract_all(F.col(text), F.lit(SPACE_WORD), F.lit(0))
     gaps = F.regexp_extract_all(F.col(text), F.lit(r"[\x20\x09-\x0D]+"), F.lit(0))
-    skip = F.when(F.length("__head") > 0, 1).otherwise(0)
+    head = F.regexp_extract(F.col(text), r"^[\x20\x09-\x0D]*", 0)
+    skip = F.when(F.length(head) > 0, 1).otherwise(0)
     cut_text = F.concat(
-        F.col("__head"),
+        head,
         F.array_join(
             F.zip_with(
                 F.slice(words, 1, F.col("__part").cast("int")),
@@ -195,14 +221,15 @@ def mix(docs: DataFrame, text="text", source="source", doc_id="doc_id", **how) -
 
 def op9(spark, docs: DataFrame) -> DataFrame:
     """Digest of the plan: one row per document."""
-    slim = sized(docs).select("__id", "__source", "__size", "__key", "__tie", "__range")
-    rows = allocate(materialize(slim, "mix-sizes"))
+    slim = materialize(sized(docs).select(*SLIM), "mix-sizes")
+    rows = allocate(slim, budgets(slim))
+    taken = (F.col("__epochs") + F.col("__whole").cast("int")) * F.col("__size") + F.col("__part")
     return rows.select(
         F.col("__id").alias("doc_id"),
         F.col("__size").alias("size"),
         F.col("__source_size").alias("source_size"),
         F.round("__target", 6).alias("target"),
-        F.col("__taken").cast("bigint").alias("taken"),
+        taken.cast("bigint").alias("taken"),
     )
 
 

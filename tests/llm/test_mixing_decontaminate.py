@@ -56,6 +56,23 @@ def test_mixed_rows_hold_the_words_of_the_plan(spark):
     assert words == {i: n for i, n in plan.items() if n}
 
 
+@pytest.mark.parametrize("n", [1, 7, 40])
+def test_equal_rows_share_what_is_missing(spark, n):
+    """Rows without an id and with one text stand at one place; so does the end of a budget."""
+    docs = [(None, "a b c d e", "s")] * n + [(k, "x y z " * (k % 9), "t") for k in range(60)] + [(None, "f g", None)] * 3
+    plan = [(r["source_size"], r["taken"]) for r in mixing.op9(spark, frame(spark, docs)).collect() if r["doc_id"] is None]
+    assert sum(t % 5 not in (0,) for size, t in plan if size == 5 * n) <= 1 and len(plan) == n + 3
+    out = mixing.mix(frame(spark, docs)).where("doc_id is null").collect()
+    assert sum(len(r["text"].split()) for r in out) == sum(t for _, t in plan)
+    assert all("a b c d e".startswith(r["text"]) or "f g".startswith(r["text"]) for r in out)
+
+
+def test_no_range_of_keys_holds_much_of_a_source(spark):
+    docs = spark.range(300_000).selectExpr("id as doc_id", "if(id % 3 = 0, '|||', 'x') as text", "'s' as source")
+    most = mixing.sized(docs).groupBy("__range").count().agg({"count": "max"}).first()[0]
+    assert most <= 300_000 / 22_000 * 3 + 10
+
+
 def test_mixing_nothing(spark):
     empty = spark.createDataFrame([], DOCS)
     assert mixing.op9(spark, empty).count() == 0 and mixing.mix(empty).count() == 0
