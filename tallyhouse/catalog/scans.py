@@ -15,9 +15,10 @@ from tallyhouse.catalog.workbooks import workbook_bytes
 from tallyhouse.operators import relational as rel
 from tallyhouse.operators.keys import with_ingest_seq
 from tallyhouse.plans import sample_star, views
+from tallyhouse.plans.refresh import upsert_order_files
 from tallyhouse.plans.sample_star import table
 from tallyhouse.plans.store import Store, with_missing_column
-from tallyhouse.session import scratch_path
+from tallyhouse.session import materialize, scratch_path
 from tallyhouse.sources import discovery, incremental, readers
 from tallyhouse.sources.documents import sheet_cells, table_cells
 from tallyhouse.streaming import arrivals
@@ -335,21 +336,50 @@ def inc_stats(spark, sf_dir):
     return incremental.decision_counts(inc_modified(spark, sf_dir).withColumn("dataset", F.lit("order_data")))
 
 
-def inc_stream(spark, sf_dir):
-    """Order files arrive in two parts; each run of the stream takes what is new."""
-    root, target = scratch_path(spark, "landing"), scratch_path(spark, "staged")
-    checkpoint = scratch_path(spark, "checkpoint")
-    orders = table(spark, sf_dir, "orders").select(
+def _order_texts(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
         F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("order_id"),
         F.concat(F.lit("USER"), F.col("o_custkey").cast("string")).alias("user_id"),
         F.concat((F.col("o_orderkey") % 15 + 1).cast("string"), F.lit("days")).alias("estimated arrival"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("transaction_date"),
     )
+
+
+def inc_stream(spark, sf_dir):
+    """Order files arrive in two parts with their columns in another order; each run of the stream
+    takes what is new, and a batch that is tried again adds nothing."""
+    root, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
+    store = Store(spark, scratch_path(spark, "store"))
+    orders = _order_texts(spark, sf_dir)
     for part, rows in enumerate((F.col("transaction_date") < "1998-01-01", F.col("transaction_date") >= "1998-01-01")):
-        _write_csv(orders.filter(rows), f"{root}/{part}")
-        stream = arrivals.arriving_files(spark, root, orders.columns)
-        arrivals.stage_arrivals(stream, checkpoint, "order_data", target)
-    return arrivals.read_staged(spark, "order_data", target)
+        columns = orders.columns[::-1] if part else orders.columns
+        _write_csv(orders.filter(rows).select(*columns), f"{root}/{part}")
+        arrivals.stage_arrivals(spark, root, store, checkpoint, dataset_of=lambda _: "order_data")
+    arrived = spark.createDataFrame([(f.path, f.file_path) for f in _files(spark, f"{root}/1", "*.csv")], "path string, file_path string")
+    arrivals.stage_batch(store, arrived, "arrivals", 1, lambda _: "order_data")
+    return store.read(schemas.staging_table("order_data"))
+
+
+def _dims_in(spark, sf_dir) -> Store:
+    """A store that holds the dimensions only."""
+    store = Store(spark, scratch_path(spark, "store"))
+    for name, df in star(spark, sf_dir).items():
+        if name.startswith("dim_"):
+            store.replace(name, df)
+    return store
+
+
+def inc_stream_facts(spark, sf_dir):
+    """Orders, their merchants and their delays arrive as files and end in the fact; delays come last, so known orders change."""
+    root, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
+    store, feed = _dims_in(spark, sf_dir), sample_star.staging(spark, sf_dir)
+    _write_csv(_order_texts(spark, sf_dir), f"{root}/order_data")
+    _write_csv(feed["order_with_merchant_data"].select("staff_id", "merchant_id", "order_id"), f"{root}/merchants")
+    names = {"order_data": "order_data", "merchants": "order_with_merchant_data", "delays": "order_delays"}
+    how = {"dataset_of": lambda path: names[path.rsplit("/", 2)[-2]], "calendar": sample_star.CALENDAR}
+    arrivals.stream_into_star(spark, root, store, checkpoint, **how)
+    _write_csv(feed["order_delays"].select("order_id", F.col("delay_days").cast("string").alias("delay in days")), f"{root}/delays")
+    return arrivals.stream_into_star(spark, root, store, checkpoint, **how)["fact_orders"]
 
 
 # --- sinks and upkeep ----------------------------------------------------------------------
@@ -380,6 +410,31 @@ def sink_snapshot(spark, sf_dir):
     )
 
 
+def sink_merge(spark, sf_dir):
+    """The orders of one day get another delay: only files with that day are written anew."""
+    store = Store(spark, scratch_path(spark, "store"))
+    fact = star(spark, sf_dir)["fact_orders"]
+    by_day = fact.repartitionByRange(16, "transaction_date_sk", "order_id").sortWithinPartitions("transaction_date_sk", "order_id")
+    store.replace("fact_orders", by_day)
+    before = set(store.files("fact_orders"))
+    day = fact.filter("transaction_date_sk = 19960102")
+    changed = day.withColumns({"delay_days": F.col("delay_days") + 100, "__seq": F.lit(0)})
+    upsert_order_files(store, materialize(changed, "changed"))
+    kept = before & set(store.files("fact_orders"))
+    return store.read("fact_orders").select("order_id", "delay_days", F.lit(len(kept) >= len(before) - 4).alias("others_stay"))
+
+
+def inc_changes(spark, sf_dir):
+    """What has come since a state: two appends after it, and not what was there."""
+    store = Store(spark, scratch_path(spark, "store"))
+    fact = star(spark, sf_dir)["fact_orders"]
+    store.replace("fact_orders", fact.filter("transaction_date_sk < 19970101"))
+    since = store.version("fact_orders")
+    store.append("fact_orders", fact.filter("transaction_date_sk between 19970101 and 19971231"))
+    store.append("fact_orders", fact.filter("transaction_date_sk > 19971231"))
+    return store.changed_rows("fact_orders", since).select("order_id", "transaction_date_sk")
+
+
 def sink_view(spark, sf_dir):
     views.register_views(spark, star(spark, sf_dir))
     views.register_views(spark, star(spark, sf_dir))
@@ -522,6 +577,27 @@ QUERIES = [
         "order_id:s user_id:s transaction_date:s estimated_arrival_days:i",
         with_star("SELECT order_id, user_id, transaction_date, estimated_arrival_days FROM stg_orders"),
     ),
+    Query(
+        "inc_stream_facts",
+        inc_stream_facts,
+        "order_id:s user_sk:i merchant_sk:i transaction_date_sk:i estimated_arrival_days:i delay_days:i",
+        with_star("SELECT order_id, user_sk, merchant_sk, transaction_date_sk, estimated_arrival_days, delay_days FROM fact_orders"),
+    ),
+    Query(
+        "inc_changes",
+        inc_changes,
+        "order_id:s transaction_date_sk:i",
+        with_star("SELECT order_id, transaction_date_sk FROM fact_orders WHERE transaction_date_sk >= 19970101"),
+    ),
+    Query(
+        "sink_merge",
+        sink_merge,
+        "order_id:s delay_days:i others_stay:b",
+        with_star(
+            """SELECT order_id, delay_days + CASE WHEN transaction_date_sk = 19960102 THEN 100 ELSE 0 END AS delay_days,
+            TRUE AS others_stay FROM fact_orders"""
+        ),
+    ),
     Query(
         "sink_staging",
         sink_staging,

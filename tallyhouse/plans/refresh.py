@@ -129,8 +129,25 @@ def ingest_all(spark: SparkSession, root: str, store: Store, force: bool = False
     return incremental.decision_counts(union_all(decisions))
 
 
-def staged_feeds(store: Store) -> dict[str, DataFrame]:
-    return {d: transform(store.read(schemas.staging_table(d)), d) for d in schemas.STAGING}
+class StagedFeeds(Mapping):
+    """The staging tables as feeds, each looked up when it is asked for: a step that is left out opens
+    none, and a step reads at least the states that it notes."""
+
+    def __init__(self, store: Store):
+        self.store = store
+
+    def __getitem__(self, dataset: str) -> DataFrame:
+        return transform(self.store.read(schemas.staging_table(dataset)), dataset)
+
+    def __iter__(self):
+        return iter(schemas.STAGING)
+
+    def __len__(self) -> int:
+        return len(schemas.STAGING)
+
+
+def staged_feeds(store: Store) -> Mapping[str, DataFrame]:
+    return StagedFeeds(store)
 
 
 def direct_feeds(spark: SparkSession, root: str, store: Store | None = None) -> dict[str, DataFrame]:
