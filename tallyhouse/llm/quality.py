@@ -40,7 +40,7 @@ SEED = 7
 _CLASSES = bytes(65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b > 127 else 48 if 48 <= b <= 57 else b for b in range(256))
 _RUN = re.compile(rb"(.)\1+", re.S)
 #: Codes of words, by their hash: word code << 20 | shape code.
-_memory: dict[int, int] = {}
+_memory: list[np.ndarray] = [np.zeros(0, U64), np.zeros(0, np.int64)]  # sorted hashes, their codes
 REMEMBERED = 600_000
 
 
@@ -66,6 +66,23 @@ def _distinct(doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return order[first], doc[first], np.diff(np.append(first, len(v)))
 
 
+def _codes_of(known: np.ndarray, word) -> np.ndarray:
+    """Codes of sorted different word hashes; ``word(k)`` gives the word of those not seen of late."""
+    hashes, codes = _memory
+    if len(hashes) > REMEMBERED:
+        hashes, codes = hashes[:0], codes[:0]
+    place = np.searchsorted(hashes, known)
+    old = np.zeros(len(known), bool)
+    inner = place < len(hashes)
+    old[inner] = hashes[place[inner]] == known[inner]
+    out = np.empty(len(known), np.int64)
+    out[old] = codes[place[old]]
+    new = np.flatnonzero(~old)
+    out[new] = [_word_codes(word(k)) for k in new.tolist()]
+    _memory[:] = np.insert(hashes, place[new], known[new]), np.insert(codes, place[new], out[new])
+    return out
+
+
 def term_rows(column: pa.Array):
     """``row, docs, doc, code, weight``: terms of the ``docs`` whole texts from ``row`` on, sorted by
     text (``doc`` from 0).  A code may come several times for a text; its weights add up."""
@@ -76,15 +93,7 @@ def term_rows(column: pa.Array):
         doc = np.repeat(np.arange(docs), n)
         at, of, count = _distinct(doc, hashes)
         known, example, inverse = np.unique(hashes[at], return_index=True, return_inverse=True)
-        if len(_memory) > REMEMBERED:
-            _memory.clear()
-        packed = np.empty(len(known), np.int64)
-        for k, h in enumerate(known.tolist()):
-            c = _memory.get(h)
-            if c is None:
-                p = at[example[k]]
-                c = _memory[h] = _word_codes(data[start[p] : end[p]].tobytes())
-            packed[k] = c
+        packed = _codes_of(known, lambda k: data[start[at[example[k]]] : end[at[example[k]]]].tobytes())
         packed = packed[inverse]
 
         same = doc[1:] == doc[:-1]
