@@ -11,10 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tallyhouse.operators.keys import row_in_task
 from tallyhouse.operators.relational import union_all
 from tallyhouse.operators.staging import clean_frame, drop_first_index_column
-from tallyhouse.sources import documents
+from tallyhouse.sources import documents, quoted
 from tallyhouse.sources.discovery import (
     SourceFile,
     dominant_separator,
@@ -27,7 +26,7 @@ from tallyhouse.sources.lineage import place_in_split, with_lineage
 
 log = logging.getLogger(__name__)
 
-_INDEX, _OVERFLOW, _MORE = "__index", "__overflow", "__more"
+_INDEX, _OVERFLOW, _MORE, _RECORD = "__index", "__overflow", "__more", "__record"
 TOO_LONG = "more cells than the header"
 NO_DOCUMENT = "no document of records or columns"
 _ABSENT = "\u0001"  # no cell holds this, so empty cells stay empty texts
@@ -61,13 +60,23 @@ def by_header(text: str) -> str:
     return tab_or_comma(first_line(text))
 
 
-def _broken_quotes(spark: SparkSession, files: list[SourceFile]) -> set[str]:
-    """Files with a line that holds an odd number of quotes, as a cell with a line break leaves
-    behind (``file_path``); one pass over the text, a row per such file comes back."""
-    line = F.col("value")
-    odd = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
-    text = spark.read.text([f.path for f in files]).filter(odd)
-    return {r.p for r in text.select(F.col("_metadata.file_path").alias("p")).distinct().collect()}
+def _quoted(spark: SparkSession, files: list[SourceFile], sep: str) -> list[SourceFile]:
+    """Files with a quote where a cell begins; no other can hold a line break in quotes."""
+    s = "\\x{" + f"{ord(sep):x}" + "}"
+    text = spark.read.text([f.path for f in files]).filter(F.col("value").rlike(f'(^|{s})"'))
+    found = {r.p for r in text.select(F.col("_metadata.file_path").alias("p")).distinct().collect()}
+    return [f for f in files if f.file_path in found]
+
+
+def _over_lines(spark: SparkSession, files: list[SourceFile], seps: list[str]) -> tuple[set[str], dict[str, DataFrame]]:
+    """Files with records over several lines (``file_path``), and by separator the states of their splits."""
+    broken, begins = set(), {}
+    for sep in sorted(set(seps)):
+        some = _quoted(spark, [f for f, s in zip(files, seps, strict=True) if s == sep], sep)
+        if some:
+            begins[sep] = materialize(quoted.states(spark, some, sep), "quote-states")
+            broken |= {r.file_path for r in begins[sep].select("file_path").distinct().collect()}
+    return broken, begins
 
 
 def delimited_frames(
@@ -75,7 +84,7 @@ def delimited_frames(
     files: list[SourceFile],
     separator: Callable[[str], str] = by_header,
     skip_long_rows: bool = False,
-    multiline: bool | None = None,
+    multiline: bool = True,
     rejects: list[DataFrame] | None = None,
 ) -> list[DataFrame]:
     """Delimited text with a header line, separator found per file.
@@ -85,13 +94,15 @@ def delimited_frames(
     ingest_seq, record, reason); without that list it is cut to the header, and
     with ``skip_long_rows`` it is left out.  If all rows of a file have one cell
     more and the first counts up, that cell is a row index and is dropped.
-    ``multiline`` allows line breaks inside quotes at the price of one task per
-    file; by default the files that need it are found first.
+    Line breaks inside quotes are put together split by split (see ``quoted``), in the
+    files that have any; ``multiline=False`` takes every line for a row.
     """
-    broken = _broken_quotes(spark, files) if multiline is None else {f.file_path for f in files if multiline}
+    tops = heads(spark, [f.path for f in files])
+    seps = [separator(text) for text in tops]
+    broken, begins = _over_lines(spark, files, seps) if multiline else (set(), {})
     layouts = []
-    for file, text in zip(files, heads(spark, [f.path for f in files]), strict=True):
-        layouts.append((file, (separator(text), first_line(text), file.file_path in broken)))
+    for file, text, sep in zip(files, tops, seps, strict=True):
+        layouts.append((file, (sep, first_line(text), file.file_path in broken)))
     frames = []
     for (sep, header, whole), group in _groups(layouts).items():
         names = _unique(split_header(header, sep))
@@ -99,11 +110,21 @@ def delimited_frames(
             frames.append(drop_first_index_column(_resplit(spark, group, sep, header), "csv"))
             continue
         options = {"sep": sep, "quote": '"', "escape": '"', "nullValue": _ABSENT, "emptyValue": ""}
+        records = None
+        if whole:
+            begin = begins[sep].join(spark.createDataFrame([(f.file_path,) for f in group], "file_path string"), "file_path", "left_semi")
+            records = quoted.records(spark, group, sep, begin)
+            records = materialize(records.filter((F.trim("value") != "") & ~((F.col("value") == header) & (F.col("block") == 0))), "csv-records")
 
-        def cells(part: list[SourceFile], columns: list[str]) -> tuple[DataFrame, T.StructType]:
+        def cells(part: list[SourceFile], columns: list[str], records: DataFrame | None = records, options: dict = options) -> tuple[DataFrame, T.StructType]:
             schema = T.StructType([T.StructField(n, T.StringType()) for n in columns])
-            df = spark.read.csv([f.path for f in part], schema=schema, header=True, multiLine=whole, **options)
-            return with_lineage(df, part, F.col("_metadata.file_path"), row_in_task() if whole else place_in_split()), schema
+            if records is None:
+                df = spark.read.csv([f.path for f in part], schema=schema, header=True, **options)
+                return with_lineage(df, part, F.col("_metadata.file_path"), place_in_split()), schema
+            row = F.from_csv("value", schema.toDDL(), options).alias("row")
+            df = with_lineage(records.select(row, "value", "file_path", "place"), part, F.col("file_path"), F.col("place"))
+            fields = [F.col("row")[n].alias(n) for n in columns]
+            return df.select(*fields, F.col("value").alias(_RECORD), "file_source", "loaded_at", "ingest_seq"), schema
 
         if whole:
             found = cells(group, [_INDEX, *names, _MORE])[0]
@@ -116,7 +137,7 @@ def delimited_frames(
             if not part:
                 continue
             if part[0].path in indexed:
-                frames.append(drop_first_index_column(cells(part, [_INDEX, *names])[0].drop(_INDEX), "csv"))
+                frames.append(drop_first_index_column(cells(part, [_INDEX, *names])[0].drop(_INDEX, _RECORD), "csv"))
                 continue
             # an extra column tells rows that have more cells than the header
             df, schema = cells(part, [*names, _OVERFLOW])
@@ -124,7 +145,7 @@ def delimited_frames(
                 rejects.append(_long_rows(spark, part, df, schema, options, header, whole))
             if rejects is not None or skip_long_rows:
                 df = df.filter(F.col(_OVERFLOW).isNull())
-            frames.append(drop_first_index_column(df.drop(_OVERFLOW), "csv"))
+            frames.append(drop_first_index_column(df.drop(_OVERFLOW, _RECORD), "csv"))
     return frames
 
 
@@ -166,11 +187,10 @@ def _indexed(cells: DataFrame) -> set[str]:
 
 
 def _long_rows(spark: SparkSession, group, df: DataFrame, schema, options: dict, header: str, whole: bool) -> DataFrame:
-    """Rows with more cells than the header: the line as it stands or, where rows span lines, the
-    cells up to the first surplus one."""
+    """Rows with more cells than the header, as they stand in the file."""
     if whole:
         long = df.filter(F.col(_OVERFLOW).isNotNull())
-        record = F.to_csv(F.struct(*[F.col(f"`{f.name}`") for f in schema.fields]), options)
+        record = F.col(_RECORD)
     else:
         lines = spark.read.text([f.path for f in group])
         lines = with_lineage(lines, group, F.col("_metadata.file_path"), place_in_split())
