@@ -20,7 +20,6 @@ from tallyhouse.plans.sample_star import table
 from tallyhouse.plans.store import Store, with_missing_column
 from tallyhouse.session import materialize, scratch_path
 from tallyhouse.sources import discovery, incremental, readers
-from tallyhouse.sources.documents import sheet_cells, table_cells
 from tallyhouse.streaming import arrivals
 
 star = sample_star.star
@@ -120,7 +119,9 @@ def _write_lines(header: DataFrame, lines: DataFrame, folder: str) -> None:
 
 
 def src_csv_ragged(spark, sf_dir):
-    """Lines split by hand: row number dropped, short rows filled, long ones cut."""
+    """Files whose header stands in one pair of quotes: lines are split by hand, a row number is dropped,
+    short rows are filled and long ones cut."""
+    root = scratch_path(spark, "ragged")
     c = table(spark, sf_dir, "customer")
     line = F.concat_ws(
         "\t",
@@ -129,8 +130,28 @@ def src_csv_ragged(spark, sf_dir):
         F.when(F.col("c_acctbal") > 1000, F.col("c_mktsegment")),
         F.when(F.col("c_acctbal") > 5000, F.lit("surplus")),
     )
-    lines = with_ingest_seq(c.select(line.alias("value")))
-    return readers.resplit_lines(lines, ["name", "segment"], "\t", "header")
+    header = spark.range(1).select(F.lit('"\tname\tsegment"').alias("value"))
+    _write_lines(header, c.select(line.alias("value")), root)
+    return readers.read(spark, _files(spark, root, "*.txt"), readers.delimited_frames)
+
+
+def src_csv_breaks(spark, sf_dir):
+    """Cells with line breaks, quotes and separators, beside files with stray quotes; rows with a cell too
+    many are kept apart."""
+    root = scratch_path(spark, "breaks")
+    df = customers(spark, sf_dir).withColumn("c_name", F.concat("c_name", F.lit("\nof "), "c_mktsegment", F.lit(', "so"\n')))
+    early = F.col("c_mktsegment") < "G"
+    cell = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    surplus = F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit("sur\nplus"))
+    broken = F.concat_ws(",", *[cell(F.col(c)) for c in df.columns], cell(surplus))
+    stray = F.concat_ws(",", F.col("c_custkey"), F.concat(F.lit('screen 5" '), F.col("c_custkey")), F.col("c_mktsegment"))
+    header = spark.range(1).select(F.lit(",".join(df.columns)).alias("value"))
+    _write_lines(header, df.filter(early).select(broken.alias("value")), f"{root}/a")
+    _write_lines(header, df.filter(~early).select(stray.alias("value")), f"{root}/b")
+    rejects: list[DataFrame] = []
+    read = readers.read(spark, _files(spark, root, "*.txt"), readers.delimited_frames, rejects=rejects)
+    lost = rel.union_all(rejects).select(F.lit(None).cast("string").alias("c_custkey"), F.col("record").alias("c_name"), F.col("reason").alias("c_mktsegment"))
+    return read.select("c_custkey", "c_name", "c_mktsegment").unionByName(lost)
 
 
 def src_parquet(spark, sf_dir):
@@ -164,7 +185,25 @@ def src_json(spark, sf_dir):
     as_columns = docs.filter(F.col("c_nationkey") >= 12).groupBy("__path").agg(
         F.to_json(F.create_map(*[x for f in fields for x in (F.lit(f), column(f))])).alias("value")
     )
-    return readers.json_rows(as_records.unionByName(as_columns)).select(*[F.col("cells")[f].alias(f) for f in fields])
+    both = as_records.withColumn("kind", F.lit("r")).unionByName(as_columns.withColumn("kind", F.lit("c")))
+    broken = spark.createDataFrame([("x", '{"c_name": [1, 2', "b")], "__path string, value string, kind string")
+    root = scratch_path(spark, "json")
+    _write_documents(both.unionByName(broken).select(F.concat("kind", "__path").alias("__path"), F.encode("value", "UTF-8").alias("content")), root, "json")
+    rejects: list[DataFrame] = []
+    read = readers.read(spark, _files(spark, root), readers.json_frames, rejects=rejects)
+    lost = rejects[0].select(F.lit(None).cast("string").alias("c_custkey"), F.col("record").alias("c_name"), F.col("reason").alias("c_mktsegment"))
+    return read.select(*fields).unionByName(lost)
+
+
+def _write_documents(docs: DataFrame, root: str, extension: str) -> None:
+    """One file for each (__path, content); they come to the driver one at a time."""
+    spark = docs.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for row in docs.select("__path", "content").toLocalIterator():
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{row['__path']}.{extension}")
+        stream = path.getFileSystem(conf).create(path, False)
+        stream.write(row["content"])
+        stream.close()
 
 
 def src_json_flatten(spark, sf_dir):
@@ -176,48 +215,45 @@ def src_json_flatten(spark, sf_dir):
 
 
 
-_CELLS = "__path string, table_no int, row_no int, cells array<string>"
-
-
-def _page_cells(spark, sf_dir) -> DataFrame:
-    """Pages with a table of customers and a table with their number."""
-    tr = F.concat(F.lit("<tr><td>"), F.concat_ws(" </td><td> ", "c_custkey", "c_name", "c_mktsegment"), F.lit("</td></tr>"))
+def _pages(spark, sf_dir) -> list[discovery.SourceFile]:
+    """Pages with a table of customers, whose market spans the rows that share it, and a table with their
+    number, whose name spans two columns."""
+    blocks = _blocks(spark, sf_dir).withColumn("at", F.col("c_custkey").cast("bigint"))
+    of_market = blocks.groupBy("__path", "c_mktsegment").agg(F.sort_array(F.collect_list(F.struct("at", "c_name"))).alias("c"))
+    cells = lambda x: F.concat(F.lit("<td>"), x["c_name"], F.lit(" </td><td> "), x["at"].cast("string"), F.lit("</td></tr>"))
+    span = F.concat(F.lit('<td rowspan="'), F.size("c").cast("string"), F.lit('">'), F.col("c_mktsegment"), F.lit("</td>"))
+    rows = F.transform("c", lambda x, i: F.concat(F.lit("<tr>"), F.when(i == 0, span).otherwise(""), cells(x)))
+    of_market = of_market.select("__path", F.array_join(rows, "").alias("rows"), F.size("c").alias("n"))
     page = F.concat(
-        F.lit("<html><script>'<table>'</script><table><tr><th> c_custkey</th><th>c_name </th><th>c_mktsegment</th></tr>"),
-        F.array_join(F.collect_list(tr), ""),
-        F.lit("</table><table><tr><th>page</th><th>n</th></tr><tr><td>p"),
+        F.lit("<html><script>'<table>'</script><table><tr><th>c_mktsegment</th><th>c_name </th><th> c_custkey</th></tr>"),
+        F.array_join(F.collect_list("rows"), ""),
+        F.lit('</table><table><tr><th colspan="2">page</th><th>n</th></tr><tr><td colspan=2>p'),
         F.col("__path"),
         F.lit("</td><td>"),
-        F.count("*").cast("string"),
+        F.sum("n").cast("string"),
         F.lit("</td></tr></table></html>"),
     )
-    pages = _blocks(spark, sf_dir).groupBy("__path").agg(F.encode(page, "UTF-8").alias("content"))
-    return pages.mapInPandas(table_cells, _CELLS)
+    root = scratch_path(spark, "pages")
+    _write_documents(of_market.groupBy("__path").agg(F.encode(page, "UTF-8").alias("content")), root, "html")
+    return _files(spark, root)
 
 
 def src_html_table(spark, sf_dir):
-    cells = _page_cells(spark, sf_dir).filter((F.col("table_no") == 0) & (F.col("row_no") > 0))
-    names = ("c_custkey", "c_name", "c_mktsegment")
-    return cells.select(*[F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    return readers.read(spark, _pages(spark, sf_dir), readers.html_frames)
 
 
 def src_html_tables(spark, sf_dir):
-    cells = _page_cells(spark, sf_dir)
-    return cells.select(
-        "table_no",
-        (F.col("row_no") == 0).alias("header"),
-        F.get("cells", F.lit(0)).alias("first_cell"),
-        F.get("cells", F.lit(1)).alias("second_cell"),
-        F.size("cells").alias("width"),
-    ).filter(~F.col("header"))
+    """The tables of a page have columns of their own; those of the other table are missing."""
+    read = readers.read(spark, _pages(spark, sf_dir), readers.html_table_frames)
+    return read.select("table_no", F.coalesce("c_mktsegment", "page").alias("first_cell"), F.coalesce("c_name", "page_1").alias("second_cell"), F.coalesce("c_custkey", "n").alias("third_cell"))
 
 
 def src_excel(spark, sf_dir):
-    """Workbooks, written and read by small helpers inside the tasks."""
-    books = _blocks(spark, sf_dir).groupBy("__path").applyInPandas(workbook_bytes, "__path string, content binary")
-    return books.mapInPandas(sheet_cells, _CELLS).filter("row_no > 0").select(
-        F.get("cells", F.lit(0)).alias("c_custkey"), F.get("cells", F.lit(1)).alias("c_name")
-    )
+    """Workbooks with text, days and flags, written by a small helper."""
+    more = _blocks(spark, sf_dir).withColumns({"opened": F.lit(43831) + F.col("c_custkey").cast("int") % 1000, "big": F.col("c_nationkey") > 12})
+    root = scratch_path(spark, "books")
+    _write_documents(more.groupBy("__path").applyInPandas(workbook_bytes, "__path string, content binary"), root, "xlsx")
+    return readers.read(spark, _files(spark, root), readers.excel_frames)
 
 
 def src_dispatch(spark, sf_dir):
@@ -379,7 +415,9 @@ def inc_stream_facts(spark, sf_dir):
     how = {"dataset_of": lambda path: names[path.rsplit("/", 2)[-2]], "calendar": sample_star.CALENDAR}
     arrivals.stream_into_star(spark, root, store, checkpoint, **how)
     _write_csv(feed["order_delays"].select("order_id", F.col("delay_days").cast("string").alias("delay in days")), f"{root}/delays")
-    return arrivals.stream_into_star(spark, root, store, checkpoint, **how)["fact_orders"]
+    made = arrivals.stream_into_star(spark, root, store, checkpoint, **how)
+    named = made["fact_orders"].join(made["dim_user"].select("user_sk", "user_id"), "user_sk")
+    return named.join(made["dim_merchant"].select("merchant_sk", "merchant_id"), "merchant_sk")
 
 
 # --- sinks and upkeep ----------------------------------------------------------------------
@@ -489,6 +527,18 @@ QUERIES = [
         "name:s segment:s",
         "SELECT c_name AS name, CASE WHEN c_acctbal > 1000 THEN c_mktsegment ELSE '' END AS segment FROM customer",
     ),
+    Query(
+        "src_csv_breaks",
+        src_csv_breaks,
+        "c_custkey:s c_name:s c_mktsegment:s",
+        f"""WITH c AS (SELECT c_custkey, concat(c_name, chr(10), 'of ', c_mktsegment, ', "so"', chr(10)) AS c_name, c_mktsegment FROM ({_CUSTOMERS}))
+        SELECT CASE WHEN c_mktsegment <> 'AUTOMOBILE' THEN c_custkey END AS c_custkey,
+               CASE WHEN c_mktsegment <> 'AUTOMOBILE' THEN c_name
+                    ELSE concat('"', c_custkey, '","', replace(c_name, '"', '""'), '","', c_mktsegment, '","sur', chr(10), 'plus"') END AS c_name,
+               CASE WHEN c_mktsegment <> 'AUTOMOBILE' THEN c_mktsegment ELSE 'more cells than the header' END AS c_mktsegment
+        FROM c WHERE c_mktsegment < 'G'
+        UNION ALL SELECT c_custkey, concat('screen 5" ', c_custkey), c_mktsegment FROM c WHERE c_mktsegment >= 'G'""",
+    ),
     Query(
         "src_parquet",
         src_parquet,
@@ -496,7 +546,11 @@ QUERIES = [
         "SELECT c_custkey, c_name, c_mktsegment, 'customer.parquet' AS file FROM customer",
     ),
     Query(
-        "src_json", src_json, "c_custkey:s c_name:s c_mktsegment:s", "SELECT c_custkey, c_name, c_mktsegment FROM customer"
+        "src_json",
+        src_json,
+        "c_custkey:s c_name:s c_mktsegment:s",
+        """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer
+        UNION ALL SELECT NULL, '{"c_name": [1, 2', 'no document of records or columns'""",
     ),
     Query(
         "src_json_flatten",
@@ -504,7 +558,13 @@ QUERIES = [
         "event_id:i doc_body_props_k:i doc_body_value:d",
         "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS doc_body_props_k, value AS doc_body_value FROM events",
     ),
-    Query("src_excel", src_excel, "c_custkey:s c_name:s", "SELECT c_custkey, c_name FROM customer"),
+    Query(
+        "src_excel",
+        src_excel,
+        "c_custkey:s c_name:s opened:s big:s",
+        """SELECT c_custkey, c_name, CAST(DATE '2020-01-01' + CAST(c_custkey % 1000 AS INT) AS VARCHAR) AS opened,
+        CASE WHEN c_nationkey > 12 THEN 'True' ELSE 'False' END AS big FROM customer""",
+    ),
     Query(
         "src_html_table",
         src_html_table,
@@ -514,9 +574,9 @@ QUERIES = [
     Query(
         "src_html_tables",
         src_html_tables,
-        "table_no:i first_cell:s second_cell:s width:i",
-        f"""SELECT 0 AS table_no, CAST(c_custkey AS VARCHAR) AS first_cell, c_name AS second_cell, 3 AS width FROM customer
-        UNION ALL SELECT 1, concat('p', c_custkey // {BLOCK}), CAST(COUNT(*) AS VARCHAR), 2 FROM customer
+        "table_no:i first_cell:s second_cell:s third_cell:s",
+        f"""SELECT 0 AS table_no, c_mktsegment AS first_cell, c_name AS second_cell, CAST(c_custkey AS VARCHAR) AS third_cell FROM customer
+        UNION ALL SELECT 1, concat('p', c_custkey // {BLOCK}), concat('p', c_custkey // {BLOCK}), CAST(COUNT(*) AS VARCHAR) FROM customer
         GROUP BY c_custkey // {BLOCK}""",
     ),
     Query(
@@ -580,8 +640,11 @@ QUERIES = [
     Query(
         "inc_stream_facts",
         inc_stream_facts,
-        "order_id:s user_sk:i merchant_sk:i transaction_date_sk:i estimated_arrival_days:i delay_days:i",
-        with_star("SELECT order_id, user_sk, merchant_sk, transaction_date_sk, estimated_arrival_days, delay_days FROM fact_orders"),
+        "order_id:s user_id:s merchant_id:s transaction_date_sk:i estimated_arrival_days:i delay_days:i",
+        with_star(
+            """SELECT order_id, user_id, merchant_id, transaction_date_sk, estimated_arrival_days, delay_days
+            FROM fact_orders JOIN dim_user USING (user_sk) JOIN dim_merchant USING (merchant_sk)"""
+        ),
     ),
     Query(
         "inc_changes",

@@ -195,12 +195,14 @@ class Loading:
 
         ``before`` has those states, ``note`` is what the job's write has to leave in ``table``.
         """
-        inputs = [schemas.staging_table(d) for d in feeds] + tables
-        now = {t: self.store.version(t) for t in inputs} | how
-        before = self.store.meta(table).get("read", {}).get(name, {}) if self.staged else {}
         if not self.staged:
             job({}, {})
-        elif before != now:
+            return
+        staged = [schemas.staging_table(d) for d in feeds]
+        now = {t: self.store.version(t) for t in staged + tables} | how
+        before = self.store.meta(table).get("read", {}).get(name, {})
+        idle = self.store.exists(table) and not any(now[t] for t in staged)  # nothing was ever staged for it
+        if before != now and not idle:
             job(before, {"read": {name: now}})
 
     def changed(self, dataset: str, before: dict, key: str = "order_id") -> DataFrame | None:
