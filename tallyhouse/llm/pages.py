@@ -33,7 +33,7 @@ BLOCK = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Never text of the page.
-SILENT = frozenset("head script style noscript template title svg math iframe object select option button textarea canvas audio video datalist".split())
+SILENT = frozenset("head script style noscript template title svg iframe object select option button textarea canvas audio video datalist".split())
 #: What a head holds.
 HEAD = frozenset("html head base basefont bgsound link meta noscript script style template title".split())
 #: An open element that the start of another one of the set ends.
@@ -57,6 +57,8 @@ MAIN_WORDS = frozenset("article content post entry story main maincontent articl
 
 #: Weights of the classifier; positive speaks for content.
 MAIN, AWAY, LINKED, LENGTH, SHORT, HEADING = 5.0, -9.0, -4.0, 0.6, -0.8, 0.6
+#: For a block of a page that names no main text.
+PLAIN = 0.8
 #: What a wrapper named away costs the blocks below it, the less the more of the page's words it holds.
 NAMED = -7.0
 #: Strength of ties: neighbours, and blocks of the same parent.
@@ -71,15 +73,41 @@ class Block:
     parent: int  # number of the element that holds the block
     hint: int  # 1 main, -1 away, -2 away whatever is nested in it, 0 nothing
     heading: bool
-    wrappers: tuple[int, ...] = ()  # numbers of the elements above that are named away
+    wrapper: int = 0  # the innermost element above that is named away, a key of ``Wrappers.above``; 0 for none
+
+
+class Wrappers:
+    """Elements named away, each linked to the one above it.
+
+    Inside an article only teasers count; these stand under their negative number, linked to the
+    teasers above them.
+    """
+
+    def __init__(self):
+        self.above: dict[int, int] = {}  # in order: a wrapper comes after those above it
+        self.forms: set[int] = set()
+        self._teaser: dict[int, int] = {0: 0}  # wrapper -> innermost teaser at or above it, by its negative number
+
+    def add(self, number: int, above: int, teaser: bool) -> int:
+        self.above[number] = above
+        self._teaser[number] = self._teaser[above]
+        if teaser:
+            self.above[-number] = self._teaser[above]
+            self._teaser[number] = -number
+        self._teaser[-number] = self._teaser[number]
+        return number
+
+    def in_article(self, wrapper: int) -> int:
+        return self._teaser[wrapper]
 
 
 class _Reader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, int, bool, tuple[int, ...]]] = []  # tag, number, hint, silent, wrappers
-        self.teasers: set[int] = set()  # numbers of wrappers
-        self.forms: set[int] = set()
+        self.stack: list[tuple[str, int, int, bool, int]] = []  # tag, number, hint, silent, wrapper
+        self.open: Counter[str] = Counter()  # tags in the stack
+        self.block_at: list[int] = []  # places of block elements in the stack
+        self.wrappers = Wrappers()
         self.blocks: list[Block] = []
         self.count = self.links = 0
         self.parts: list[str] = []
@@ -88,42 +116,40 @@ class _Reader(HTMLParser):
     def _end_block(self):
         text = " ".join("".join(self.parts).split())
         if text:
-            above = [x for x in self.stack if x[0] in BLOCK]
+            above = [self.stack[k] for k in self.block_at[-2:]]
             tag = above[-1][0] if above else ""
             holder = above[:-1] if tag in LEAVES else above
-            self.blocks.append(Block(text, self.linked, holder[-1][1] if holder else 0, above[-1][2] if above else 0, tag in ("h1", "h2", "h3", "h4", "h5", "h6"), above[-1][4] if above else ()))
+            self.blocks.append(Block(text, self.linked, holder[-1][1] if holder else 0, above[-1][2] if above else 0, tag in ("h1", "h2", "h3", "h4", "h5", "h6"), above[-1][4] if above else 0))
         self.parts, self.linked = [], 0
 
-    def _hint(self, tag: str, attrs) -> tuple[int, tuple[int, ...]]:
-        above, wrappers = (self.stack[-1][2], self.stack[-1][4]) if self.stack else (0, ())
+    def _hint(self, tag: str, attrs) -> tuple[int, int]:
+        above, wrapper = (self.stack[-1][2], self.stack[-1][4]) if self.stack else (0, 0)
         if above < -1:
-            return above, ()  # nothing inside a menu is content
+            return above, 0  # nothing inside a menu is content
         if tag == "main":
-            return 1, ()
+            return 1, 0
         if tag == "article":
-            return 1, tuple(w for w in wrappers if w in self.teasers)
+            return 1, self.wrappers.in_article(wrapper)
         if above < 0:
-            return above, ()
+            return above, 0
         if tag in AWAY_TAGS:
-            return -2, ()
+            return -2, 0
         if tag == "header" and above == 0:
-            return -1, ()
+            return -1, 0
         names = [set(re.findall(r"[a-z]+", x)) for k, v in attrs if k in ("class", "id", "role") and v for x in v.lower().split()]
         main = any(x & MAIN_WORDS and not x & AWAY_WORDS for x in names)
         if tag not in ("html", "body"):
             whole = {w for x in names if len(x) == 1 for w in x}
             parts = {w for x in names if len(x) > 1 and not x & STATE_WORDS for w in x}
             if not main and (whole & FIRM_WORDS or any(x & {"comment", "comments"} and x & {"list", "area", "thread"} for x in names)):
-                return -2, ()
+                return -2, 0
             away = whole & AWAY_WORDS if main else (whole | parts) & (AWAY_WORDS | PERHAPS_AWAY)
             if away:
-                if away & TEASER_WORDS:
-                    self.teasers.add(self.count)
-                return int(main), (*wrappers, self.count)
+                return int(main), self.wrappers.add(self.count, wrapper, bool(away & TEASER_WORDS))
             if tag == "form":
-                self.forms.add(self.count)
-                return int(main), (*wrappers, self.count)
-        return 1 if main else above, wrappers
+                self.wrappers.forms.add(self.count)
+                return int(main), self.wrappers.add(self.count, wrapper, False)
+        return 1 if main else above, wrapper
 
     def handle_starttag(self, tag, attrs):
         if tag not in HEAD:
@@ -148,19 +174,26 @@ class _Reader(HTMLParser):
                     break
         self.count += 1
         self.links += tag == "a"
-        silent = tag in SILENT or bool(self.stack and self.stack[-1][3]) or (tag == "label" and any(x[0] == "form" for x in self.stack))
-        hint, wrappers = self._hint(tag, attrs)
-        self.stack.append((tag, self.count, hint, silent, wrappers))
+        silent = tag in SILENT or bool(self.stack and self.stack[-1][3]) or (tag == "label" and self.open["form"] > 0)
+        hint, wrapper = self._hint(tag, attrs)
+        if tag in BLOCK:
+            self.block_at.append(len(self.stack))
+        self.open[tag] += 1
+        self.stack.append((tag, self.count, hint, silent, wrapper))
 
     def _end_head(self, body: bool):
         """What cannot stand in a head ends it, the body also what is still open in it."""
-        if self.stack and (self._top() == "head" or body and any(x[0] == "head" for x in self.stack)):
+        if self.stack and (self._top() == "head" or body and self.open["head"] > 0):
             while self._top() != "head":
                 self._pop()
             self._pop()
 
     def _pop(self):
-        self.links -= self.stack.pop()[0] == "a"
+        tag = self.stack.pop()[0]
+        self.open[tag] -= 1
+        self.links -= tag == "a"
+        if self.block_at and self.block_at[-1] == len(self.stack):
+            self.block_at.pop()
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -170,7 +203,7 @@ class _Reader(HTMLParser):
     def handle_endtag(self, tag):
         if tag in BLOCK:
             self._end_block()
-        if any(x[0] == tag for x in self.stack):
+        if self.open[tag] > 0:
             if tag not in BLOCK and tag not in SILENT:  # an inline end does not close the block around it
                 if next(x[0] for x in reversed(self.stack) if x[0] == tag or x[0] in BLOCK) != tag:
                     return
@@ -195,50 +228,80 @@ class _Reader(HTMLParser):
         return self.blocks
 
 
-_UNFINISHED = re.compile(r"<(?:[a-zA-Z/][^<>]*|!--(?:(?!-->).)*|![^<>]*)\Z", re.S)
+_TAG_BEGINS = re.compile(r"<[a-zA-Z/!]")
+
 
+def finished(html: str) -> str:
+    """``html`` without a comment or tag that its end cuts off."""
+    at = html.find("<!--")
+    while at >= 0:
+        end = html.find("-->", at + 4)
+        if end < 0:
+            return html[:at]
+        at = html.find("<!--", end + 3)
+    last = html.rfind("<")
+    return html[:last] if last > html.rfind(">") and _TAG_BEGINS.match(html, last) else html
 
-def blocks_of(html: str | None) -> tuple[list[Block], set[int]]:
-    """Blocks, and the numbers of the forms."""
+
+def blocks_of(html: str | None) -> tuple[list[Block], Wrappers]:
+    """Blocks, and the elements named away."""
     reader = _Reader()
-    reader.feed(_UNFINISHED.sub("", html or ""))
-    return reader.done(), reader.forms
+    reader.feed(finished(html or ""))
+    return reader.done(), reader.wrappers
 
 
-def wrapper_costs(blocks: list[Block], forms: set[int]) -> list[float]:
+def wrapper_costs(blocks: list[Block], wrappers: Wrappers) -> list[float]:
     """What the wrappers above every block speak against it.
 
     A wrapper that holds most words of a page is its layout, so it says little.  One that only has a
     name counts in full where the page calls another part its main text; a form never does.
     """
-    if not any(b.wrappers for b in blocks):
+    if not any(b.wrapper for b in blocks):
         return [0.0] * len(blocks)
     sizes = [b.text.count(" ") + 1 for b in blocks]
-    held: Counter[int] = Counter()
+    below: Counter[int] = Counter()
     for b, n in zip(blocks, sizes, strict=True):
-        for w in b.wrappers:
-            held[w] += n
-    told = any(b.hint > 0 and not b.wrappers for b in blocks)
-    cost = {w: NAMED if told and w not in forms else NAMED * (1 - n / sum(sizes)) ** 2 for w, n in held.items()}
-    return [min((cost[w] for w in b.wrappers), default=0.0) for b in blocks]
-
-
-def evidence(b: Block, wrapped: float = 0.0) -> float:
-    """Positive for content."""
+        if b.wrapper:
+            below[b.wrapper] += n
+    for w, above in reversed(wrappers.above.items()):  # from the innermost outwards
+        if above:
+            below[above] += below[w]
+    told = any(b.hint > 0 and not b.wrapper for b in blocks)
+    every = sum(sizes)
+    cost = {0: 0.0}
+    for w, above in wrappers.above.items():
+        held = below[abs(w)] + below[-abs(w)]
+        own = NAMED if told and abs(w) not in wrappers.forms else NAMED * (1 - held / every) ** 2
+        cost[w] = min(own, cost[above]) if above else own
+    return [cost[b.wrapper] for b in blocks]
+
+
+def evidence(b: Block, wrapped: float = 0.0, told: bool = True) -> float:
+    """Positive for content.
+
+    Where nothing in a page is ``told`` to be its main text, shortness says nothing, and links only
+    where they are most of a block: what nothing speaks against is kept.
+    """
     words = b.text.count(" ") + 1
-    out = wrapped + LENGTH * math.log(words) + LINKED * min(1.0, b.linked / len(b.text)) + (MAIN if b.hint > 0 else AWAY if b.hint < 0 else 0.0)
+    linked = min(1.0, b.linked / len(b.text))
+    if not told:
+        linked = max(0.0, 2 * linked - 1)
+    out = wrapped + LENGTH * math.log(words) + LINKED * linked + (MAIN if b.hint > 0 else AWAY if b.hint < 0 else 0.0)
+    if not told and b.hint == 0 and not b.heading:
+        return out + PLAIN
     return out + (HEADING if b.heading else SHORT if words < 8 and b.hint == 0 else 0.0)
 
 
-def label(blocks: list[Block], forms: set[int] = frozenset()) -> list[bool]:
+def label(blocks: list[Block], wrappers: Wrappers) -> list[bool]:
     cut = Cut(len(blocks))
-    wrapped = wrapper_costs(blocks, forms)
+    wrapped = wrapper_costs(blocks, wrappers)
+    told = any(b.hint > 0 for b in blocks)
     last: dict[int, int] = {}
     for k, b in enumerate(blocks):
-        x = evidence(b, wrapped[k])
+        x = evidence(b, wrapped[k], told)
         cut.terminal(k, max(x, 0.0), max(-x, 0.0))
         if k:
-            near = NEAR if (blocks[k - 1].hint, blocks[k - 1].wrappers) == (b.hint, b.wrappers) else NEAR / 4
+            near = NEAR if (blocks[k - 1].hint, blocks[k - 1].wrapper) == (b.hint, b.wrapper) else NEAR / 4
             cut.edge(k - 1, k, near, near)
         if b.parent in last and last[b.parent] != k - 1:
             cut.edge(last[b.parent], k, SIBLING, SIBLING)
@@ -247,8 +310,8 @@ def label(blocks: list[Block], forms: set[int] = frozenset()) -> list[bool]:
 
 
 def main_text(html: str | None) -> str:
-    blocks, forms = blocks_of(html)
-    return "\n\n".join(b.text for b, content in zip(blocks, label(blocks, forms), strict=True) if content)
+    blocks, wrappers = blocks_of(html)
+    return "\n\n".join(b.text for b, content in zip(blocks, label(blocks, wrappers), strict=True) if content)
 
 
 def extract(pages: DataFrame, html="html", keep=("page_id", "url")) -> DataFrame:

@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +35,15 @@ EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
 IP = r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
 CARD = r"[0-9]([\x20-]?[0-9])+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-# Looser forms, whose matches are candidates only.
+# How they are searched for: a match begins where a run of its first characters does, so no position inside a
+# run is tried; and for addresses the search goes out from the mark in their middle.
+_BACKWARDS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
+_MARK, _DOMAIN = re.compile("@"), re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+SEARCHED = {"ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", "card": CARD, "phone": PHONE}
+# Looser forms, whose matches are candidates only.  An address has its name, perhaps a space, the mark, and this.
+_LOOSE_MARK = re.compile(r"\[at\]|\(at\)|\x20at\x20")
+_LOOSE_DOMAIN = re.compile(r"\x20?[A-Za-z0-9-]++(?:\x20?(?:\[dot\]|\(dot\)|\x20dot\x20|\.)\x20?[A-Za-z0-9-]++)++")
 LOOSE = {
-    "email": r"[A-Za-z0-9._%+-]+ ?(?:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]+(?: ?(?:\[dot\]|\(dot\)| dot |\.) ?[A-Za-z0-9-]+)+",
     "card": r"[0-9]{4}([\x20./-]+[0-9]{2,6}){2,4}",
     "phone": r"(?:\(0?[0-9]{2,4}\)|00[0-9]{1,3}|0?[0-9]{2,4})[\x20./-]+[0-9]{2,4}[\x20./-]+[0-9]{2,6}(?:[\x20./-]+[0-9]{2,6})*",
 }
@@ -80,12 +87,35 @@ def _holds(kind: str, s: str) -> bool:
     return True
 
 
+def addresses(text: str, mark: re.Pattern, domain: re.Pattern, space: bool) -> list[tuple[int, int]]:
+    """Leftmost non-overlapping addresses, found from their marks; linear in the length of the text."""
+    out, last = [], 0
+    for m in mark.finditer(text):
+        if m.start() < last:
+            continue
+        found = domain.match(text, m.end())
+        if not found:
+            continue
+        end = m.start()
+        if space and end > last and text[end - 1] == " ":
+            end -= 1
+        start = end
+        while start > last and text[start - 1] in _BACKWARDS:
+            start -= 1
+        if start < end:
+            out.append((start, found.end()))
+            last = found.end()
+    return out
+
+
 def base_spans(text: str, compiled) -> list[tuple[int, int, int]]:
     out = []
     has_digit = re.search("[0-9]", text) is not None
-    for k, kind in enumerate(KINDS):
-        if ("@" in text) if kind == "email" else ("+" in text and has_digit) if kind == "phone" else has_digit:
-            out += [(k, m.start(), m.end()) for m in compiled[k].finditer(text) if _holds(kind, m.group())]
+    if "@" in text:
+        out += [(0, *x) for x in addresses(text, _MARK, _DOMAIN, False)]
+    for k, kind in enumerate(KINDS[1:], 1):
+        if ("+" in text and has_digit) if kind == "phone" else has_digit:
+            out += [(k, m.start(), m.end()) for m in compiled[kind].finditer(text) if _holds(kind, m.group())]
     return out
 
 
@@ -124,7 +154,7 @@ _CAND = "array<struct<kind:int,start:int,end:int,votes:int,form:int,base:boolean
 
 
 def _candidate_pass(batches):
-    compiled = [re.compile(p) for p in (EMAIL, IP, CARD, PHONE)]
+    compiled = {k: re.compile(p) for k, p in SEARCHED.items()}
     loose = {KINDS.index(k): re.compile(p) for k, p in LOOSE.items()}
     item = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("votes", pa.int32()), ("form", pa.int32()), ("base", pa.bool_())])
     for batch in batches:
@@ -134,14 +164,14 @@ def _candidate_pass(batches):
             found = [(k, s, e, True) for k, s, e in base]
             taken = sorted((s, e) for _, s, e in base)
             starts = [s for s, _ in taken]
-            digit = re.search("[0-9]", text) is not None
-            for k, pattern in loose.items():
-                if (digit if KINDS[k] != "email" else re.search(r"\bat\b", text)) is None or (KINDS[k] != "email" and not digit):
-                    continue
-                for m in pattern.finditer(text):
-                    at = bisect_left(starts, m.end())
-                    if not any(e > m.start() for _, e in taken[max(0, at - 4) : at]):
-                        found.append((k, *m.span(), False))
+            reach = list(accumulate((e for _, e in taken), max))  # how far the spans up to each one reach
+            more = [(0, *x) for x in addresses(text, _LOOSE_MARK, _LOOSE_DOMAIN, True)] if "at" in text else []
+            if re.search("[0-9]", text):
+                more += [(k, *m.span()) for k, pattern in loose.items() for m in pattern.finditer(text)]
+            for k, s, e in more:
+                at = bisect_left(starts, e)
+                if not at or reach[at - 1] <= s:
+                    found.append((k, s, e, False))
             row = []
             for k, s, e, is_base in found:
                 code = 0

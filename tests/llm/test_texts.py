@@ -163,6 +163,29 @@ def test_base_spans(spark):
     assert pii.op4(spark, docs.limit(0)).count() == 0
 
 
+def test_spans_of_random_texts_are_those_of_the_patterns():
+    import random
+
+    rng = random.Random(11)
+    compiled = {k: re.compile(p) for k, p in pii.SEARCHED.items()}
+    plain = [re.compile(p) for p in (pii.EMAIL, pii.IP, pii.CARD, pii.PHONE)]
+    loose = re.compile(r"[A-Za-z0-9._%+-]+ ?(?:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]+(?: ?(?:\[dot\]|\(dot\)| dot |\.) ?[A-Za-z0-9-]+)+")
+    for _ in range(20_000):
+        text = "".join(rng.choice(["@", ".", "1", "23", "a", "-", "+", " ", "(", "%", " at ", "[at]", " dot ", "x.y"]) for _ in range(rng.randrange(16)))
+        want = [(k, *m.span()) for k, p in enumerate(plain) for m in p.finditer(text) if pii._holds(pii.KINDS[k], m.group())]
+        assert pii.base_spans(text, compiled) == want, text
+        assert [m.span() for m in loose.finditer(text)] == pii.addresses(text, pii._LOOSE_MARK, pii._LOOSE_DOMAIN, True), text
+
+
+@pytest.mark.parametrize("text", ["meet at noon " + "a" * 10**6, "1" * 10**6, "a" * 10**6 + "@", "a@" * 500_000, "1." * 500_000, "+1" + "(" * 10**6, " at " * 250_000, "1 " * 500_000])
+def test_long_runs_take_no_long_time(text):
+    import time
+
+    began = time.perf_counter()
+    list(pii._candidate_pass([pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], ["doc_id", "text"])]))
+    assert time.perf_counter() - began < 8  # a quadratic search takes hours
+
+
 def test_reliabilities_are_found_again():
     rng = np.random.default_rng(5)
     truth = rng.random(6000) < 0.4
@@ -187,6 +210,32 @@ def test_the_classifier_adds_likely_spans_only(spark):
 # ------------------------------------------------------------------ pages
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<p>Hi.</p>", "Hi."),
+        ("<body>plain text only</body>", "plain text only"),
+        ('<nav><a href="x">home</a></nav><p>See <a href="a">one</a>.</p>', "See one."),
+        ('<div><ul><li><a href="x">Home</a><li><a href="y">News</a></ul></div><div><p>A short note.</p></div>', "A short note."),
+        ("<div class=sidebar><p>more of this</p></div><div><p>Words.</p><p>And more words.</p></div><footer>us</footer>", "Words.\n\nAnd more words."),
+        ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p></article>", "so x=1 holds"),
+        ("<p>a <!-- b --> c</p><!-- open", "a c"),
+    ],
+)
+def test_pages_that_name_no_main_text(html, text):
+    assert pages.main_text(html) == text
+
+
+def test_deep_pages_take_no_long_time():
+    import time
+
+    began = time.perf_counter()
+    pages.main_text("<div class=widget>" * 8000 + "text" + "</div>" * 8000)
+    pages.main_text("<!-- " * 40_000 + "-->")
+    pages.main_text("<div class=promo><article>x" * 4000)
+    assert time.perf_counter() - began < 20
+
+
 def test_minimum_cut_is_minimal():
     rng = np.random.default_rng(6)
     for _ in range(60):
