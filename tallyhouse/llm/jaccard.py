@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyhouse.llm.base import discard, neutral, restored
+from tallyhouse.llm.base import discard, neutral, restored, tidy
 from tallyhouse.llm.components import connected_components
 from tallyhouse.llm.stream import group_bounds, sorted_groups
 from tallyhouse.llm.words import U64, pieces, runs, scramble, signed
@@ -54,7 +54,7 @@ CHUNK = 4096
 #: Bits that thin out the documents before their texts are fetched.
 BITS = 1 << 25
 #: Documents and tokens of a block, documents of a row of the matrix.
-BLOCK_DOCS, BLOCK_TOKENS, ROW = 1024, 2_000_000, 32
+BLOCK_DOCS, BLOCK_TOKENS, ROW = 1024, 1_000_000, 32
 
 
 # ---------------------------------------------------------------- sets
@@ -120,7 +120,7 @@ def _first_pass(shingle: int, percent: int):
         if counters.any():
             yield frame([(1, at, 0, 0, 0, 0, zlib.compress(counters[at : at + CHUNK].tobytes(), 1)) for at in range(0, COUNTERS, CHUNK)])
 
-    return run, "kind int, id long, n long, d1 long, d2 long, common long, data binary"
+    return tidy(run), "kind int, id long, n long, d1 long, d2 long, common long, data binary"
 
 
 def _crowded_pass(least: float):
@@ -142,7 +142,7 @@ def _crowded_pass(least: float):
         if at is not None:
             yield done()
 
-    return run, "id long, bits binary"
+    return tidy(run), "id long, bits binary"
 
 
 def crowded_tokens(first: DataFrame) -> bytes:
@@ -188,7 +188,7 @@ def _key_pass(shingle: int, percent: int, crowded: bytes):
             salt[hot] = (scramble(doc[hot].view(U64)) % U64(SALTS)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(salt), pa.array(doc), pa.array(hot)], ["key", "salt", "doc", "heavy"])
 
-    return run, "key long, salt int, doc long, heavy boolean"
+    return tidy(run), "key long, salt int, doc long, heavy boolean"
 
 
 def _leaders(batches):
@@ -312,7 +312,7 @@ def _compare_pass(percent: int):
                     grp += [int(group[lo])] * len(outside)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(grp, pa.int64())], ["u", "v", "grp"])
 
-    return run, "u long, v long, grp long"
+    return tidy(run), "u long, v long, grp long"
 
 
 def _slot(doc: int, n: int) -> int:
@@ -357,7 +357,7 @@ def _visit_pass(shingle: int):
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names)
 
-    return run, "grp long, i int, j int, many boolean, known boolean, doc long, tokens binary"
+    return tidy(run), "grp long, i int, j int, many boolean, known boolean, doc long, tokens binary"
 
 
 def _thinning(bits: bytes):
@@ -369,7 +369,7 @@ def _thinning(bits: bytes):
             slot = batch.column(2).to_numpy()
             yield batch.filter(pa.array((table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1)).select([0, 1])
 
-    return run, "id long, text string"
+    return tidy(run), "id long, text string"
 
 
 def texts_of(base: DataFrame, todo: DataFrame) -> DataFrame:
@@ -406,7 +406,7 @@ def near_duplicates(docs: DataFrame, text="text", doc_id="doc_id", shingle: int
         base.mapInArrow(*_key_pass(shingle, percent, crowded))
         .repartition("key", "salt")
         .sortWithinPartitions("key", "salt", "doc")
-        .mapInArrow(_leaders, "key long, doc long, leader long")
+        .mapInArrow(tidy(_leaders), "key long, doc long, leader long")
         .join(leaders.select("doc", "common"), "doc")
     )
     shared = materialize(shared, "jaccard-keys")

@@ -6,7 +6,7 @@ form), gazetteers (known endings, prefixes and area codes) and context (words be
 Expectation-maximisation over all candidates of the corpus estimates how often each labeler is right,
 and from it how likely each candidate is personal data.  A logistic classifier of the span itself
 (kind, length, digits, separators, and the votes) is trained on these likelihoods; candidates that it
-accepts with at least ``ACCEPT`` are added to the base spans.  Base spans always stay.
+accepts with at least ``ACCEPT`` and for which some labeler speaks are added to the base spans.  Base spans always stay.
 
 Votes and features are small codes, so a candidate is one of a bounded number of patterns.  Both the
 estimation and the training see the number of candidates of each pattern, counted by Spark over the
@@ -127,9 +127,10 @@ def votes(kind: str, text: str, start: int, end: int, base: bool) -> tuple[int,
     if kind == "card":
         checksum = int(13 <= len(d) <= 19 and luhn(d))
     elif kind == "phone":
-        checksum = int(9 <= len(d) <= 15)
+        # a length that every number has speaks against those without it, not for the others
+        checksum = 2 if 9 <= len(d) <= 15 else 0
     elif kind == "ip":
-        checksum = int(_holds("ip", s))
+        checksum = 2 if _holds("ip", s) else 0
     gazetteer = 2
     if kind == "email":
         gazetteer = int(re.split(r"[^A-Za-z]+", s)[-1].lower() in ENDINGS)
@@ -140,7 +141,7 @@ def votes(kind: str, text: str, start: int, end: int, base: bool) -> tuple[int,
         gazetteer = 1 if s[:1] in "+(" and any(lead[:n] in COUNTRY_CODES for n in (1, 2)) else 2
     context = 1 if any(w in YES[kind] for w in before) else 2
     counter = 0 if any(w in NO for w in before) or text[end : end + 1] in ("%", "€", "$") else 2
-    return int(base), checksum, gazetteer, context, counter
+    return 1 if base else 2, checksum, gazetteer, context, counter
 
 
 def features(kind: str, s: str) -> int:
@@ -258,7 +259,9 @@ def find_pii(docs: DataFrame, text="text", doc_id="doc_id", accept: float = ACCE
     )
     if len(patterns) > MAX_PATTERNS:
         raise RuntimeError("more patterns than their codes allow")
-    yes = {k for k, p in train([tuple(r) for r in patterns]).items() if p >= accept}
+    trained = train([tuple(r) for r in patterns])
+    # a span that no labeler speaks for is not added, however common its kind is
+    yes = {k for k, p in trained.items() if p >= accept and (vote_matrix(np.array([k[1]])) == 1).any()}
     names = ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"]
 
     def run(batches):

@@ -9,7 +9,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Texts are handled in pieces of about this many bytes; a longer text is a piece of its own.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 1 << 64)

@@ -197,8 +197,8 @@ def test_reliabilities_are_found_again():
     assert ((p > 0.5) == truth).mean() > 0.9
 
 
-@pytest.mark.xfail(reason="open: some likely loose spans of this small corpus are not as expected; not yet looked into")
 def test_the_classifier_adds_likely_spans_only(spark):
+    """Precision and recall of what is added, on planted spans that no base rule takes."""
     texts = [f"call me: phone (0{30 + k % 9}) {1000 + k} {2000 + k}" for k in range(60)] + [f"+49 30 {10000000 + k} phone" for k in range(60)]
     texts += [f"order no 12{k % 10} 4{k % 10}5 {200 + k}%" for k in range(60)] + ["we met at noon yesterday"] * 60
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -207,6 +207,17 @@ def test_the_classifier_adds_likely_spans_only(spark):
     assert all(got[k] == "" for k in range(120, 240))
 
 
+def test_spelled_out_addresses_and_what_looks_like_them(spark):
+    texts = [f"write to my mail person{k} at example{k % 7} dot com please" for k in range(50)] + [f"mail: other{k} [at] site.org" for k in range(50)]
+    texts += [f"real{k}@place.net is an address" for k in range(50)]
+    texts += [f"they looked at ernt{k}.Then it rained at noon.Nothing" for k in range(100)] + [f"section page {k} no 1234 {5000 + k} 77" for k in range(50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.op4(spark, docs).collect()}
+    true = sum("email" in got[k] for k in range(100))
+    false = sum(got[k] != "" for k in range(150, 300))
+    assert true >= 90 and true / (true + false) >= 0.9, (true, false)
+
+
 # ------------------------------------------------------------------ pages
 
 
