@@ -146,24 +146,48 @@ def row_counts(star: Star) -> DataFrame:
     )
 
 
-def report(star: Star) -> DataFrame:
-    """Every check in one table: kind, name, value and whether it passed."""
+def counts_by_table(star: Star) -> DataFrame:
+    """``kind, name, value`` of NULLs, ranges and rows: one aggregate, and so one scan, a table."""
+    out = []
+    for table in dict.fromkeys([*CRITICAL_COLUMNS, *[t for _, t, _ in RANGES], *COUNTED_TABLES]):
+        if table not in star:
+            continue
+        measures = [("nulls", f"{table}.{c}", F.count_if(F.col(c).isNull())) for c in CRITICAL_COLUMNS.get(table, [])]
+        measures += [("ranges", name, F.count_if(F.expr(cond))) for name, t, cond in RANGES if t == table]
+        measures += [("rows", table, F.count("*"))] if table in COUNTED_TABLES else []
+        counts = star[table].agg(*[m.alias(f"m{k}") for k, (_, _, m) in enumerate(measures)])
+        each = [F.struct(F.lit(kind).alias("kind"), F.lit(name).alias("name"), F.col(f"m{k}").alias("value")) for k, (kind, name, _) in enumerate(measures)]
+        out.append(counts.select(F.inline(F.array(*each))))
+    return rel.union_all(out)
 
-    def part(kind: str, df: DataFrame, name: Column, value: str, judged: bool = True) -> DataFrame:
-        passed = F.when(F.col(value) == 0, "PASSED").otherwise("FAILED") if judged else F.lit("INFO")
-        return df.select(
-            F.lit(kind).alias("kind"), name.alias("name"), F.col(value).alias("value"), passed.alias("status")
-        )
 
-    return rel.union_all(
-        [
-            part("references", referential(star), F.col("check"), "violations"),
-            part("nulls", null_counts(star), F.concat_ws(".", "table", "column"), "nulls"),
-            part("duplicates", duplicate_keys(star), F.col("check"), "violations"),
-            part("ranges", range_violations(star), F.col("check"), "violations"),
-            part("rows", row_counts(star), F.col("table"), "records", judged=False),
+def stacked_references(star: Star) -> DataFrame:
+    """``check, violations`` of all references: the keys of a table are counted in one scan of it, and
+    looked up in one join against the keys of all targets."""
+    used = [r for r in REFERENCES if r[0] in star and r[2] in star]
+    targets = list(dict.fromkeys(r[2:] for r in used))
+    counted = []
+    for table in dict.fromkeys(r[0] for r in used):
+        keys = [
+            F.struct(F.lit(k).alias("ref"), F.lit(targets.index(r[2:])).alias("target"), F.col(r[1]).cast("string").alias("key"))
+            for k, r in enumerate(used)
+            if r[0] == table
         ]
-    )
+        counted.append(star[table].select(F.inline(F.array(*keys))).groupBy("ref", "target", "key").agg(F.count("*").alias("n")))
+    known = [star[t].select(F.lit(k).alias("target"), F.col(c).cast("string").alias("key")) for k, (t, c) in enumerate(targets)]
+    astray = rel.union_all(counted).join(rel.union_all(known), ["target", "key"], "left_anti").groupBy("ref").agg(F.sum("n").alias("n"))
+    names = [F.struct(F.lit(k).alias("ref"), F.lit(f"{t}.{c} references {target}").alias("check")) for k, (t, c, target, _) in enumerate(used)]
+    checks = counted[0].sparkSession.range(1).select(F.inline(F.array(*names)))
+    return checks.join(astray, "ref", "left").select("check", F.coalesce("n", F.lit(0)).alias("violations"))
+
+
+def report(star: Star) -> DataFrame:
+    """Every check in one table: kind, name, value and whether it passed."""
+    counts = counts_by_table(star)
+    for kind, df in (("references", stacked_references(star)), ("duplicates", duplicate_keys(star))):
+        counts = counts.unionByName(df.select(F.lit(kind).alias("kind"), F.col("check").alias("name"), F.col("violations").alias("value")))
+    passed = F.when(F.col("kind") == "rows", "INFO").when(F.col("value") == 0, "PASSED").otherwise("FAILED")
+    return counts.select("kind", "name", "value", passed.alias("status"))
 
 
 # --- duplicate (order, product) pairs ------------------------------------------
