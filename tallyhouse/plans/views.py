@@ -176,11 +176,19 @@ def customer_segment_revenue(star: Star) -> DataFrame:
             F.max("transaction_date_sk").alias("last_sk"),
         )
     )
+    # lines come down to one row per user and product before they are joined with either
+    pairs = star["fact_line_items"].groupBy("user_sk", "product_sk").agg(F.sum("quantity").alias("items"), F.count("quantity").alias("counted"))
+    price = star["dim_product"].select("product_sk", F.col("price").alias("list_price"))
     by_line = (
-        priced_lines(star, "user_sk")
+        pairs.join(price, "product_sk", "left")
         .join(users, "user_sk", "left")
         .groupBy(*segment)
-        .agg(F.count_distinct("product_sk").alias("unique_products_purchased"), *_line_sums())
+        .agg(
+            F.count_distinct("product_sk").alias("unique_products_purchased"),
+            F.sum("items").alias("items"),
+            F.sum(F.col("items") * F.col("list_price")).alias("revenue"),
+            F.sum(F.when(F.col("list_price").isNotNull(), F.col("counted")).otherwise(0)).alias("priced"),
+        )
     )
     return (
         by_order.join(by_line, _same(by_order, by_line, segment), "left")
