@@ -24,7 +24,7 @@ def test_names():
     import __spark_entry__ as entry
 
     names = list(entry.queries())
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in names
 
 
