@@ -70,11 +70,28 @@ def discard(written: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def tidy(run):
-    """``run`` for ``mapInArrow``; when its task ends, freed memory goes back to the machine, as the worker
-    process lives on for other stages."""
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def remembers(name: str, forget: Callable[[], None]) -> None:
+    """Name what a module remembers in a worker from one task to the next."""
+    _caches[name] = forget
+
+
+def forget_others(name: str) -> None:
+    for other, forget in _caches.items():
+        if other != name:
+            forget()
+
+
+def tidy(run, cache: str = ""):
+    """``run`` for ``mapInArrow`` in workers that live on from stage to stage: what other passes remember is
+    forgotten when a task begins, and freed memory goes back to the machine when it ends."""
 
     def tidied(batches):
+        from tallyhouse.llm import base  # the worker's own module
+
+        base.forget_others(cache)
         try:
             yield from run(batches)
         finally:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tallyhouse.llm.base import neutral, restored, tidy
+from tallyhouse.llm.base import neutral, remembers, restored, tidy
 from tallyhouse.llm.words import U64, byte_pieces, hash_words, scramble
 
 SPACE = 1 << 20
@@ -44,6 +44,13 @@ _memory: list[np.ndarray] = [np.zeros(0, U64), np.zeros(0, np.int64)]  # sorted
 REMEMBERED = 600_000
 
 
+def _forget() -> None:
+    _memory[:] = [np.zeros(0, U64), np.zeros(0, np.int64)]
+
+
+remembers("quality", _forget)
+
+
 def _code(kind: bytes, term: bytes) -> int:
     return zlib.crc32(term, zlib.crc32(kind)) % SPACE
 
@@ -160,7 +167,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, sample: int) -> list:
 
     # of rows that repeat an id, one is learnt from
     once = texts.join(few, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
-    rows = once.select("doc_id", "text", "label").mapInArrow(tidy(bags), "doc_id long, label int, codes binary, weights binary")
+    rows = once.select("doc_id", "text", "label").mapInArrow(tidy(bags, "quality"), "doc_id long, label int, codes binary, weights binary")
     found = sorted(rows.toLocalIterator(), key=lambda r: (r["doc_id"], r["codes"], r["weights"]))
     return [(r["label"], np.frombuffer(r["codes"], np.int32).astype(np.int64), np.frombuffer(r["weights"])) for r in found]
 
@@ -181,7 +188,7 @@ def frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int, np.ndarra
         if n:
             yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(len(df)), -1)), pa.array(np.append(df, n))], ["term", "n"])
 
-    found = docs.select("text").mapInArrow(tidy(count), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    found = docs.select("text").mapInArrow(tidy(count, "quality"), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     df = np.zeros(len(vocabulary), np.int64)
     total = 0
     for r in found:
@@ -297,7 +304,7 @@ def score(docs: DataFrame, model: Model, text="text") -> DataFrame:
             found = shared.value.scores(batch.column(place))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*batch.schema.names, "score"])
 
-    return inner.mapInArrow(tidy(run), schema)
+    return inner.mapInArrow(tidy(run, "quality"), schema)
 
 
 def op2(spark, docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -309,7 +316,7 @@ def op2(spark, docs: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.scores(batch.column(1)), pa.float64())], ["doc_id", "score"])
 
-    rows = base.mapInArrow(tidy(run), "doc_id long, score double")
+    rows = base.mapInArrow(tidy(run, "quality"), "doc_id long, score double")
     return rows.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 

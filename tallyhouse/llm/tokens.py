@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.llm.dac import Codes, encode
-from tallyhouse.llm.base import tidy
+from tallyhouse.llm.base import remembers, tidy
 from tallyhouse.session import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -42,6 +42,7 @@ REMEMBERED = 300_000
 FILE_SCHEMA = "part int, seq int, base long, n_tokens long, first_id long, last_id long, doc_ids array<long>, lengths array<long>, codes binary"
 
 _loaded: dict[str, tuple] = {}
+remembers("tokens", _loaded.clear)
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -192,7 +193,7 @@ def write_tokens(docs: DataFrame, folder: str, text="text", doc_id="doc_id", pat
     base = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"))
     order = [F.col("id").asc_nulls_first(), F.col("tie").asc_nulls_first()]
     rows = base.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
-    rows.mapInArrow(tidy(_write_pass(path or vocabulary_path(), end, segment)), FILE_SCHEMA).write.parquet(folder)
+    rows.mapInArrow(tidy(_write_pass(path or vocabulary_path(), end, segment), "tokens"), FILE_SCHEMA).write.parquet(folder)
 
 
 def _part_bases(spark: SparkSession, folder: str) -> DataFrame:
@@ -223,7 +224,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, out of the files."""
     files = spark.read.schema(FILE_SCHEMA).parquet(folder)
     rows = files.join(F.broadcast(_part_bases(spark, folder)), "part").select("part_base", "base", "doc_ids", "lengths", "codes")
-    return rows.mapInArrow(tidy(_read_pass), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return rows.mapInArrow(tidy(_read_pass, "tokens"), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def read_tokens(spark: SparkSession, folder: str, doc_id: int, start: int = 0, stop: int | None = None) -> DataFrame:
