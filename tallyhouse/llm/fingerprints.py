@@ -85,9 +85,10 @@ def packed(a: Column) -> Column:
 
 
 def unpacked(data: Column) -> Column:
-    digits = F.lower(F.hex(data))
-    at = F.sequence(F.lit(0), F.greatest(F.octet_length(data) * 2 - DIGITS, F.lit(0)), F.lit(DIGITS))
-    return F.when(F.octet_length(data) == 0, F.expr(NONE)).otherwise(F.transform(at, lambda i: F.substring(digits, i + 1, F.lit(DIGITS))))
+    size = DIGITS // 2
+    at = F.sequence(F.lit(1), F.greatest(F.octet_length(data), F.lit(1)), F.lit(size))
+    hashes = F.transform(at, lambda i: F.lower(F.hex(F.substring(data, i, F.lit(size)))))
+    return F.when(F.octet_length(data) == 0, F.expr(NONE)).otherwise(hashes)
 
 
 def merge_by(sketches: DataFrame, by: list[str], sketch: str = "sketch", k: int = K) -> DataFrame:
