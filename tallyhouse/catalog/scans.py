@@ -399,9 +399,10 @@ def inc_stream(spark, sf_dir):
 def _dims_in(spark, sf_dir) -> Store:
     """A store that holds the dimensions only."""
     store = Store(spark, scratch_path(spark, "store"))
-    for name, df in star(spark, sf_dir).items():
+    tables = star(spark, sf_dir)
+    for name in tables:
         if name.startswith("dim_"):
-            store.replace(name, df)
+            store.replace(name, tables[name])
     return store
 
 

@@ -354,3 +354,38 @@ def test_calendar(spark):
     assert (row.month_name, row.quarter, row.day) == ("February ", "Q1", 29)
     weekend = dims.build_calendar(spark, extended=True).filter("date_sk = 20240302").first()
     assert weekend.is_weekend and weekend.day_name == "Saturday"
+
+
+def test_sample_star_loads_only_what_is_asked_for(spark, tmp_path):
+    from tallyhouse.plans import sample_star
+
+    day = dt.datetime(1996, 1, 2)
+    tables = {
+        "region": ("r_regionkey int, r_name string", [(0, "ASIA")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(k, f"N{k}", 0) for k in range(25)]),
+        "customer": ("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string", [(1, "c", 0, 1.0, "BUILDING")]),
+        "supplier": ("s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double", [(2, "s", 0, 1.0)]),
+        "part": ("p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double", [(3, "p", "b", "LARGE", 1, 2.5)]),
+        "orders": (
+            "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string",
+            [(7, 1, "F", 9.0, day, "1-URGENT"), (8, 99, "O", 9.0, day, "1-URGENT")],
+        ),
+        "lineitem": (
+            "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+            "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+            [(7, 3, 2, 1, 4.0, 10.0, 0.0, 0.0, "N", "O", day), (8, 3, 2, 1, 4.0, 10.0, 0.0, 0.0, "N", "O", day)],
+        ),
+    }
+    for name, (ddl, data) in tables.items():
+        spark.createDataFrame(data, ddl).write.parquet(f"{tmp_path}/{name}.parquet")
+    star = sample_star.star(spark, str(tmp_path))
+    assert "fact_line_items" in star and not star._made
+    assert [r.order_id for r in star["fact_orders"].collect()] == ["O7"]
+    assert set(star._made) == {"dim_user", "dim_merchant", "dim_staff", "dim_date", "fact_orders"}
+    assert sample_star._key(spark, str(tmp_path)) not in sample_star._lines  # the line feed was not sorted
+    early = star.replaced(fact_orders=lambda: star["fact_orders"].limit(0))
+    assert early["fact_orders"].isEmpty() and early["dim_user"] is star["dim_user"]
+    assert [(r.order_id, r.quantity) for r in star["fact_line_items"].collect()] == [("O7", 4)]
+    assert [r.order_id for r in star["reject_fact_line_items"].collect()] == ["O8"]
+    assert [(r.product_id, r.source_file) for r in star["reject_fact_line_items"].collect()] == [("PRODUCT3", "lines-N.csv")]
+    assert len(dict(star)) == len(star) == 14
