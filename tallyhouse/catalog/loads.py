@@ -18,6 +18,7 @@ from tallyhouse.operators import dimensions as dims
 from tallyhouse.operators import facts, keys, staging
 from tallyhouse.plans import sample_star
 from tallyhouse.plans.sample_star import table
+from tallyhouse.session import materialize
 
 # --- dimensions ------------------------------------------------------------------
 
@@ -156,7 +157,6 @@ def _thin_dims(spark, sf_dir) -> dict[str, DataFrame]:
     """The star's dimensions without some members, so that rows are rejected."""
     star = sample_star.star(spark, sf_dir)
     return {
-        **star,
         "dim_user": star["dim_user"].filter(F.col("user_type") != "Machinery"),
         "dim_merchant": star["dim_merchant"].filter(F.col("city") != "ASIA"),
         "dim_staff": star["dim_staff"].filter(F.col("job_level") != "EUROPE"),
@@ -307,6 +307,7 @@ def load_fact_line_items_legacy(spark, sf_dir):
             _line_products(spark, sf_dir),
             _known_dim_products(star),
             _known_orders(star),
+            stage=materialize,
         ),
         star,
     )
@@ -400,6 +401,7 @@ def late_campaign_rekey(spark, sf_dir):
     fact = facts.load_campaign_transactions(
         dims.empty_table(spark, "fact_campaign_transactions"), feed, early, star["fact_orders"]
     ).table
+    fact = materialize(fact, "early_campaign_rows")  # read three times below
     moved, _ = facts.rekey_late_campaigns(fact, star["dim_campaign"], feed)
     return _campaigns_by_name(moved, star)
 

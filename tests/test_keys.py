@@ -77,3 +77,33 @@ def test_no_window_without_partition_runs_over_data_rows(spark):
         for line in text.splitlines():
             if "Window [" in line and "sum(" not in line:
                 assert "__block" in line or "__bucket" in line, line
+
+
+def test_shifts_of_positions_are_staged_or_broadcast(spark):
+    from tallyhouse.operators.keys import BLOCK_BITS
+
+    data = [(k, f"f{k % 2}", (b << BLOCK_BITS) + k) for b in range(3) for k in range(4)]
+    df = spark.createDataFrame(data, "k int, file string, ingest_seq bigint")
+    staged = []
+
+    def stage(shifts, label):
+        staged.append((label, shifts.count()))
+        return shifts
+
+    got = {(r.k, r.ingest_seq >> BLOCK_BITS): r.position for r in keys.with_group_position(df, ["k"], stage=stage).collect()}
+    assert got == {(k, b): b + 1 for b in range(3) for k in range(4)}
+    assert staged == [("position_shifts", 8)]  # first blocks need none
+    few = keys.with_group_position(df, ["file"], few=True)
+    assert "Broadcast" in few._jdf.queryExecution().sparkPlan().toString() or "broadcast" in few._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.position for r in few.collect()) == sorted([*range(1, 7)] * 2)
+
+
+def test_one_row_per_key_by_order_then_values(spark):
+    df = spark.createDataFrame(
+        [("a", 1, 5, "x"), ("a", 2, 4, None), ("b", None, 1, "y"), ("b", 3, 2, "z"), (None, 1, 1, "w")], "k string, `v w` int, ingest_seq int, tie string"
+    )
+    assert sorted(map(tuple, keys.first_per_key(df, ["k"]).collect()), key=repr) == [("a", 2, 4, None), ("b", None, 1, "y"), (None, 1, 1, "w")]
+    assert sorted(map(tuple, keys.last_per_key(df, ["k"]).collect()), key=repr) == [("a", 1, 5, "x"), ("b", 3, 2, "z"), (None, 1, 1, "w")]
+    assert keys.first_per_key(df, ["k"]).columns == df.columns
+    by_key = keys.first_per_key(df.withColumnRenamed("tie", "t"), ["ingest_seq"])  # the order may be the key itself
+    assert by_key.count() == 4
