@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tallyhouse.llm.base import neutral, remembers, restored, tidy
+from tallyhouse.llm.base import give_back, neutral, remembers, restored, tidy
 from tallyhouse.llm.words import U64, byte_pieces, hash_words, scramble
 
 SPACE = 1 << 20
@@ -169,7 +169,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, sample: int) -> list:
     once = texts.join(few, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     rows = once.select("doc_id", "text", "label").mapInArrow(tidy(bags, "quality"), "doc_id long, label int, codes binary, weights binary")
     found = sorted(rows.toLocalIterator(), key=lambda r: (r["doc_id"], r["codes"], r["weights"]))
-    return [(r["label"], np.frombuffer(r["codes"], np.int32).astype(np.int64), np.frombuffer(r["weights"])) for r in found]
+    return [(r["label"], np.frombuffer(r["codes"], np.int32), np.frombuffer(r["weights"])) for r in found]
 
 
 def frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int, np.ndarray]:
@@ -263,11 +263,22 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    rows = _labelled(docs, labels, sample)
+    """The model, worked out on the driver from the sample: one table of sample x vocabulary at most."""
+    try:
+        return _fitted(docs, _labelled(docs, labels, sample))
+    finally:
+        give_back()
+
+
+def _fitted(docs: DataFrame, rows: list) -> Model:
     if not rows:
         none = np.zeros(0)
         return Model(none.astype(np.int64), none, np.zeros((0, 1)), np.zeros((0, 1)), none)
-    codes, times = np.unique(np.concatenate([c for _, c, _ in rows]), return_counts=True)
+    times = np.zeros(SPACE, np.int64)
+    for _, code, _ in rows:
+        times[code] += 1  # a text has each code once
+    codes = np.flatnonzero(times)
+    times = times[codes]
     kept = np.lexsort((codes, -times))[:TERMS]
     vocabulary = np.sort(codes[kept[times[kept] > 1]]) if (times > 1).any() else np.sort(codes[kept])
     n, df = frequencies(docs, vocabulary)
@@ -282,14 +293,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         at = place[code]
         known = at >= 0
         x[k, at[known]] = weight[known] * idf[at[known]]
-    norm = np.linalg.norm(x, axis=1, keepdims=True)
-    x /= np.where(norm > 0, norm, 1)
+    for lo in range(0, len(x), 256):  # the norm of all rows at once takes two more tables like x
+        part = x[lo : lo + 256]
+        norm = np.linalg.norm(part, axis=1, keepdims=True)
+        part /= np.where(norm > 0, norm, 1)
     model.axes = latent_axes(x, DIMS).astype(np.float32)
+    del x
     model.labels = np.array([float(label) for label, _, _ in rows])
+    model.vectors = np.concatenate([_embedded(model, rows[lo : lo + 256]) for lo in range(0, len(rows), 256)])
+    return model
+
+
+def _embedded(model: Model, rows: list) -> np.ndarray:
     doc = np.repeat(np.arange(len(rows)), [len(c) for _, c, _ in rows])
     codes, weights = (np.concatenate([r[k] for r in rows]) for k in (1, 2))
-    model.vectors = model.embed(len(rows), doc, codes, weights).astype(np.float32)
-    return model
+    return model.embed(len(rows), doc, codes, weights).astype(np.float32)
 
 
 def score(docs: DataFrame, model: Model, text="text") -> DataFrame:

@@ -27,6 +27,24 @@ def test_held_out_accuracy(spark):
         assert sum(p == value for p in of) >= 0.85 * len(of)
 
 
+def test_the_fit_holds_one_table_of_the_sample(monkeypatch):
+    """The driver has room for the weighted sample once, not for copies of it."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    rows, terms = 2048, 4096
+    sample = [(k % 2, np.sort(rng.choice(terms, 40, replace=False)).astype(np.int32), rng.random(40)) for k in range(rows)]
+    monkeypatch.setattr(quality, "_labelled", lambda *_: sample)
+    monkeypatch.setattr(quality, "frequencies", lambda docs, vocabulary: (rows, np.ones(len(vocabulary), np.int64)))
+    tracemalloc.start()
+    model = quality.fit(None, None)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.vectors.shape == (rows, quality.DIMS)
+    assert np.allclose(np.linalg.norm(model.vectors, axis=1), 1, atol=1e-5)
+    assert peak < 2 * 4 * rows * len(model.vocabulary)
+
+
 def test_labels_of_the_held_out_fold_change_nothing(spark):
     from pyspark.sql import functions as F
 
