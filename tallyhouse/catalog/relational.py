@@ -14,6 +14,7 @@ from tallyhouse.operators.quality import repeated_pairs
 from tallyhouse.plans import sample_star
 from tallyhouse.plans.sample_star import table
 from tallyhouse.plans.views import percent, ratio, sales_by_time
+from tallyhouse.session import materialize
 
 star = sample_star.star
 
@@ -249,7 +250,7 @@ def agg_min_max(spark, sf_dir):
 
 
 def agg_string_agg(spark, sf_dir):
-    return repeated_pairs(staged(spark, sf_dir, "line_item_data_products"), top=None)
+    return repeated_pairs(staged(spark, sf_dir, "line_item_data_products"), top=None, stage=materialize)
 
 
 def agg_array_ordered(spark, sf_dir):

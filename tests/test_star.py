@@ -389,3 +389,58 @@ def test_sample_star_loads_only_what_is_asked_for(spark, tmp_path):
     assert [r.order_id for r in star["reject_fact_line_items"].collect()] == ["O8"]
     assert [(r.product_id, r.source_file) for r in star["reject_fact_line_items"].collect()] == [("PRODUCT3", "lines-N.csv")]
     assert len(dict(star)) == len(star) == 14
+
+
+@pytest.fixture
+def line_feeds(spark):
+    """Orders in several blocks and spellings, repeats, unknown and missing keys, feeds of unequal length."""
+    rnd = random.Random(11)
+    ids = ["o1", " o1 ", "o2", "o3", "o4", "lost", "", None]
+    products = [(rnd.choice(ids), rnd.choice(["p1", "p2 ", "p3", "none", "", None]), (k % 3) << 28 | k, "f") for k in range(400)]
+    prices = [(rnd.choice(ids), None, f"{k}.50", f"{k % 9}pcs" if k % 11 else None, (k % 5) << 28 | k) for k in range(430)]
+    dim = spark.createDataFrame([(k, f"p{k}") for k in (1, 2, 3)], "product_sk long, product_id string")
+    orders = spark.createDataFrame(
+        [(f"o{k}", k, k + 1, k + 2, 19980101) for k in (1, 2, 3)],
+        "order_id string, user_sk long, merchant_sk long, staff_sk long, transaction_date_sk int",
+    )
+    return (
+        spark.createDataFrame(prices, "order_id string, line_item_id string, price string, quantity string, ingest_seq long"),
+        spark.createDataFrame(products, "order_id string, product_id string, ingest_seq long, file_source string"),
+        dim,
+        orders,
+    )
+
+
+def test_orders_in_one_place_load_like_orders_spread_over_tasks(spark, line_feeds, rows):
+    empty = dims.empty_table(spark, "fact_line_items")
+    spread, together = (facts.load_line_items(empty, *line_feeds, pairing="order", large_order=n) for n in (0, 1000))
+    known = spread.table.filter("product_sk < 3")
+    later = [facts.load_line_items(known, *line_feeds, pairing="order", large_order=n).added for n in (0, 1000)]
+    for a, b in ((spread.table, together.table), (spread.offered, together.offered), tuple(later)):
+        assert rows(a, *a.columns) == rows(b, *a.columns) != []
+    shown = [c for c in spread.rejects.columns if c != "rejected_at"]
+    assert rows(spread.rejects, *shown) == rows(together.rejects, *shown) != []
+
+
+def test_line_load_shuffles_both_feeds_once(spark, line_feeds):
+    empty = dims.empty_table(spark, "fact_line_items")
+    plan = facts.load_line_items(empty, *line_feeds, pairing="order").table._jdf.queryExecution().executedPlan().toString()
+    # both feeds together, then the orders, and the products where Spark does not broadcast them
+    assert plan.count("Exchange hashpartitioning") <= 4
+    assert "SortAggregate" not in plan
+
+
+def test_repeated_pairs_are_staged_once(spark, rows):
+    lines = spark.createDataFrame(
+        [("a", "p", "f1", 1), ("a", "p", "f2", 2), ("b", "p", "f1", 3), (None, "p", "f1", 4), (None, "p", "f1", 5), ("c", None, "f1", 6), ("c", None, "f1", 7)],
+        "order_id string, product_id string, file_source string, loaded_at int",
+    )
+    staged = []
+
+    def stage(df, label):
+        staged.append(label)
+        return spark.createDataFrame(df.collect(), df.schema)
+
+    got = quality.repeated_pairs(lines, top=None, stage=stage)
+    assert staged == ["repeated_pairs"]
+    assert rows(got, *got.columns) == [("a", "p", 2, "f1, f2", 1, 2), (None, "p", 2, None, 4, 5)]
