@@ -24,16 +24,18 @@ _ONES = np.array([bin(x).count("1") for x in range(256)], np.int64)
 
 
 def encode(values: np.ndarray) -> bytes:
-    values = np.asarray(values, np.uint64)
+    kind = np.uint32 if getattr(values, "dtype", None) == np.uint32 else np.uint64  # ids stay as short as they come
+    values = np.asarray(values, kind)
     out = [MAGIC, struct.pack("<QB", len(values), len(WIDTHS))]
     for k, width in enumerate(WIDTHS):
         out.append(struct.pack("<BQ", width, len(values)))
-        out.append((values & np.uint64((1 << width) - 1)).astype(f"<u{width // 8}").tobytes())
-        values = values >> np.uint64(width)
+        out.append((values & kind((1 << width) - 1)).astype(f"<u{width // 8}").tobytes())
+        values = values >> kind(width)
         if k < len(WIDTHS) - 1:
             more = values > 0
             bits = np.packbits(more, bitorder="little")
-            before = np.concatenate([[0], np.cumsum(np.add.reduceat(more, np.arange(0, len(more), BLOCK), dtype=np.int64))]) if len(more) else np.zeros(1)
+            ones = np.add.reduceat(_ONES[bits], np.arange(0, len(bits), BLOCK // 8)) if len(bits) else bits
+            before = np.concatenate([[0], np.cumsum(ones, dtype=np.int64)])
             out += [bits.tobytes(), before.astype("<u8").tobytes()]
             values = values[more]
     if len(values) and values.any():

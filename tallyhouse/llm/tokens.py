@@ -23,6 +23,7 @@ import re
 import sys
 import zlib
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,12 @@ from tallyhouse.session import scratch_path
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 SEGMENT = 1 << 20
-#: Words, and parts of words, whose ids a worker remembers (twice as many at most).
+#: Ids that are decoded at once where whole documents are read back (a longer document alone).
+READ = 1 << 15
+#: Words and parts of words whose ids a worker remembers, those of the texts in hand aside.
 REMEMBERED = 300_000
+#: Bytes of texts that are encoded at once; a longer text is encoded alone.
+PIECE = 1 << 20
 
 FILE_SCHEMA = "part int, seq int, base long, n_tokens long, first_id long, last_id long, doc_ids array<long>, lengths array<long>, codes binary"
 
@@ -57,6 +62,10 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: which the normaliser changes but to lower case.
 _PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 _PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: Both for words of ASCII alone, in bytes, and the marks that may end such a word.
+_ASCII_PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+_ASCII = bytes(range(0x21, 0x7F))
+_MARKS = bytes(b for b in _ASCII if not chr(b).isalnum())
 
 
 def _byte_characters() -> dict[int, str]:
@@ -77,13 +86,15 @@ class Encoder:
     """Ids of texts as little-endian 32-bit words.
 
     With the split above, ids are remembered by word and, for plain words, by the parts that the split
-    makes of them.  With any other split whole texts go through the tokenizer.
+    makes of them.  A part is a word whose split is itself, so one memory serves both; its older half is
+    dropped when the newer one is full.  With any other split whole texts go through the tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
         steps = [x.get("type") for x in (told.get("normalizer") or {}).get("normalizers", [])]
@@ -98,8 +109,6 @@ class Encoder:
         self.special = [x["content"].encode() for x in told.get("added_tokens", [])]
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.older_parts: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -108,34 +117,42 @@ class Encoder:
             _loaded[path] = cls(path)
         return _loaded[path]
 
-    def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
+    def _part(self, part: bytes) -> bytes:
+        ids = self.words.get(part)
         if ids is None:
-            ids = self.parts[part] = self.older_parts.get(part) or self._encode_part(part)
+            ids = self.words[part] = self.older.get(part) or self._encode_part(part)
         return ids
 
-    def _encode_part(self, part: str) -> bytes:
-        said = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
-        return _ids([t.id for t in self.tokenizer.model.tokenize(said)])
+    def _encode_part(self, part: bytes) -> bytes:
+        said = part.decode() if part.isascii() else part.decode("latin-1").translate(_BYTE_CHARACTERS)
+        return _ids([t.id for t in self.model.tokenize(said)])
 
     def _learn(self, new: list[bytes]) -> None:
         words, older, rest = self.words, self.older, []
         for w in new:
             known = older.get(w)
             if known is None:
-                word = w.decode("utf-8", "replace")
-                if not _PLAIN.fullmatch(word):
-                    rest.append(w)
-                    continue
-                known = b"".join(map(self._part, _PARTS.findall(word.lower())))
+                letters = w.rstrip(_MARKS)
+                if letters.isalpha():  # of ASCII
+                    known = self._part(letters)
+                    if len(letters) < len(w):
+                        known += self._part(w[len(letters) :])
+                elif not w.translate(None, _ASCII):
+                    known = b"".join(map(self._part, _ASCII_PARTS.findall(w)))
+                else:
+                    word = w.decode("utf-8", "replace")
+                    if not _PLAIN.fullmatch(word):
+                        rest.append(w)
+                        continue
+                    known = b"".join([self._part(part.encode()) for part in _PARTS.findall(word.lower())])
             words[w] = known
         for lo in range(0, len(rest), 20_000):
             some = rest[lo : lo + 20_000]
             found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
             words.update(zip(some, [_ids(e.ids) for e in found], strict=True))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        data = [(t or "").encode("utf-8", "replace") for t in texts]
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        data = [t or b"" for t in texts]
         out: list[bytes | None] = [None] * len(data)
         # special tokens are found before the normaliser runs: such texts go whole
         whole = [k for k, d in enumerate(data) if not self.by_word or any(x in d for x in self.special)]
@@ -147,13 +164,23 @@ class Encoder:
         get = self.words.__getitem__
         for k, words in cut.items():
             out[k] = b"".join(map(get, words))
-        if len(self.words) > REMEMBERED:  # what is used again comes back from the older half
+        if len(self.words) > REMEMBERED // 2:  # what is used again comes back from the older half
             self.words, self.older = {}, self.words
-        if len(self.parts) > REMEMBERED:
-            self.parts, self.older_parts = {}, self.parts
         return out
 
 
+def _text_pieces(texts: list[bytes | None]) -> Iterator[tuple[int, list[bytes | None]]]:
+    """``row, texts``: the texts from ``row`` on that are encoded at once."""
+    first = size = 0
+    for k, text in enumerate(texts):
+        size += len(text or b"")
+        if k > first and size > PIECE:
+            yield first, texts[first:k]
+            first, size = k, len(text or b"")
+    if texts:
+        yield first, texts[first:]
+
+
 def _write_pass(path: str, end: int, segment: int):
     names = [c.split()[0] for c in FILE_SCHEMA.split(", ")]
     types = [pa.int32(), pa.int32(), *[pa.int64()] * 4, pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
@@ -172,10 +199,10 @@ def _write_pass(path: str, end: int, segment: int):
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names), sum(lengths)
 
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for lo in range(0, len(texts), 500):
-                for k, data in enumerate(encoder.encode(texts[lo : lo + 500])):
-                    ids.append(batch.column(0)[lo + k].as_py())
+            found = batch.column(0).to_pylist()
+            for lo, texts in _text_pieces(batch.column(1).cast(pa.binary()).to_pylist()):
+                for k, data in enumerate(encoder.encode(texts)):
+                    ids.append(found[lo + k])
                     parts.append(data + tail)
                     held += len(data) // 4 + 1
                     if held >= segment:
@@ -211,9 +238,12 @@ def _read_pass(batches):
         for row in batch.to_pylist():
             codes, at = Codes(row["codes"]), 0
             out = []
+            held, first, stop = memoryview(b""), 0, 0  # ids in hand, and their places
             for i, n in zip(row["doc_ids"], row["lengths"], strict=True):
-                ids = codes.read(at, at + n).astype("<u4")
-                out.append((i, row["part_base"] + row["base"] + at, n, zlib.crc32(ids.tobytes())))
+                if at + n > stop:
+                    first, stop = at, min(max(at + n, at + READ), len(codes))
+                    held = memoryview(codes.read(first, stop).astype("<u4").tobytes())
+                out.append((i, row["part_base"] + row["base"] + at, n, zlib.crc32(held[4 * (at - first) : 4 * (at + n - first)])))
                 at += n
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["doc_id", "start", "n_tokens", "ids_crc32"]

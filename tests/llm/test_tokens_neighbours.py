@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -53,6 +54,53 @@ def test_files(spark):
     assert [r["token"] for r in some] == ids[TEXTS[6]][5000:5010]
 
 
+def test_remembered_words_are_bounded(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tokens, "REMEMBERED", 1000)
+    whole = Tokenizer.from_file(tokens.vocabulary_path())
+    encoder = tokens.Encoder(tokens.vocabulary_path())
+    odd = ["don't", "'s", "s", "''s", "x''s", "Éé", "é", "É2", "naïve,", ",", "1a2b", "²", "ΑΣ", "\x7f", "it'll", "ll", "'ll", "a'b", "rock'", "rock's", "end'''", "No!!", "$$$"]
+    for k in range(20):
+        texts = [" ".join([f"{w},{'abcdefghij'[k % 10]}{chr(97 + j % 26)}{chr(97 + j // 26)}{k}." for j, w in enumerate(["no", "yes", "NO,"] * 30)]), " ".join(odd), None]
+        got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([t and t.encode() for t in texts])]
+        assert got == [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+        # the words and parts of the texts in hand come on top
+        assert sum(len(v) for v in vars(encoder).values() if isinstance(v, dict)) <= 1000 + 400
+    assert sum(len(v) for v in vars(encoder).values() if isinstance(v, dict)) > 500
+
+
+def test_texts_are_encoded_in_pieces(monkeypatch):
+    monkeypatch.setattr(tokens, "PIECE", 10)
+    texts = [b"abcd", None, b"abcd", b"abcd", b"x" * 50, b"", b"y"]
+    found = list(tokens._text_pieces(texts))
+    assert [lo for lo, _ in found] == [0, 3, 4, 5] and [t for _, some in found for t in some] == texts
+    assert list(tokens._text_pieces([])) == []
+
+
+def test_codes_of_ids_take_little_memory():
+    import tracemalloc
+
+    ids = np.random.default_rng(1).integers(0, 49_000, 1 << 20).astype("<u4")
+    tracemalloc.start()
+    try:
+        data = encode(ids)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert data == encode(ids.astype(np.uint64)) and peak < 12 << 20  # three times the ids
+
+
+def test_documents_read_in_pieces(monkeypatch):
+    monkeypatch.setattr(tokens, "READ", 7)
+    row = {"part_base": 5, "base": 2, "doc_ids": [4, 5, 6, 7], "lengths": [3, 1, 20, 6]}
+    ids = np.arange(250, 280).astype("<u4")
+    batch = pa.RecordBatch.from_pylist([row | {"codes": encode(ids)}])
+    got = [tuple(r.values()) for out in tokens._read_pass([batch]) for r in out.to_pylist()]
+    cuts = [(0, 3), (3, 4), (4, 24), (24, 30)]
+    assert got == [(4 + k, 7 + a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(cuts)]
+
+
 def test_no_documents(spark):
     assert tokens.op8(spark, spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
