@@ -53,6 +53,8 @@ CROWD, COUNTERS, SALTS = 2048, 1 << 20, 16
 CHUNK = 4096
 #: Bits that thin out the documents before their texts are fetched.
 BITS = 1 << 25
+#: Visits that are broadcast to the texts; more of them go to the texts by a shuffle.
+FEW = 50_000
 #: Documents and tokens of a block, documents of a row of the matrix.
 BLOCK_DOCS, BLOCK_TOKENS, ROW = 1024, 1_000_000, 32
 
@@ -373,16 +375,23 @@ def _thinning(bits: bytes):
 
 
 def texts_of(base: DataFrame, todo: DataFrame) -> DataFrame:
-    """``id, text, visits`` of the documents in ``todo``; most other texts stay where they are."""
+    """``id, text, visits`` of the documents in ``todo``; most other texts stay where they are.
+
+    Python passes never follow each other in one stage: that takes two workers a task, and Spark keeps
+    and uses them all from then on.
+    """
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(BITS)) + 1
-    marked = todo.select(slot("doc").alias("slot"))
-    pages = marked.groupBy(F.bitmap_bucket_number("slot").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
+    marked = todo.select(slot("doc").alias("slot"), F.size("visits").alias("n"))
+    by_page = marked.groupBy(F.bitmap_bucket_number("slot").alias("page"))
+    pages = by_page.agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"), F.sum("n").alias("n")).collect()
+    if sum(r["n"] for r in pages) <= FEW:
+        return base.join(F.broadcast(todo), base["id"] == todo["doc"]).select("id", "text", "visits")
     table = bytearray(BITS // 8)
     for r in pages:  # pages count from 1
         at = (r["page"] - 1) * len(r["bits"])
         table[at : at + len(r["bits"])] = r["bits"]
     thin = base.where("id is not null").select("id", "text", (slot("id") - 1).alias("slot")).mapInArrow(*_thinning(bytes(table)))
-    return thin.join(todo, thin["id"] == todo["doc"]).select("id", "text", "visits")
+    return thin.join(todo.hint("merge"), thin["id"] == todo["doc"]).select("id", "text", "visits")
 
 
 # ---------------------------------------------------------------- the join

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tallyhouse.llm.base import give_back, neutral, remembers, restored, tidy
+from tallyhouse.llm.base import give_back, neutral, remembers, restored, small_frame, tidy
 from tallyhouse.llm.words import U64, byte_pieces, hash_words, scramble
 
 SPACE = 1 << 20
@@ -155,7 +155,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, sample: int) -> list:
     if not ids:
         return []
     spark = docs.sparkSession
-    few = F.broadcast(spark.createDataFrame([(r["doc_id"], r["label"]) for r in ids], "doc_id long, label int"))
+    few = F.broadcast(small_frame(spark, [(r["doc_id"], r["label"]) for r in ids], doc_id=pa.int64(), label=pa.int32()))
 
     def bags(batches):
         for batch in batches:

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.llm.dac import Codes, encode
-from tallyhouse.llm.base import remembers, tidy
+from tallyhouse.llm.base import remembers, small_frame, tidy
 from tallyhouse.session import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -230,7 +230,7 @@ def _part_bases(spark: SparkSession, folder: str) -> DataFrame:
     for r in sums:
         bases.append((r["part"], total))
         total += r["n"]
-    return spark.createDataFrame(bases, "part int, part_base long")
+    return small_frame(spark, bases, part=pa.int32(), part_base=pa.int64())
 
 
 def _read_pass(batches):

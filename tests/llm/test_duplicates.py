@@ -94,6 +94,19 @@ def test_a_crowded_token_is_counted_over_all_rows(spark):
     assert not any(r["heavy"] for r in keys) and max(sum(r["key"] == k for r in keys) for k in {r["key"] for r in keys}) == 1
 
 
+@pytest.mark.parametrize("few", [0, 3, 4])
+def test_texts_take_one_python_pass_a_stage(spark, monkeypatch, few):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(jaccard, "FEW", few)
+    base = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, None), (None, "d"), (5, "e")], "id long, text string")
+    visits = spark.createDataFrame([(1, 7), (1, 8), (3, 9), (9, 9)], "doc long, v int").groupBy("doc").agg(F.collect_list("v").alias("visits"))
+    got = jaccard.texts_of(base, visits)
+    assert sorted((r[0], r[1], sorted(r[2])) for r in got.collect() if r[1]) == [(1, "a", [7, 8]), (1, "b", [7, 8])] and got.count() == 3
+    plan = got._jdf.queryExecution().toString()
+    assert ("MapInArrow" in plan) == (few < 4) and ("BroadcastHashJoin" in plan) == (few >= 4)
+
+
 def test_keys_of_linked_sets():
     rng = random.Random(2)
     for percent in (60, 80, 90):

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from tallyhouse.llm import neighbours, tokens
+from tallyhouse.llm.base import small_frame
 from tallyhouse.llm.dac import Codes, encode
 from tallyhouse.session import scratch_path
 
@@ -101,6 +102,13 @@ def test_documents_read_in_pieces(monkeypatch):
     assert got == [(4 + k, 7 + a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(cuts)]
 
 
+def test_small_frames_start_no_python(spark):
+    for rows in ([(1, 2), (3, None)], []):
+        df = small_frame(spark, rows, part=pa.int32(), part_base=pa.int64())
+        assert [tuple(r) for r in df.collect()] == rows and [t for _, t in df.dtypes] == ["int", "bigint"]
+        assert "ExistingRDD" not in df._jdf.queryExecution().toString()
+
+
 def test_no_documents(spark):
     assert tokens.op8(spark, spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
