@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyhouse.llm.base import discard, neutral, restored, tidy
 from tallyhouse.llm.components import connected_components
@@ -167,11 +167,12 @@ def _key_pass(shingle: int, percent: int, crowded: bytes):
             ids = np.array([-1 if x is None else x for x in batch.column(0).to_pylist()], np.int64)
             known = np.array([x is not None for x in batch.column(0).to_pylist()], bool)
             seen: set[tuple[int, int]] = set()
-            keys, docs, heavy = [], [], []
+            keys, docs, heavy, sizes = [], [], [], []
             found = {row: tokens for row, tokens in shingle_sets(batch.column(1), shingle) if len(tokens) and known[row]}
             for row in sorted(found, key=lambda r: ids[r]):
                 tokens = found[row]
-                take = keys_of(len(tokens), percent)[0]
+                n = len(tokens)
+                take = keys_of(n, percent)[0]
                 d = _digest(tokens)
                 if take == 0 or d in seen:
                     continue
@@ -183,27 +184,39 @@ def _key_pass(shingle: int, percent: int, crowded: bytes):
                 keys.append(tokens[:take])
                 heavy.append(hot[:take])
                 docs.append(np.full(take, ids[row]))
+                sizes.append(np.full(take, n, np.int32))
             if not keys:
                 continue
             key, doc, hot = signed(np.concatenate(keys)), np.concatenate(docs), np.concatenate(heavy)
             salt = np.zeros(len(key), np.int32)
             salt[hot] = (scramble(doc[hot].view(U64)) % U64(SALTS)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(salt), pa.array(doc), pa.array(hot)], ["key", "salt", "doc", "heavy"])
+            columns = [pa.array(key), pa.array(salt), pa.array(doc), pa.array(hot), pa.array(np.concatenate(sizes))]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "salt", "doc", "heavy", "n"])
 
-    return tidy(run), "key long, salt int, doc long, heavy boolean"
+    return tidy(run), "key long, salt int, doc long, heavy boolean, n int"
 
 
-def _leaders(batches):
-    """Of keys with several documents (or of crowded ones): ``key, doc, leader``."""
-    for table in sorted_groups(batches, ["key", "salt"]):
-        at = group_bounds(table, ["key", "salt"])
-        size = np.diff(at)
-        doc = table.column("doc").to_numpy()
-        leader = np.repeat(doc[at[:-1]], size)  # sorted: the first is the smallest
-        keep = np.repeat(size > 1, size) | (table.column("heavy").to_numpy(zero_copy_only=False).astype(bool))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(table.column("key").to_numpy()[keep]), pa.array(doc[keep]), pa.array(leader[keep])], ["key", "doc", "leader"]
-        )
+def _leaders(percent: int):
+    """Of keys with several documents (or of crowded ones): ``key, doc, n, leader``.
+
+    A key's rows come in the order of ``n``, the size of their sets.  Where the next set is too large to be linked
+    with the one before, no link goes over the gap, and the sets on either side are apart.
+    """
+
+    def run(batches):
+        for table in sorted_groups(batches, ["key", "salt"]):
+            doc, n = table.column("doc").to_numpy(), table.column("n").to_numpy()
+            begins = np.zeros(len(doc), bool)
+            begins[group_bounds(table, ["key", "salt"])[:-1]] = True
+            begins[1:] |= 100 * n[:-1].astype(np.int64) < percent * n[1:].astype(np.int64)
+            at = np.flatnonzero(begins)
+            size = np.diff(np.append(at, len(doc)))
+            leader = np.repeat(np.minimum.reduceat(doc, at), size)
+            keep = np.repeat(size > 1, size) | (table.column("heavy").to_numpy(zero_copy_only=False).astype(bool))
+            columns = [table.column("key").to_numpy()[keep], doc[keep], n[keep], leader[keep]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "doc", "n", "leader"])
+
+    return tidy(run), "key long, doc long, n int, leader long"
 
 
 # ---------------------------------------------------------------- comparing
@@ -411,25 +424,30 @@ def near_duplicates(docs: DataFrame, text="text", doc_id="doc_id", shingle: int
     same = known.join(classes, ["d1", "d2", "n"]).where("id <> class").select(F.col("id").alias("u"), F.col("class").alias("v"))
     leaders = classes.groupBy(F.col("class").alias("doc")).agg(F.max("n").alias("n"), F.min("common").alias("common"))
 
-    shared = (
+    # all that is known of a document's keys meets once, by document: with how many of them each leader shares, its
+    # home, and whether they are fewer than any link would give it
+    own, with_leader = Window.partitionBy("doc"), Window.partitionBy("doc", "leader")
+    at_home = (
         base.mapInArrow(*_key_pass(shingle, percent, crowded))
         .repartition("key", "salt")
-        .sortWithinPartitions("key", "salt", "doc")
-        .mapInArrow(tidy(_leaders), "key long, doc long, leader long")
+        .sortWithinPartitions("key", "salt", "n")
+        .mapInArrow(*_leaders(percent))
         .join(leaders.select("doc", "common"), "doc")
+        .withColumn("with", F.count("*").over(with_leader))
+        .withColumns({"home": F.max_by("leader", F.struct("with", -F.col("leader"))).over(own), "keys": F.count("*").over(own)})
+        .where("keys >= common")
+        .select("key", "doc", "n", "common", "home")
+        .distinct()
+    )
+    at_home = materialize(at_home, "jaccard-homes")
+    # the token-group matrix: keys of a group's union as rows, with the number of members that have them and the sizes
+    # of their sets; a document meets only those keys that a member of a size it may be linked with has
+    matrix = at_home.groupBy("key", F.col("home").alias("grp")).agg(
+        F.count("*").alias("members"), F.min("n").cast("long").alias("least"), F.max("n").cast("long").alias("most")
     )
-    shared = materialize(shared, "jaccard-keys")
-
-    # a document with fewer shared keys than any link would give it has no link; two linked documents
-    # meet in the home group of one of them, that with the smaller name
-    by_leader = shared.groupBy("doc", "common", "leader").agg(F.count("*").alias("keys"))
-    home = by_leader.groupBy("doc", "common").agg(F.max_by("leader", F.struct("keys", -F.col("leader"))).alias("home"), F.sum("keys").alias("keys"))
-    home = home.where("keys >= common").drop("keys", "common")
-    at_home = materialize(shared.select("key", "doc", "common").distinct().join(home, "doc"), "jaccard-homes")
-    discard(shared)
-    # the token-group matrix: keys of a group's union as rows, with the number of members that have them
-    matrix = at_home.groupBy("key", F.col("home").alias("grp")).agg(F.count("*").alias("members"))
-    bound = at_home.join(matrix, "key").where("grp <= home").groupBy("doc", "grp", "home", "common")
+    near = (percent * F.col("n").cast("long") <= 100 * F.col("most")) & (percent * F.col("least") <= 100 * F.col("n").cast("long"))
+    # two linked documents meet in the home group of one of them, that with the smaller name
+    bound = at_home.join(matrix, "key").where("grp <= home").where(near).groupBy("doc", "grp", "home", "common")
     bound = materialize(bound.agg(F.count("*").alias("keys"), F.count_if(F.col("members") > 1).alias("others")), "jaccard-bounds")
     discard(at_home)
     guests = bound.where("grp < home and keys >= common").select("doc", "grp")

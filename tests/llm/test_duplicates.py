@@ -79,6 +79,28 @@ def test_a_group_of_many_blocks_where_few_are_like_the_leader(spark, rows, monke
     assert len({c for i, _, c in got if i < 100}) == 1
 
 
+def test_sets_too_different_in_size_do_not_meet(spark, rows, monkeypatch):
+    """A passage stands in texts of many lengths, each length a fourth above the one before: no two can be linked."""
+    written, real = {}, jaccard.materialize
+
+    def counted(df, label):
+        out = real(df, label)
+        written[label] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", counted)
+    passage = [f"p{k}" for k in range(14)]
+    docs = [(k, " ".join(passage + [f"d{k}w{j}" for j in range(round(14 * 1.25**k) - 14)])) for k in range(12)]
+    got = rows(jaccard.op7(spark, frame(spark, docs)), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(brute_components(docs, 3, 90), key=repr) and len({c for _, _, c in got}) == 12
+    assert written["jaccard-homes"] == written["jaccard-bounds"] == written["jaccard-visits"] == 0
+    # sizes that may be linked meet as before, also where a chain of sizes leads from one to the other
+    docs += [(20 + k, docs[11][1] + f" x{k}" + f" y{k}" * k) for k in range(4)]
+    docs += [(40 + k, " ".join(passage + [f"e{j}" for j in range(100 + 8 * k)])) for k in range(12)]
+    got = rows(jaccard.op7(spark, frame(spark, docs)), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(brute_components(docs, 3, 90), key=repr) and len({c for i, _, c in got if i >= 40}) == 1
+
+
 def test_a_crowded_token_is_counted_over_all_rows(spark):
     """One row with it in each of many tasks is enough; and the keys of its documents avoid it."""
     words = " ".join(f"p{k}" for k in range(9))
