@@ -122,3 +122,22 @@ def test_row_json_keeps_nulls(spark):
 def test_zero_falls_through(spark):
     df = spark.createDataFrame([(0, 5), (None, 6), (7, 8)], "a int, b int")
     assert [r[0] for r in df.select(fx.first_non_falsy(F.col("a"), F.col("b"))).collect()] == [5, 6, 7]
+
+
+def test_texts_that_need_no_cleaning_are_told_by_their_ends(spark):
+    """``clean_value`` and ``normalize_key`` leave most texts alone, and give what the full rule gives for all."""
+    from itertools import product
+
+    from tallyhouse.functions import text
+
+    signs = [" ", "\t", "　", "\x1f", "\x00", "\x7f", "n", "N", "a", "<", ">", "/", "é", "K", "1", "\n"]
+    odd = ["".join(t) for k in range(4) for t in product(signs, repeat=k)]
+    odd += [f"{a}{w}{b}" for w in ("nan", "None", "NULL", "n/a", "<null>", "< N/A >", "<x>", "O12") for a in ("", " ", "x") for b in ("", " ", "!")]
+    df = spark.createDataFrame([(t,) for t in [*odd, None]], "t string")
+    for new, full in ((fx.clean_value, text._apply(F.col("t"), text._clean("x"))), (fx.normalize_key, text.strip(F.col("t")))):
+        assert df.filter(~new(F.col("t")).eqNullSafe(full)).collect() == []
+    plan = df.select(fx.clean_value(F.col("t")).alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in plan and plan.index("ascii(t") < plan.index("lambdafunction")
+    numbers = spark.range(3).select(F.col("id"), (F.col("id") / 2).alias("d"), F.lit(D("1.50")).alias("m"), (F.col("id") > 1).alias("b"))
+    for c in numbers.columns:
+        assert numbers.filter(~fx.clean_value(F.col(c)).eqNullSafe(F.col(c).cast("string"))).count() == 0

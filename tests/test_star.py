@@ -444,3 +444,66 @@ def test_repeated_pairs_are_staged_once(spark, rows):
     got = quality.repeated_pairs(lines, top=None, stage=stage)
     assert staged == ["repeated_pairs"]
     assert rows(got, *got.columns) == [("a", "p", 2, "f1, f2", 1, 2), (None, "p", 2, None, 4, 5)]
+
+
+@pytest.mark.parametrize("twice", [False, True])
+def test_products_are_looked_up_before_the_lines_are_paired(spark, line_feeds, rows, monkeypatch, twice):
+    """Rows are narrow then; a dimension that names a product twice is looked up afterwards, as it would shift positions."""
+    prices, products, dim, orders = line_feeds
+    if twice:
+        dim = dim.unionByName(spark.createDataFrame([(9, "p1"), (8, None), (7, None)], dim.schema))
+    empty = dims.empty_table(spark, "fact_line_items")
+    together, spread = (facts.load_line_items(empty, prices, products, dim, orders, pairing="order", large_order=n) for n in (1000, 0))
+    assert rows(together.table, *empty.columns) == rows(spread.table, *empty.columns) != []
+    shown = [c for c in spread.rejects.columns if c != "rejected_at"]
+    assert rows(spread.rejects, *shown) == rows(together.rejects, *shown) != []
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        load = facts.load_line_items(empty, prices, products, dim, orders, pairing="order")
+        plan = load.offered._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # the plan names what comes later first
+    assert (plan.index("Window") < plan.index("hashpartitioning(product_id")) == (not twice)
+
+
+@pytest.mark.parametrize("groups", [1, 1 << 16])
+def test_large_orders_are_found_also_among_others_of_their_group(spark, monkeypatch, groups):
+    monkeypatch.setattr(facts, "ORDER_GROUPS", groups)
+    feeds = [spark.createDataFrame([(o,) for o in ids], "order_id string") for ids in (["a"] * 4 + ["b"] * 5 + [None] * 20, [" a "] * 3 + ["c"] * 7)]
+    assert facts.has_large_orders(*feeds, 6) and not facts.has_large_orders(*feeds, 7)
+
+
+def test_conflicts_are_counted_in_one_pass(spark, tmp_path):
+    """Repeated, unknown and missing keys on either side; a product with two keys and one that is named twice alike."""
+    rnd = random.Random(5)
+    orders, products = ["a", "b", "c", "d", None], ["p1", "p2", "p3", "p4", "lost", None]
+    staged = [(rnd.choice(orders), rnd.choice(products), "f") for _ in range(120)]
+    dim = [(1, "p1"), (2, "p2"), (22, "p2"), (3, "p3"), (3, "p3"), (None, "p4"), (5, None)]
+    fact = [(rnd.choice(orders), rnd.choice([1, 2, 22, 3, 4, None])) for _ in range(14)]
+
+    def stored(data, name, schema):
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    lines = stored(staged, "lines", "order_id string, product_id string, file_source string")
+    star = {
+        "dim_product": stored(dim, "dim", "product_sk long, product_id string"),
+        "fact_line_items": stored(fact, "fact", "order_id string, product_sk long"),
+    }
+    got = quality.conflict_summary(lines, star)
+    named = [(o, p) for o, p, _ in staged if p]
+    loaded = {f for f in fact if None not in f}
+    clash = sum((o, k) in loaded for o, p in named for k, q in dim if p == q)
+    u, twice = len(set(named)), len(named) - len(set(named))
+    r = got.first()
+    assert (r.unique_in_staging, r.fact_rows, r.unique_in_fact, r.duplicates_in_fact) == (u, 14, len(set(fact)), 14 - len(set(fact)))
+    assert (r.difference, r.would_conflict, r.duplicates_in_staging, r.total_conflicts) == (u - 14, clash, twice, clash + twice)
+    assert r.conflict_percentage == round(100 * Decimal(clash + twice) / u, 2) and clash > 0
+    assert quality.would_conflict(lines, star).count() == clash
+    assert quality.staged_pair_totals(lines).first()[:2] == (len(named), u)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 3  # each table once
+    none = quality.conflict_summary(lines.limit(0), {n: t.limit(0) for n, t in star.items()}).first()
+    assert (none.unique_in_staging, none.fact_rows, none.would_conflict, none.total_conflicts) == (0, 0, 0, 0)
