@@ -507,3 +507,21 @@ def test_conflicts_are_counted_in_one_pass(spark, tmp_path):
     assert plan.count("FileScan parquet") == 3  # each table once
     none = quality.conflict_summary(lines.limit(0), {n: t.limit(0) for n, t in star.items()}).first()
     assert (none.unique_in_staging, none.fact_rows, none.would_conflict, none.total_conflicts) == (0, 0, 0, 0)
+
+
+def test_a_large_dimension_is_hashed_by_partition(spark, line_feeds, rows, monkeypatch):
+    from tallyhouse.operators import relational
+
+    empty = dims.empty_table(spark, "fact_line_items")
+    plain = facts.load_line_items(empty, *line_feeds, pairing="order")
+    assert "ShuffledHashJoin" not in plain.offered._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(relational, "BROADCAST_ROWS", 2)
+    load = facts.load_line_items(empty, *line_feeds, pairing="order")
+    assert "ShuffledHashJoin" in load.offered._jdf.queryExecution().executedPlan().toString()
+    assert rows(load.table, *empty.columns) == rows(plain.table, *empty.columns) != []
+    star = {"dim_product": line_feeds[2], "fact_line_items": plain.table}
+    hashed = quality.conflict_summary(line_feeds[1], star).first()
+    monkeypatch.setattr(relational, "HASHED_ROWS", 0)  # partitions would be too large
+    merged = quality.conflict_summary(line_feeds[1], star)
+    assert "ShuffledHashJoin" not in merged._jdf.queryExecution().executedPlan().toString()
+    assert merged.first() == hashed and hashed.would_conflict > 0
